@@ -404,7 +404,7 @@ def offset_exit(spark, sf):
 def islands(source: str, keys: str, pad: int) -> str:
     return f"""
         SELECT {keys}, min(start_date) AS start_date, max(end_date) AS end_date FROM (
-          SELECT *, sum(opens) OVER (PARTITION BY {keys} ORDER BY start_date, end_date ROWS UNBOUNDED PRECEDING) AS era FROM (
+          SELECT *, sum(opens) OVER (PARTITION BY {keys} ORDER BY start_date, end_date RANGE UNBOUNDED PRECEDING) AS era FROM (
             SELECT *, CASE WHEN start_date <= max(end_date + {pad}) OVER (PARTITION BY {keys} ORDER BY start_date, end_date
                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens
             FROM {source}))

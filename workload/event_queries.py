@@ -308,11 +308,11 @@ def with_death(spark, sf):
         """SELECT * EXCLUDE (n) FROM (
              SELECT *, row_number() OVER (PARTITION BY person_id
                       ORDER BY start_date, event_id, end_date, target_concept_id, visit_occurrence_id) AS n FROM e_drug)
-           WHERE n = 1 AND start_date > DATE '1996-01-01'"""
+           WHERE n = 1 AND start_date > DATE '1995-02-01'"""
     ),
 )
 def first_occurrence(spark, sf):
-    return filter_date(first_ever(domain_events(clinical(spark, sf), "drug")), "gt", date(1996, 1, 1))
+    return filter_date(first_ever(domain_events(clinical(spark, sf), "drug")), "gt", date(1995, 2, 1))
 
 
 @query(

@@ -369,16 +369,17 @@ SQL: dict[str, str] = {
 def with_tables(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """The query with the tables above that it names, directly or not."""
     known = {**SQL, **(extra or {})}
-    needed: set[str] = set()
+    needed: list[str] = []
 
     def visit(text: str) -> None:
         for name in known:
-            if name not in needed and re.search(rf"\b{name}\b", text):
-                needed.add(name)
+            if name not in needed and re.search(rf"\b{name}\b", text) and known[name] is not text:
                 visit(known[name])
+                if name not in needed:
+                    needed.append(name)
 
     visit(body)
-    tables = ",\n".join(f"{n} AS ({known[n]})" for n in known if n in needed)
+    tables = ",\n".join(f"{n} AS ({known[n]})" for n in needed)
     if not tables:
         return body
     return f"WITH {'RECURSIVE ' if recursive else ''}{tables}\n{body}"
