@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,20 +17,21 @@ class ConceptSet:
     concepts: tuple[int, ...] = ()
     descendants_of: tuple[int, ...] = ()
     excluded: tuple[int, ...] = ()
-    excluded_descendants_of: tuple[int, ...] = field(default=())
-
-
-def _tagged(pairs: Iterable[tuple[int, int]], concept: str):
-    """(codeset, concept) pairs as an inline relation on `concept`."""
-    by_concept: dict[int, list[int]] = {}
-    for codeset, item in pairs:
-        by_concept.setdefault(item, []).append(codeset)
-    if not by_concept:
-        return None
-    lists = F.create_map(
-        *[c for item, ids in by_concept.items() for c in (F.lit(item).cast("long"), F.array(*map(F.lit, sorted(set(ids)))))]
-    )
-    return F.col(concept).isin(list(by_concept)), F.explode(F.element_at(lists, F.col(concept).cast("long")))
+    excluded_descendants_of: tuple[int, ...] = ()
+
+
+def _marks(column: str, wanted: dict[str, list[tuple[int, int]]]) -> tuple[Column, Column]:
+    """Which values of a concept column are named, and the (codeset, kind) pairs they stand for."""
+    by_concept: dict[int, list[tuple[int, str]]] = {}
+    for kind, pairs in wanted.items():
+        for codeset, concept in pairs:
+            by_concept.setdefault(concept, []).append((codeset, kind))
+    value = F.col(column).cast("long")
+    mark = None
+    for concept, marks in by_concept.items():
+        here = F.array(*[F.struct(F.lit(c).alias("codeset_id"), F.lit(k == "in").alias("inside")) for c, k in marks])
+        mark = F.when(value == concept, here) if mark is None else mark.when(value == concept, here)
+    return value.isin(list(by_concept)), F.explode(mark)
 
 
 def expand_codesets(sets: list[ConceptSet], concept: DataFrame, concept_ancestor: DataFrame) -> DataFrame:
@@ -38,45 +39,66 @@ def expand_codesets(sets: list[ConceptSet], concept: DataFrame, concept_ancestor
 
     A named concept counts if it exists, a descendant if it exists and is valid.
     The hierarchy is a transitive closure, so one join reaches all depths.
+    Inclusions and exclusions are marks on the concept, settled in one aggregate.
     """
-    empty = concept.select(F.lit(0).alias("codeset_id"), F.col("concept_id").cast("long").alias("concept_id")).limit(0)
-
-    def named(attribute: str) -> DataFrame:
-        pairs = _tagged(((s.codeset_id, c) for s in sets for c in getattr(s, attribute)), "concept_id")
-        if pairs is None:
-            return empty
-        wanted, codeset = pairs
-        return concept.filter(wanted).select(codeset.alias("codeset_id"), F.col("concept_id").cast("long").alias("concept_id"))
-
-    def below(attribute: str) -> DataFrame:
-        pairs = _tagged(((s.codeset_id, c) for s in sets for c in getattr(s, attribute)), "ancestor_concept_id")
-        if pairs is None:
-            return empty
-        wanted, codeset = pairs
-        reached = concept_ancestor.filter(wanted).select(
-            codeset.alias("codeset_id"), F.col("descendant_concept_id").cast("long").alias("concept_id")
-        )
-        valid = concept.filter("invalid_reason is null").select(F.col("concept_id").cast("long").alias("concept_id"))
-        return reached.join(valid, "concept_id", "left_semi").select("codeset_id", "concept_id")
-
-    included = named("concepts").union(below("descendants_of")).distinct()
-    if not any(s.excluded or s.excluded_descendants_of for s in sets):
-        return included
-    excluded = named("excluded").union(below("excluded_descendants_of")).distinct()
-    return included.join(excluded, ["codeset_id", "concept_id"], "left_anti")
-
-
-def match_codeset(events: DataFrame, codesets: DataFrame, codeset_id: int) -> DataFrame:
+
+    def pairs(attribute: str) -> list[tuple[int, int]]:
+        return [(s.codeset_id, c) for s in sets for c in getattr(s, attribute)]
+
+    known = concept.select(F.col("concept_id").cast("long").alias("concept_id"), "invalid_reason")
+    parts = []
+    named = {"in": pairs("concepts"), "out": pairs("excluded")}
+    if any(named.values()):
+        here, marks = _marks("concept_id", named)
+        parts.append(known.filter(here).select("concept_id", marks.alias("m")))
+    below = {"in": pairs("descendants_of"), "out": pairs("excluded_descendants_of")}
+    if any(below.values()):
+        here, marks = _marks("ancestor_concept_id", below)
+        reached = concept_ancestor.filter(here).select(F.col("descendant_concept_id").cast("long").alias("concept_id"), marks.alias("m"))
+        valid = known.filter("invalid_reason is null").select("concept_id")
+        parts.append(reached.join(valid, "concept_id", "left_semi"))
+    if not parts:
+        parts.append(known.limit(0).select("concept_id", F.expr("named_struct('codeset_id', 0, 'inside', false)").alias("m")))
+    return (
+        reduce(DataFrame.union, parts)
+        .groupBy(F.col("m.codeset_id").alias("codeset_id"), "concept_id")
+        .agg(F.min("m.inside").alias("inside"))
+        .filter("inside")
+        .drop("inside")
+    )
+
+
+@dataclass(frozen=True)
+class Codesets:
+    """The concept sets of a definition, expanded one by one where they are used."""
+
+    sets: tuple[ConceptSet, ...]
+    concept: DataFrame
+    concept_ancestor: DataFrame
+
+    def concepts(self, codeset_id: int) -> DataFrame:
+        return expand_codesets([s for s in self.sets if s.codeset_id == codeset_id], self.concept, self.concept_ancestor)
+
+
+def _concepts(codesets: DataFrame | Codesets, codeset_id: int) -> DataFrame:
+    if isinstance(codesets, Codesets):
+        rows = codesets.concepts(codeset_id)
+    else:
+        rows = codesets.filter(F.col("codeset_id") == codeset_id)
+    return rows.select(F.col("concept_id").alias("target_concept_id"))
+
+
+def match_codeset(events: DataFrame, codesets: DataFrame | Codesets, codeset_id: int) -> DataFrame:
     """Events whose concept is in the codeset (join form).
 
-    No broadcast hint: Spark broadcasts the codeset when its measured size is
-    below the session's threshold and otherwise shuffles, splitting hot concepts.
+    `codesets` is a stored (codeset_id, concept_id) table or the definition's
+    sets. No broadcast hint: Spark broadcasts the codeset when its measured size
+    is below the session's threshold and otherwise shuffles, splitting hot
+    concepts.
     """
-    wanted = codesets.filter(F.col("codeset_id") == codeset_id).select(F.col("concept_id").alias("target_concept_id"))
-    return events.join(wanted, "target_concept_id").select(events.columns)
+    return events.join(_concepts(codesets, codeset_id), "target_concept_id").select(events.columns)
 
 
-def match_codeset_in(events: DataFrame, codesets: DataFrame, codeset_id: int) -> DataFrame:
+def match_codeset_in(events: DataFrame, codesets: DataFrame | Codesets, codeset_id: int) -> DataFrame:
     """Events whose concept is in the codeset (membership form)."""
-    wanted = codesets.filter(F.col("codeset_id") == codeset_id).select(F.col("concept_id").alias("target_concept_id"))
-    return events.join(wanted, "target_concept_id", "left_semi").select(events.columns)
+    return events.join(_concepts(codesets, codeset_id), "target_concept_id", "left_semi").select(events.columns)

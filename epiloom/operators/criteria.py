@@ -17,11 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiloom.functions.dates import age_at
-from epiloom.operators.codesets import match_codeset
+from epiloom.operators.codesets import Codesets, match_codeset
 from epiloom.operators.events import compare, domain_events, filter_age, filter_date, first_ever, longer_than
 from epiloom.operators.observation import periods
 from epiloom.operators.ranges import DayRange, count_in_ranges
-from epiloom.sources.tables import Cdm
+from epiloom.sources.tables import Cdm, materialize
+
+
+Sets = DataFrame | Codesets | None
 
 
 @dataclass(frozen=True)
@@ -92,7 +95,7 @@ class Group:
     count: int | None = None
 
 
-def query_events(cdm: Cdm, codesets: DataFrame | None, query: EventQuery) -> DataFrame:
+def query_events(cdm: Cdm, codesets: Sets, query: EventQuery) -> DataFrame:
     """The events a query asks for, in the common shape."""
     events = domain_events(cdm, query.domain)
     if query.codeset_id is not None:
@@ -112,7 +115,7 @@ def query_events(cdm: Cdm, codesets: DataFrame | None, query: EventQuery) -> Dat
     return events
 
 
-def nested(cdm: Cdm, codesets: DataFrame | None, events: DataFrame, group: Group) -> DataFrame:
+def nested(cdm: Cdm, codesets: Sets, events: DataFrame, group: Group) -> DataFrame:
     """Events that, taken as index events of their own, meet a group."""
     own = events.join(periods(cdm.observation_period), "person_id").filter(
         F.col("start_date").between(F.col("op_start_date"), F.col("op_end_date"))
@@ -193,8 +196,12 @@ def _meets(group: Group, names: dict[int, str]) -> Column:
     }[group.kind]
 
 
-def add_groups(cdm: Cdm, codesets: DataFrame | None, index: DataFrame, groups: dict[str, Group]) -> DataFrame:
-    """Index events plus one boolean column per named group."""
+def add_groups(cdm: Cdm, codesets: Sets, index: DataFrame, groups: dict[str, Group]) -> DataFrame:
+    """Index events plus one boolean column per named group.
+
+    The index events are stored before they are asked about: the counts read
+    them twice, and definitions stack one group on another.
+    """
     names: dict[int, str] = {}
     ranges = []
     for group in groups.values():
@@ -206,12 +213,14 @@ def add_groups(cdm: Cdm, codesets: DataFrame | None, index: DataFrame, groups: d
     windows = [w for g in groups.values() for c in _correlated(g) for w in (c.window, c.end_window) if w]
     if any(w.from_index_end for w in windows):
         anchor.insert(1, "end_date")
+    if ranges:
+        index = materialize(index, "index")
     known = count_in_ranges(index, ["person_id"], anchor, ranges)
     if any(_has_demographic(g) for g in groups.values()):
         known = known.join(cdm.person.select("person_id", "year_of_birth"), "person_id")
     return known.select(*index.columns, *[_meets(g, names).alias(name) for name, g in groups.items()])
 
 
-def filter_group(cdm: Cdm, codesets: DataFrame | None, index: DataFrame, group: Group) -> DataFrame:
+def filter_group(cdm: Cdm, codesets: Sets, index: DataFrame, group: Group) -> DataFrame:
     """Index events that meet a group."""
     return add_groups(cdm, codesets, index, {"_met": group}).filter("_met").drop("_met")

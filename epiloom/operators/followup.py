@@ -7,21 +7,39 @@ from pyspark.sql import functions as F
 
 from epiloom.operators.events import first_rows
 from epiloom.operators.observation import periods
-from epiloom.operators.ranges import DayRange, count_in_ranges, nearest_in_range
+from epiloom.operators.ranges import DayRange, Nearest, count_in_ranges, counts_of_anchors, nearest_in_ranges
 
 COHORT_KEY = ["cohort_definition_id", "subject_id"]
 
 
-def intersect_days(cohort: DataFrame, target: DataFrame, lower: int | None, upper: int | None, which: str, name: str) -> DataFrame:
-    """Signed days from entry to the first or last target start in a window, or null."""
-    found = nearest_in_range(cohort, ["subject_id"], "cohort_start_date", target, "cohort_start_date", lower, upper, which, "_hit")
-    return found.select(*cohort.columns, F.datediff("_hit", "cohort_start_date").alias(name))
+def intersect_dates(cohort: DataFrame, questions: list[Nearest]) -> DataFrame:
+    """Dates of the first or last target starts in windows around the entry, or null."""
+    found = nearest_in_ranges(cohort, ["subject_id"], "cohort_start_date", questions)
+    return found.select(*cohort.columns, *[q.name for q in questions])
+
+
+def target_start(name: str, target: DataFrame, lower: int | None, upper: int | None, which: str) -> Nearest:
+    """The question for the start of a cohort table's rows."""
+    return Nearest(name, target, "cohort_start_date", lower, upper, which)
 
 
 def intersect_date(cohort: DataFrame, target: DataFrame, lower: int | None, upper: int | None, which: str, name: str) -> DataFrame:
     """Date of the first or last target start in a window, or null."""
-    found = nearest_in_range(cohort, ["subject_id"], "cohort_start_date", target, "cohort_start_date", lower, upper, which, name)
-    return found.select(*cohort.columns, name)
+    return intersect_dates(cohort, [target_start(name, target, lower, upper, which)])
+
+
+def intersect_days(cohort: DataFrame, target: DataFrame, lower: int | None, upper: int | None, which: str, name: str) -> DataFrame:
+    """Signed days from entry to the first or last target start in a window, or null."""
+    found = intersect_date(cohort, target, lower, upper, which, name)
+    return found.withColumn(name, F.datediff(name, "cohort_start_date"))
+
+
+def _around(target: DataFrame, lower: int, upper: int, overlap: bool) -> DayRange:
+    entry = "cohort_start_date"
+    return DayRange(
+        "_n", target, F.date_add(entry, lower), F.date_add(entry, upper),
+        overlap=overlap, start="cohort_start_date", end="cohort_end_date",
+    )
 
 
 def intersect_flag(cohort: DataFrame, target: DataFrame, keys: list[str], lower: int, upper: int, name: str, overlap: bool = True) -> DataFrame:
@@ -30,11 +48,7 @@ def intersect_flag(cohort: DataFrame, target: DataFrame, keys: list[str], lower:
     With `overlap` a target counts if any of its days falls into the window,
     otherwise only if its start does.
     """
-    window = DayRange(
-        "_n", target, F.date_add("cohort_start_date", lower), F.date_add("cohort_start_date", upper),
-        overlap=overlap, start="cohort_start_date", end="cohort_end_date",
-    )
-    counted = count_in_ranges(cohort, keys, ["cohort_start_date"], [window])
+    counted = count_in_ranges(cohort, keys, ["cohort_start_date"], [_around(target, lower, upper, overlap)])
     return counted.select(*cohort.columns, (F.col("_n") > 0).cast("int").alias(name))
 
 
@@ -68,7 +82,8 @@ def outcome_after_index(index: DataFrame, outcomes: DataFrame, after: int = 91,
     kinds = outcomes.select(*COHORT_KEY).distinct()
     asked = entries.join(kinds, "subject_id")
     if clear_days is not None:
-        asked = intersect_flag(asked, outcomes, COHORT_KEY, -clear_days, -1, "_before").filter("_before = 0")
+        before = _around(outcomes, -clear_days, -1, True)
+        asked = counts_of_anchors(asked, COHORT_KEY, ["cohort_start_date"], [before]).filter("_n = 0")
     clear = asked.select(*COHORT_KEY, F.col("cohort_start_date").alias("start_date"))
     rows = outcomes.select(*COHORT_KEY, "cohort_start_date", "cohort_end_date").distinct()
     window = DayRange("_n", clear, F.date_sub("cohort_start_date", until), F.date_sub("cohort_start_date", after))

@@ -9,8 +9,6 @@ the running count at its first month and takes 1 away after its last.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,15 +82,16 @@ def _changes(intervals: DataFrame, keys: list[str], opened: dict[str, Column], c
     return rows.groupBy(*keys, F.col("c.month").alias("month")).agg(*[F.sum(f"c.{c}").alias(c) for c in names])
 
 
-def _on_grid(changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Running totals of `columns` for every month between a key's first and last change."""
-    span = changes.groupBy(*keys).agg(F.min("month").alias("_a"), F.max("month").alias("_b"))
-    grid = span.select(*keys, F.explode(F.sequence("_a", "_b")).alias("month"))
+def _running(changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Running totals of `columns` for every month from a key's first to its last change.
+
+    Months without a change repeat the totals of the month before.
+    """
     w = Window.partitionBy(*keys).orderBy("month")
-    filled = grid.join(changes, [*keys, "month"], "left").fillna(0, columns)
-    return filled.select(
-        *keys, "month", *[F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(c) for c in columns]
-    )
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    following = F.coalesce(F.lead("month").over(w), F.col("month") + 1)
+    totals = changes.select(*keys, "month", following.alias("_next"), *[F.sum(c).over(upto).alias(c) for c in columns])
+    return totals.withColumn("month", F.explode(F.sequence(F.col("month"), F.col("_next") - 1))).drop("_next")
 
 
 def person_days_by_month(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
@@ -105,7 +104,7 @@ def person_days_by_month(intervals: DataFrame, keys: list[str], start: str, end:
     s, e = F.col(start), F.col(end)
     opened = {"month": month_number(s), "s_n": F.lit(1), "s_sum": F.unix_date(s)}
     closed = {"month": month_number(e), "e_n": F.lit(1), "e_sum": F.unix_date(e)}
-    running = _on_grid(_changes(intervals, keys, opened, closed), keys, ["s_n", "s_sum", "e_n", "e_sum"])
+    running = _running(_changes(intervals, keys, opened, closed), keys, ["s_n", "s_sum", "e_n", "e_sum"])
     last = F.unix_date(F.last_day(month_from_number(F.col("month"))))
     upto = (last + 1) * F.col("s_n") - F.col("s_sum") - (last * F.col("e_n") - F.col("e_sum"))
     w = Window.partitionBy(*keys).orderBy("month")
@@ -128,7 +127,7 @@ def subjects_by_month(intervals: DataFrame, keys: list[str], start: str, end: st
     fresh = runs.withColumn("_seen", seen).withColumn("_a", F.greatest(F.col("_a"), F.col("_seen") + 1)).filter("_a <= _b")
     opened = {"month": F.col("_a"), "s_n": F.lit(1)}
     closed = {"month": F.col("_b") + 1, "e_n": F.lit(1)}
-    running = _on_grid(_changes(fresh, keys, opened, closed), keys, ["s_n", "e_n"])
+    running = _running(_changes(fresh, keys, opened, closed), keys, ["s_n", "e_n"])
     return running.select(*keys, "month", (F.col("s_n") - F.col("e_n")).alias("denom_count"))
 
 
@@ -138,36 +137,38 @@ def incidence_denominator(denominator: DataFrame, outcomes: DataFrame, outcome_i
         F.col("cohort_definition_id").alias("denom_id"), "subject_id", "cohort_start_date", "cohort_end_date"
     )
     wanted = outcomes.filter(F.col("cohort_definition_id").isin(outcome_ids))
-    start, end = "cohort_start_date", "cohort_end_date"
+    start, end, event = F.col("cohort_start_date"), F.col("cohort_end_date"), F.col("first_event_date")
 
-    def by_month(intervals: DataFrame, keys: list[str], first: str, last: str, sign: int) -> DataFrame:
-        days = person_days_by_month(intervals, keys, first, last).select(
-            *keys, "month", (F.col("person_days") * sign).alias("person_days"), F.lit(0).cast("long").alias("denom_count")
-        )
-        people = subjects_by_month(intervals, keys, first, last).select(
-            *keys, "month", F.lit(0).cast("long").alias("person_days"), (F.col("denom_count") * sign).alias("denom_count")
-        )
-        return days.unionByName(people)
-
-    present = wanted.select(F.col("cohort_definition_id").alias("outcome_id")).distinct()
-    everyone = (
-        by_month(rows, ["denom_id"], start, end, 1)
-        .groupBy("denom_id", "month")
-        .agg(F.sum("person_days").alias("person_days"), F.sum("denom_count").alias("denom_count"))
-        .withColumn("outcome_id", F.explode(F.lit(outcome_ids).cast("array<bigint>")))
-        .join(present, "outcome_id", "left_semi")
+    def part(sign: int, last: Column) -> Column:
+        return F.struct(F.lit(sign).alias("sign"), start.alias("start"), last.alias("end"))
+
+    # Everyone, for no outcome in particular. Then, for people with an outcome, their
+    # intervals out and the parts up to the event back in.
+    everyone = rows.select(
+        "denom_id", F.lit(None).cast("long").alias("outcome_id"), "subject_id", F.lit(1).alias("sign"),
+        start.alias("start"), end.alias("end"),
+    )
+    parts = F.array_compact(F.array(part(-1, end), F.when(event >= start, part(1, F.least(end, event)))))
+    changed = (
+        rows.join(first_event(wanted), "subject_id")
+        .select("denom_id", "outcome_id", "subject_id", F.explode(parts).alias("p"))
+        .select("denom_id", "outcome_id", "subject_id", "p.*")
+    )
+    both = everyone.unionByName(changed)
+    keys = ["denom_id", "outcome_id", "sign"]
+    counts = person_days_by_month(both, keys, "start", "end").unionByName(
+        subjects_by_month(both, keys, "start", "end"), allowMissingColumns=True
+    )
+    counts = counts.groupBy("denom_id", "outcome_id", "month").agg(
+        F.sum(F.col("person_days") * F.col("sign")).alias("person_days"),
+        F.sum(F.col("denom_count") * F.col("sign")).alias("denom_count"),
     )
-    # People with the outcome: take their full intervals out, put the part up to the event in.
-    affected = rows.join(first_event(wanted), "subject_id").filter(F.col("first_event_date") < F.col(end))
-    keys = ["denom_id", "outcome_id"]
-    touched = affected.select("denom_id", "outcome_id", "subject_id").distinct()
-    full = rows.join(touched, ["denom_id", "subject_id"])
-    left = full.join(first_event(wanted), ["outcome_id", "subject_id"]).filter(
-        F.col("first_event_date") >= F.col(start)
-    ).withColumn("_end", F.least(F.col(end), F.col("first_event_date")))
-    parts = [everyone, by_month(full, keys, start, end, -1), by_month(left, keys, start, "_end", 1)]
+    # The counts of everyone hold for each outcome that occurs at all.
+    listed = F.array(*[F.lit(i).cast("long") for i in outcome_ids])
+    occurring = wanted.select(F.col("cohort_definition_id").alias("outcome_id")).distinct()
     return (
-        reduce(DataFrame.unionByName, parts)
+        counts.withColumn("outcome_id", F.explode(F.coalesce(F.when(F.col("outcome_id").isNull(), listed), F.array("outcome_id"))))
+        .join(occurring, "outcome_id", "left_semi")
         .groupBy("denom_id", "outcome_id", "month")
         .agg(F.sum("denom_count").alias("denom_count"), F.sum("person_days").alias("person_days"))
         .filter("person_days > 0")

@@ -93,10 +93,17 @@ def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges
     """`index` plus one count column per range.
 
     `keys` link the two sides; bounds may use `keys` and `anchor` columns only.
-    All ranges share one pass over the time line. Anchors must not be null.
+    All ranges share one pass over the time line. Anchors must not be null. The
+    plan reads `index` twice; store it first if it is costly.
     """
     if not ranges:
         return index
+    answered = counts_of_anchors(index.select(*keys, *anchor).distinct(), keys, anchor, ranges)
+    return index.join(answered, [*keys, *anchor])
+
+
+def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ranges: list[DayRange]) -> DataFrame:
+    """The counts for distinct anchors: (keys, anchor, one column per range)."""
     whole = F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("node")))
     counted, asked = [], []
     for i, r in enumerate(ranges):
@@ -126,7 +133,6 @@ def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges
         if lower is not None:
             asked.append(F.transform(where, _probe(i, lower_question, lower, -1)))
 
-    anchors = index.select(*keys, *anchor).distinct()
     probes = anchors.select(*keys, F.struct(*anchor).alias("anchor"), F.explode(F.concat(*asked)).alias("p"))
     line = probes.select(
         *keys, "p.question", "p.at", "p.day", F.lit(0).cast("long").alias("n"), "anchor", "p.sign", "p.answer"
@@ -134,7 +140,7 @@ def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges
     for rows in counted:
         line = line.unionByName(rows, allowMissingColumns=True)
     running = F.sum("n").over(Window.partitionBy(*keys, "question", "at.level", "at.node").orderBy("day"))
-    answered = (
+    return (
         line.withColumn("upto", running)
         .filter("anchor is not null")
         .groupBy(*keys, "anchor")
@@ -148,42 +154,54 @@ def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges
         )
         .select(*keys, "anchor.*", *[r.name for r in ranges])
     )
-    return index.join(answered, [*keys, *anchor])
 
 
-def nearest_in_range(
-    index: DataFrame,
-    keys: list[str],
-    anchor: str,
-    events: DataFrame,
-    date: str,
-    lower: int | None,
-    upper: int | None,
-    which: str,
-    name: str,
-) -> DataFrame:
-    """`index` plus the first or last event date in anchor + [lower, upper] days.
-
-    Null where there is none. Works on distinct days of both sides.
+@dataclass(frozen=True)
+class Nearest:
+    """One question: the first or last event date in anchor + [lower, upper] days."""
+
+    name: str
+    events: DataFrame
+    date: str
+    lower: int | None
+    upper: int | None
+    which: str
+
+
+def nearest_in_ranges(index: DataFrame, keys: list[str], anchor: str, questions: list[Nearest]) -> DataFrame:
+    """`index` plus one date column per question, null where there is no event.
+
+    Works on distinct days of both sides, all questions in one pass. A question
+    for the first event runs on negated days, so that every answer is the last
+    day at or before a probe.
     """
-    days = events.select(*keys, F.col(date).alias("_day"), F.col(date).alias("_hit")).distinct()
-    from_end = which == "last"
-    edge = upper if from_end else lower
-    if edge is None:
-        bound = F.lit("9999-12-31" if from_end else "0001-01-01").cast("date")
-    else:
-        bound = F.date_add("_anchor", edge)
+    hits, probes = [], []
+    for i, q in enumerate(questions):
+        sign = 1 if q.which == "last" else -1
+        day = (F.unix_date(q.date) * sign).alias("day")
+        hits.append(q.events.select(*keys, F.lit(i).alias("question"), day, day.alias("hit")).distinct())
+        edge = q.upper if q.which == "last" else q.lower
+        at = F.lit(_FOREVER) if edge is None else (F.unix_date("_anchor") + edge) * sign
+        probes.append(F.struct(F.lit(i).alias("question"), at.alias("day")))
     anchors = index.select(*keys, F.col(anchor).alias("_anchor")).distinct()
-    probes = anchors.select(*keys, "_anchor", bound.alias("_day"))
-    line = probes.unionByName(days, allowMissingColumns=True)
-    order = F.col("_day").asc() if from_end else F.col("_day").desc()
-    w = Window.partitionBy(*keys).orderBy(order)
-    best = (F.max if from_end else F.min)("_hit").over(w)
-    found = line.withColumn("_best", best).filter("_anchor is not null")
-    far = lower if from_end else upper
-    hit = F.col("_best")
-    if far is not None:
-        limit = F.date_add("_anchor", far)
-        hit = F.when(hit >= limit if from_end else hit <= limit, hit)
-    found = found.select(*keys, F.col("_anchor").alias(anchor), hit.alias(name))
+    line = anchors.select(*keys, "_anchor", F.explode(F.array(*probes)).alias("p")).select(*keys, "_anchor", "p.*")
+    for rows in hits:
+        line = line.unionByName(rows, allowMissingColumns=True)
+    latest = F.max("hit").over(Window.partitionBy(*keys, "question").orderBy("day"))
+    answers = []
+    for i, q in enumerate(questions):
+        sign = 1 if q.which == "last" else -1
+        hit = F.max(F.when(F.col("question") == i, F.col("latest"))) * sign
+        far = q.lower if q.which == "last" else q.upper
+        if far is not None:
+            limit = F.unix_date("_anchor") + far
+            hit = F.when(hit >= limit if q.which == "last" else hit <= limit, hit)
+        answers.append(F.date_from_unix_date(hit).alias(q.name))
+    found = (
+        line.withColumn("latest", latest)
+        .filter("_anchor is not null")
+        .groupBy(*keys, "_anchor")
+        .agg(*answers)
+        .withColumnRenamed("_anchor", anchor)
+    )
     return index.join(found, [*keys, anchor])

@@ -17,12 +17,13 @@ from epiloom.operators.counts import attrition
 from epiloom.operators.followup import (
     censor_reason,
     follow_up_end,
-    intersect_date,
-    intersect_days,
+    intersect_dates,
     k_of_n_levels,
     outcome_after_index,
+    target_start,
 )
 from epiloom.operators.observation import observation_with_death
+from epiloom.sources.tables import materialize
 
 # The six result cohorts.
 COHORT_NAMES = {
@@ -57,12 +58,19 @@ def infections(acute: DataFrame, observation_period: DataFrame, death: DataFrame
     Nothing is filtered yet, so the attrition table and the kept rows come from
     the same frame. The follow-up uses the period that holds the entry.
     """
-    of = lambda i: acute.filter(F.col("cohort_definition_id") == i)
+
+    def of(cohort_id: int) -> DataFrame:
+        return acute.filter(F.col("cohort_definition_id") == cohort_id)
+
     entries = of(rules.infection_id)
-    same = of(rules.infection_id)
-    known = intersect_days(entries, same, None, -1, "last", "days_since_previous")
-    known = intersect_days(known, of(rules.influenza_id), -rules.influenza_days, -1, "last", "days_since_influenza")
-    known = intersect_date(known, same, 1, rules.next_within, "first", "next_date")
+    known = intersect_dates(
+        entries,
+        [
+            target_start("previous_date", entries, None, -1, "last"),
+            target_start("influenza_date", of(rules.influenza_id), -rules.influenza_days, -1, "last"),
+            target_start("next_date", entries, 1, rules.next_within, "first"),
+        ],
+    )
     obs = observation_with_death(observation_period, death).alias("o")
     k = known.alias("k")
     inside = (F.col("k.subject_id") == F.col("o.subject_id")) & F.col("k.cohort_start_date").between(
@@ -84,13 +92,13 @@ def infections(acute: DataFrame, observation_period: DataFrame, death: DataFrame
 
 def entry_steps(rules: EntryRules) -> list[tuple[str, Column]]:
     entry = F.col("cohort_start_date")
-    previous = F.col("days_since_previous")
+    previous = F.datediff("previous_date", entry)
     before = F.date_sub(F.lit(rules.latest), rules.margin_days)
     return [
         ("Event washout", previous.isNull() | (previous < -rules.washout_days)),
         ("In observation at cohort entry", F.col("observation_period_end_date").isNotNull()),
         (f"{rules.prior_days} days of prior history", F.datediff(entry, "observation_period_start_date") >= rules.prior_days),
-        ("Historical influenza", F.col("days_since_influenza").isNull()),
+        ("Historical influenza", F.col("influenza_date").isNull()),
         ("Entry in the study window", (entry > F.lit(rules.study_start)) & (entry < before)),
         (f">={rules.follow_up_days} days of follow-up", F.col("follow_up_days") >= rules.follow_up_days),
     ]
@@ -124,6 +132,10 @@ def censoring_reasons(known: DataFrame, rules: EntryRules) -> DataFrame:
 
 
 def overlap_cohorts(kept: DataFrame, symptoms: DataFrame, conditions: DataFrame) -> DataFrame:
-    """The six cohorts of people with at least one, two, three symptoms or conditions."""
+    """The six cohorts of people with at least one, two, three symptoms or conditions.
+
+    The kept infections are stored first, as both halves start from them.
+    """
+    kept = materialize(kept, "infections")
     after = [outcome_after_index(kept, table) for table in (symptoms, conditions)]
     return k_of_n_levels(after[0], {1: 1, 2: 2, 3: 3}).unionByName(k_of_n_levels(after[1], {1: 4, 2: 5, 3: 6}))

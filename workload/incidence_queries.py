@@ -38,12 +38,22 @@ def strata(spark, sf):
     return denominator(cdm.person, cdm.observation_period, START, LATEST)
 
 
+def stored_strata(spark, sf):
+    """The denominator table, written once per query as incidence reads it several times."""
+    return materialize(strata(spark, sf), "denominator")
+
+
 def outcomes(spark, sf):
     return outcome_cohorts(clinical(spark, sf))
 
 
 def monthly(spark, sf):
-    return inc.monthly_incidence(strata(spark, sf), outcomes(spark, sf), IDS)
+    return inc.monthly_incidence(stored_strata(spark, sf), outcomes(spark, sf), IDS)
+
+
+def stored_monthly(spark, sf):
+    """Monthly counts, stored where several summaries follow."""
+    return materialize(monthly(spark, sf), "monthly")
 
 
 @query("w8_denominator", with_tables("SELECT * FROM risk"))
@@ -103,7 +113,7 @@ def slices(spark, sf):
 
 @query("a9_incidence_denominator", with_tables("SELECT * FROM at_risk_sum"))
 def people(spark, sf):
-    return inc.incidence_denominator(strata(spark, sf), outcomes(spark, sf), IDS)
+    return inc.incidence_denominator(stored_strata(spark, sf), outcomes(spark, sf), IDS)
 
 
 @query("a10_incidence_numerator", with_tables("SELECT * FROM event_sum"))
@@ -392,7 +402,7 @@ def study(spark, sf):
     cdm = clinical(spark, sf)
     tables = {"outcome_cohorts": outcome_cohorts(cdm), "condition_cohorts": condition_cohorts(cdm)}
     analyses = [Analysis("outcome_cohorts", i) for i in IDS] + [Analysis("condition_cohorts", i) for i in (1, 2, 3)]
-    return study_incidence(materialize(strata(spark, sf), "denominator"), tables, analyses)
+    return study_incidence(stored_strata(spark, sf), tables, analyses)
 
 
 @query(
@@ -405,7 +415,7 @@ def failures(spark, sf):
     """A study in which one of two tables is missing: what failed, next to what was estimated."""
     tables = {"outcome_cohorts": outcomes(spark, sf)}
     analyses = [Analysis(t, i) for t in ("missing_cohorts", "outcome_cohorts") for i in IDS]
-    denominators = materialize(strata(spark, sf), "denominator")
+    denominators = stored_strata(spark, sf)
     done, failed = run_or_log(spark, analyses, lambda group: study_incidence(denominators, tables, group))
     estimated = done.groupBy("outcome_id").agg(F.count(F.lit(1)).alias("estimated"))
     return failed.drop("error_message").join(estimated, "outcome_id").select("outcome_table_name", "outcome_id", "estimated")
@@ -450,7 +460,7 @@ INTERVALS = {
 )
 def long_result(spark, sf):
     """Without the limits, which `a18_x1_poisson_ci` checks."""
-    rows = monthly(spark, sf).withColumn("outcome_name", F.concat_ws("_", F.lit("outcome_cohorts"), "outcome_id"))
+    rows = stored_monthly(spark, sf).withColumn("outcome_name", F.concat_ws("_", F.lit("outcome_cohorts"), "outcome_id"))
     long = to_summarised_result(rows, START, LATEST, 5)
     return long.filter(~F.col("estimate_name").contains("95CI")).select(
         "result_id", "group_level", "variable_name", "estimate_name", "estimate_type", "estimate_value", "additional_level"

@@ -67,10 +67,12 @@ def _clinical(spark: SparkSession, sf_dir: str) -> Cdm:
         F.col("b").alias("observation_period_end_date"),
         F.lit(32817).alias("period_type_concept_id"),
     )
+    priority = F.substring("o_orderpriority", 1, 1).cast("long") + PRIORITY
+    status = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "P", 2).otherwise(3) + F.lit(STATUS)
     condition = orders.select(
         F.col("o_orderkey").alias("condition_occurrence_id"),
         F.col("o_custkey").alias("person_id"),
-        (F.substring("o_orderpriority", 1, 1).cast("long") + PRIORITY).alias("condition_concept_id"),
+        priority.alias("condition_concept_id"),
         F.col("day").alias("condition_start_date"),
         F.when(F.col("o_orderkey") % 3 != 0, F.date_add("day", 7)).alias("condition_end_date"),
         F.col("o_orderkey").alias("visit_occurrence_id"),
@@ -108,7 +110,7 @@ def _clinical(spark: SparkSession, sf_dir: str) -> Cdm:
     visit = orders.join(shipped, "o_orderkey", "left").select(
         F.col("o_orderkey").alias("visit_occurrence_id"),
         F.col("o_custkey").alias("person_id"),
-        (F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "P", 2).otherwise(3) + F.lit(STATUS)).alias("visit_concept_id"),
+        status.alias("visit_concept_id"),
         F.col("day").alias("visit_start_date"),
         F.greatest("day", "last").alias("visit_end_date"),
     )
@@ -123,13 +125,10 @@ def _clinical(spark: SparkSession, sf_dir: str) -> Cdm:
     concept = part.select(
         F.col("p_partkey").alias("concept_id"), F.when(F.col("p_size") == 50, "D").alias("invalid_reason")
     )
-    for rows, column in (
-        (part, brand),
-        (part, size),
-        (condition, F.col("condition_concept_id")),
-        (visit, F.col("visit_concept_id")),
-    ):
-        concept = concept.union(rows.select(column.alias("concept_id")).distinct().select("concept_id", valid))
+    groups = part.select(F.explode(F.array(brand, size)).alias("concept_id"))
+    kinds = orders.select(F.explode(F.array(priority, status)).alias("concept_id"))
+    for rows in (groups, kinds):
+        concept = concept.union(rows.distinct().select("concept_id", valid))
     to = F.col("p_partkey").alias("descendant_concept_id")
     concept_ancestor = (
         part.select(brand.alias("ancestor_concept_id"), to)
