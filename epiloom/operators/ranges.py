@@ -8,8 +8,8 @@ difference of two running sums. A window group then holds at most one row per
 day and distinct anchor, however many rows the person has.
 
 A second range, on the day events end, is answered the same way inside the
-nodes of a binary tree over days: an end day lies in one node per level, and a
-range of end days is a union of a few nodes.
+nodes of a tree over days (a node of level l spans 4^l days): an end day lies in
+one node per level, and a range of end days is a union of a few nodes.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LEVELS = 16
+_BASE_BITS = 2
+_LEVELS = 8
 _EPOCH_SHIFT = 719_162  # makes day numbers of years 1 to 9999 non-negative
 _FOREVER = 3_000_000  # beyond the last day number
 
@@ -52,31 +53,36 @@ def _day(value: Column | None, missing: int) -> Column:
     return F.lit(missing) if value is None else F.unix_date(value) + _EPOCH_SHIFT
 
 
+def _node(level: int, node: Column) -> Column:
+    return F.struct(F.lit(level).alias("level"), node.cast("int").alias("node"))
+
+
 def _nodes_of(day: Column) -> Column:
     """The tree nodes that hold a day, one per level."""
-    return F.array(
-        *[F.struct(F.lit(l).alias("level"), F.shiftright(day, l).alias("node")) for l in range(_LEVELS + 1)]
-    )
+    return F.array(*[_node(l, F.shiftright(day, _BASE_BITS * l)) for l in range(_LEVELS + 1)])
+
+
+def _up(value: Column, bits: int) -> Column:
+    return F.shiftright(value + ((1 << bits) - 1), bits)
 
 
 def _nodes_covering(lower: Column, upper: Column) -> Column:
-    """Disjoint nodes whose union is [lower, upper]."""
+    """Disjoint nodes whose union is [lower, upper].
+
+    On each level the nodes that fill up to the next level's edges on the left
+    and right; on the top level all that are left.
+    """
+    base = 1 << _BASE_BITS
     parts = []
     for l in range(_LEVELS):
-        left = F.shiftright(lower + ((1 << l) - 1), l)
-        right = F.shiftright(upper + 1, l)
-        for odd, node in ((left, left), (right, right - 1)):
-            take = (left < right) & (odd % 2 == 1)
-            parts.append(F.when(take, F.struct(F.lit(l).alias("level"), node.alias("node"))))
-    left = F.shiftright(lower + ((1 << _LEVELS) - 1), _LEVELS)
-    right = F.shiftright(upper + 1, _LEVELS)
-    top = F.when(
-        left < right,
-        F.transform(
-            F.sequence(left, F.greatest(left, right - 1)),
-            lambda n: F.struct(F.lit(_LEVELS).alias("level"), n.alias("node")),
-        ),
-    )
+        left, right = _up(lower, _BASE_BITS * l), F.shiftright(upper + 1, _BASE_BITS * l)
+        inner_left, inner_right = _up(left, _BASE_BITS) * base, F.shiftright(right, _BASE_BITS) * base
+        for k in range(base - 1):
+            parts.append(F.when(left + k < F.least(inner_left, right), _node(l, left + k)))
+            take = (inner_right >= inner_left) & (inner_right + k < right)
+            parts.append(F.when(take, _node(l, inner_right + k)))
+    left, right = _up(lower, _BASE_BITS * _LEVELS), F.shiftright(upper + 1, _BASE_BITS * _LEVELS)
+    top = F.when(left < right, F.transform(F.sequence(left, F.greatest(left, right - 1)), lambda n: _node(_LEVELS, n)))
     none = F.lit([]).cast("array<struct<level:int,node:int>>")
     return F.concat(F.array_compact(F.array(*parts)), F.coalesce(top, none))
 
@@ -109,10 +115,9 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
     for i, r in enumerate(ranges):
         start = _day(F.col(r.start), 0)
         if r.by_end:
-            daily = r.events.groupBy(*keys, r.start, r.end).agg(F.count(F.lit(1)).alias("n"))
             nodes = _nodes_of(_day(F.col(r.end), 0))
-            rows = daily.select(*keys, F.explode(nodes).alias("at"), start.alias("day"), "n")
-            rows = rows.groupBy(*keys, "at", "day").agg(F.sum("n").alias("n"))
+            rows = r.events.select(*keys, F.explode(nodes).alias("at"), start.alias("day"))
+            rows = rows.groupBy(*keys, "at", "day").agg(F.count(F.lit(1)).alias("n"))
             where = _nodes_covering(_day(r.end_lower, 0), _day(r.end_upper, _FOREVER))
         else:
             daily = r.events.groupBy(*keys, r.start).agg(F.count(F.lit(1)).alias("n"))
@@ -133,17 +138,17 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
         if lower is not None:
             asked.append(F.transform(where, _probe(i, lower_question, lower, -1)))
 
-    probes = anchors.select(*keys, F.struct(*anchor).alias("anchor"), F.explode(F.concat(*asked)).alias("p"))
+    probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p"))
     line = probes.select(
-        *keys, "p.question", "p.at", "p.day", F.lit(0).cast("long").alias("n"), "anchor", "p.sign", "p.answer"
+        *keys, *anchor, "p.question", "p.at", "p.day", F.lit(0).cast("long").alias("n"), "p.sign", "p.answer"
     )
     for rows in counted:
         line = line.unionByName(rows, allowMissingColumns=True)
     running = F.sum("n").over(Window.partitionBy(*keys, "question", "at.level", "at.node").orderBy("day"))
     return (
         line.withColumn("upto", running)
-        .filter("anchor is not null")
-        .groupBy(*keys, "anchor")
+        .filter("answer is not null")
+        .groupBy(*keys, *anchor)
         .agg(
             *[
                 F.greatest(
@@ -152,7 +157,6 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
                 for i, r in enumerate(ranges)
             ]
         )
-        .select(*keys, "anchor.*", *[r.name for r in ranges])
     )
 
 
