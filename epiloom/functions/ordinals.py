@@ -5,32 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_BITS = 16
+# Keys are grouped by their upper bits twice; no window sees more than 2^22 counts.
+SHIFTS = [22, 44]
+
+
+def _offset(rows: DataFrame, within: list[str], order: str) -> DataFrame:
+    """Rows before each one within its group, from counts `_n`."""
+    w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
 
 
 def number_rows(df: DataFrame, key: str, date: str, ties: list[str], name: str) -> DataFrame:
     """1..n in order of (key, date, ties); `key` is a whole number.
 
     Counts per (key, date) are added up level by level: days within a key, keys
-    within a chunk of 65 536 keys, chunks. Each window runs over counts, never
-    over all the rows of a key; only rows of one key and one day are sorted
-    together.
+    within a group of neighbouring keys, groups. Each window runs over counts,
+    never over all the rows of a key; only rows of one key and one day are
+    sorted together.
     """
     days = df.groupBy(key, date).agg(F.count(F.lit(1)).alias("_n"))
-    chunk = F.shiftright(F.col(key).cast("long"), CHUNK_BITS).alias("_chunk")
-    keys = days.groupBy(key).agg(F.sum("_n").alias("_n")).withColumn("_chunk", chunk)
-    chunks = keys.groupBy("_chunk").agg(F.sum("_n").alias("_n"))
-
-    def offset(rows: DataFrame, within: list[str], order: str, out: str) -> DataFrame:
-        w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return rows.withColumn(out, F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-
-    # A constant partition key: the chunks are the only rows that meet in one task.
-    chunks = offset(chunks.withColumn("_all", F.lit(0)), ["_all"], "_chunk", "_o1").drop("_all")
-    keys = offset(keys, ["_chunk"], key, "_o2").join(chunks, "_chunk").drop("_chunk")
-    keys = keys.select(key, (F.col("_o1") + F.col("_o2")).alias("_ok"))
-    days = offset(days, [key], date, "_o3").join(keys, key)
-    days = days.select(key, date, (F.col("_ok") + F.col("_o3")).alias("_base"))
-    w = Window.partitionBy(key, date).orderBy(*ties) if ties else Window.partitionBy(key, date).orderBy(key)
-    numbered = df.withColumn("_rn", F.row_number().over(w)).join(days, [key, date])
+    keys = days.groupBy(F.col(key).cast("long").alias("_g0")).agg(F.sum("_n").alias("_n"))
+    levels = [keys]
+    for i, shift in enumerate(SHIFTS):
+        group = F.shiftright(F.col(f"_g{i}"), shift - (SHIFTS[i - 1] if i else 0)).alias(f"_g{i + 1}")
+        levels.append(levels[-1].groupBy(group).agg(F.sum("_n").alias("_n")))
+    top = len(SHIFTS)
+    base = _offset(levels[top].withColumn("_all", F.lit(0)), ["_all"], f"_g{top}").select(
+        f"_g{top}", F.col("_before").alias("_base")
+    )
+    for i in range(top - 1, -1, -1):
+        group = F.shiftright(F.col(f"_g{i}"), SHIFTS[i] - (SHIFTS[i - 1] if i else 0))
+        rows = _offset(levels[i].withColumn(f"_g{i + 1}", group), [f"_g{i + 1}"], f"_g{i}")
+        base = rows.join(base, f"_g{i + 1}").select(f"_g{i}", (F.col("_base") + F.col("_before")).alias("_base"))
+    days = _offset(days, [key], date).join(base, F.col(key) == F.col("_g0"))
+    days = days.select(key, date, (F.col("_base") + F.col("_before")).alias("_base"))
+    within = F.row_number().over(Window.partitionBy(key, date).orderBy(*ties))
+    numbered = df.withColumn("_rn", within).join(days, [key, date])
     return numbered.select((F.col("_base") + F.col("_rn")).alias(name), *df.columns)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epiloom.sources.tables import materialize
+
 
 @dataclass(frozen=True)
 class ConceptSet:
@@ -68,37 +70,29 @@ def expand_codesets(sets: list[ConceptSet], concept: DataFrame, concept_ancestor
     )
 
 
-@dataclass(frozen=True)
-class Codesets:
-    """The concept sets of a definition, expanded one by one where they are used."""
-
-    sets: tuple[ConceptSet, ...]
-    concept: DataFrame
-    concept_ancestor: DataFrame
+def stored_codesets(sets: list[ConceptSet], concept: DataFrame, concept_ancestor: DataFrame) -> DataFrame:
+    """The expanded sets of a definition, written once.
 
-    def concepts(self, codeset_id: int) -> DataFrame:
-        return expand_codesets([s for s in self.sets if s.codeset_id == codeset_id], self.concept, self.concept_ancestor)
+    Every criterion then reads a small table whose size Spark knows when it
+    plans, so that matching broadcasts it below the session's threshold instead
+    of shuffling the events.
+    """
+    return materialize(expand_codesets(sets, concept, concept_ancestor), "codesets")
 
 
-def _concepts(codesets: DataFrame | Codesets, codeset_id: int) -> DataFrame:
-    if isinstance(codesets, Codesets):
-        rows = codesets.concepts(codeset_id)
-    else:
-        rows = codesets.filter(F.col("codeset_id") == codeset_id)
-    return rows.select(F.col("concept_id").alias("target_concept_id"))
+def _concepts(codesets: DataFrame, codeset_id: int) -> DataFrame:
+    return codesets.filter(F.col("codeset_id") == codeset_id).select(F.col("concept_id").alias("target_concept_id"))
 
 
-def match_codeset(events: DataFrame, codesets: DataFrame | Codesets, codeset_id: int) -> DataFrame:
+def match_codeset(events: DataFrame, codesets: DataFrame, codeset_id: int) -> DataFrame:
     """Events whose concept is in the codeset (join form).
 
-    `codesets` is a stored (codeset_id, concept_id) table or the definition's
-    sets. No broadcast hint: Spark broadcasts the codeset when its measured size
-    is below the session's threshold and otherwise shuffles, splitting hot
-    concepts.
+    Without a broadcast hint: a codeset above the session's threshold is joined
+    by shuffle, and adaptive execution splits hot concepts.
     """
     return events.join(_concepts(codesets, codeset_id), "target_concept_id").select(events.columns)
 
 
-def match_codeset_in(events: DataFrame, codesets: DataFrame | Codesets, codeset_id: int) -> DataFrame:
+def match_codeset_in(events: DataFrame, codesets: DataFrame, codeset_id: int) -> DataFrame:
     """Events whose concept is in the codeset (membership form)."""
     return events.join(_concepts(codesets, codeset_id), "target_concept_id", "left_semi").select(events.columns)

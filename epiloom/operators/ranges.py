@@ -134,9 +134,10 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
             ended = r.events.groupBy(*keys, r.end).agg(F.count(F.lit(1)).alias("n"))
             ended = ended.select(*keys, whole[0].alias("at"), _day(F.col(r.end), 0).alias("day"), "n")
             counted.append(ended.select(*keys, F.lit(lower_question).alias("question"), "at", "day", "n"))
-        asked.append(F.transform(where, _probe(i, i, upper, 1)))
+        ends = [_probe(i, i, upper, 1)]
         if lower is not None:
-            asked.append(F.transform(where, _probe(i, lower_question, lower, -1)))
+            ends.append(_probe(i, lower_question, lower, -1))
+        asked += [F.transform(where, e) for e in ends] if r.by_end else [F.array(*[e(whole[0]) for e in ends])]
 
     probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p"))
     line = probes.select(

@@ -1,6 +1,7 @@
 """From a cohort definition to cohort rows.
 
-Lazy up to the index events of each criteria group, which are stored.
+Lazy but for the codesets and the index events of each criteria group, which
+are stored, as several steps read them.
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epiloom.operators.codesets import Codesets, ConceptSet
-from epiloom.operators.criteria import EventQuery, Group, Sets, add_groups, filter_group, query_events
+from epiloom.operators.codesets import ConceptSet, stored_codesets
+from epiloom.operators.criteria import EventQuery, Group, add_groups, filter_group, query_events
 from epiloom.operators.eras import era_collapse, exit_at_observation_end, exit_fixed_offset, to_cohort
 from epiloom.operators.events import domain_events, first_rows
 from epiloom.operators.inclusion import all_rules_met, rule_mask
@@ -53,7 +54,7 @@ def limited(events: DataFrame, limit: str) -> DataFrame:
     return first_rows(events, ["person_id"], ORDER) if limit == "First" else events
 
 
-def primary_events(cdm: Cdm, codesets: Sets, spec: CohortSpec) -> DataFrame:
+def primary_events(cdm: Cdm, codesets: DataFrame | None, spec: CohortSpec) -> DataFrame:
     """Entry events of all primary criteria with their observation period.
 
     `criterion` tells apart events of different tables with the same id.
@@ -67,14 +68,14 @@ def primary_events(cdm: Cdm, codesets: Sets, spec: CohortSpec) -> DataFrame:
     return limited(found, spec.primary_limit)
 
 
-def qualified_events(cdm: Cdm, codesets: Sets, spec: CohortSpec) -> DataFrame:
+def qualified_events(cdm: Cdm, codesets: DataFrame | None, spec: CohortSpec) -> DataFrame:
     events = primary_events(cdm, codesets, spec)
     if spec.additional is not None:
         events = filter_group(cdm, codesets, events, spec.additional)
     return limited(events, spec.qualified_limit)
 
 
-def masked_events(cdm: Cdm, codesets: Sets, spec: CohortSpec) -> DataFrame:
+def masked_events(cdm: Cdm, codesets: DataFrame | None, spec: CohortSpec) -> DataFrame:
     """Qualified events with the bit mask of the inclusion rules they meet."""
     events = qualified_events(cdm, codesets, spec)
     names = [f"_rule_{i}" for i in range(len(spec.rules))]
@@ -97,14 +98,16 @@ def cohort_rows(included: DataFrame, spec: CohortSpec) -> DataFrame:
     return to_cohort(eras, spec.cohort_id)
 
 
-def spec_codesets(cdm: Cdm, spec: CohortSpec) -> Sets:
+def spec_codesets(cdm: Cdm, spec: CohortSpec) -> DataFrame | None:
     if not spec.concept_sets:
         return None
-    return Codesets(spec.concept_sets, cdm.concept, cdm.concept_ancestor)
+    return stored_codesets(list(spec.concept_sets), cdm.concept, cdm.concept_ancestor)
 
 
-def build_cohort(cdm: Cdm, spec: CohortSpec) -> DataFrame:
-    codesets = spec_codesets(cdm, spec)
+def build_cohort(cdm: Cdm, spec: CohortSpec, codesets: DataFrame | None = None) -> DataFrame:
+    """Cohort rows of a definition; pass `codesets` where many share them."""
+    if codesets is None:
+        codesets = spec_codesets(cdm, spec)
     return cohort_rows(included_events(masked_events(cdm, codesets, spec), spec), spec)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from epiloom import schema
 from epiloom.functions.dates import birth_date
 from epiloom.functions.names import camel, levels
-from epiloom.operators.codesets import Codesets, expand_codesets, match_codeset, match_codeset_in
+from epiloom.operators.codesets import expand_codesets, match_codeset, match_codeset_in, stored_codesets
 from epiloom.operators.counts import cohort_counts
 from epiloom.operators.events import (
     compare,
@@ -251,7 +251,7 @@ def sex(spark, sf):
 
 
 def codesets(cdm):
-    return Codesets(tuple(SETS), cdm.concept, cdm.concept_ancestor)
+    return stored_codesets(SETS, cdm.concept, cdm.concept_ancestor)
 
 
 @query("j1_codeset_expand", with_tables("SELECT CAST(codeset_id AS INT) AS codeset_id, concept_id FROM codesets"))
