@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from epiloom.functions.dates import age_at
 from epiloom.operators.codesets import match_codeset
 from epiloom.operators.events import compare, domain_events, filter_age, filter_date, first_ever, longer_than
-from epiloom.operators.observation import periods
+from epiloom.operators.observation import attach_observation, periods
 from epiloom.operators.ranges import DayRange, count_in_ranges
 from epiloom.sources.tables import Cdm, materialize
 
@@ -133,8 +133,30 @@ def _tighter(pick, bound: Column | None, edge: Column | None) -> Column | None:
     return pick(bound, edge)
 
 
-def _range(name: str, events: DataFrame, c: Correlated) -> DayRange:
+def _spans(c: Correlated) -> bool:
+    """Started by some day and not over before another: the event meets those days."""
+    w, e = c.window, c.end_window
+    return (
+        e is not None
+        and w.start is None
+        and e.end is None
+        and w.end is not None
+        and e.start is not None
+        and e.start <= w.end + 1
+        and w.from_index_end == e.from_index_end
+    )
+
+
+def _range(cdm: Cdm, name: str, events: DataFrame, c: Correlated) -> DayRange:
     inside = not c.ignore_observation
+    if _spans(c):
+        cell = None
+        if inside:
+            # Start and end inside the period: settled on the events, per period.
+            events = attach_observation(events, cdm.observation_period).filter("end_date <= op_end_date")
+            cell = ("op_start_date", "op_end_date")
+        first, last = _bound(c.end_window, c.end_window.start), _bound(c.window, c.window.end)
+        return DayRange(name, events, first, last, overlap=True, cell=cell)
     op_start = F.col("op_start_date") if inside else None
     op_end = F.col("op_end_date") if inside else None
     end_lower = end_upper = None
@@ -205,7 +227,7 @@ def add_groups(cdm: Cdm, codesets: DataFrame | None, index: DataFrame, groups: d
         for c in _correlated(group):
             if id(c) not in names:
                 names[id(c)] = f"_count_{len(names)}"
-                ranges.append(_range(names[id(c)], query_events(cdm, codesets, c.query), c))
+                ranges.append(_range(cdm, names[id(c)], query_events(cdm, codesets, c.query), c))
     anchor = ["start_date", "op_start_date", "op_end_date"]
     windows = [w for g in groups.values() for c in _correlated(g) for w in (c.window, c.end_window) if w]
     if any(w.from_index_end for w in windows):

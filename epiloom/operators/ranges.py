@@ -7,9 +7,12 @@ reduced to distinct ones, both are put on one time line, and the answer is a
 difference of two running sums. A window group then holds at most one row per
 day and distinct anchor, however many rows the person has.
 
-A second range, on the day events end, is answered the same way inside the
-nodes of a tree over days (a node of level l spans 4^l days): an end day lies in
-one node per level, and a range of end days is a union of a few nodes.
+Events that meet a range of days are those begun by its last day less those
+over before its first: two running sums again. Only a range of end days that is
+independent of the start days needs more. It is answered inside the nodes of a
+tree over days (a node of level l spans 4^l days): an end day lies in one node
+per level, and a range of end days is a union of a few nodes. That multiplies
+the rows about tenfold, so `overlap` is to be preferred where it says the same.
 """
 
 from __future__ import annotations
@@ -31,7 +34,10 @@ class DayRange:
 
     Bounds are date columns of the anchor side; None leaves a side open. With
     `end_lower` or `end_upper` the event's end day must lie in that range too.
-    `overlap` asks for events whose [start, end] meets [lower, upper] instead.
+    `overlap` asks for events whose [start, end] meets [lower, upper] instead;
+    `lower` may be up to one day after `upper` then (an event that spans both).
+    `cell` names two date columns that must be equal on both sides, such as the
+    edges of an observation period; without it events of all cells count.
     """
 
     name: str
@@ -41,6 +47,7 @@ class DayRange:
     end_lower: Column | None = None
     end_upper: Column | None = None
     overlap: bool = False
+    cell: tuple[str, str] | None = None
     start: str = "start_date"
     end: str = "end_date"
 
@@ -53,8 +60,10 @@ def _day(value: Column | None, missing: int) -> Column:
     return F.lit(missing) if value is None else F.unix_date(value) + _EPOCH_SHIFT
 
 
-def _node(level: int, node: Column) -> Column:
-    return F.struct(F.lit(level).alias("level"), node.cast("int").alias("node"))
+def _node(level: int, node: Column, other: Column | None = None) -> Column:
+    """A part of the time line: a tree node, all of it (-1) or a cell (-2)."""
+    other = F.lit(0) if other is None else other
+    return F.struct(F.lit(level).alias("level"), node.cast("int").alias("node"), other.alias("other"))
 
 
 def _nodes_of(day: Column) -> Column:
@@ -83,7 +92,7 @@ def _nodes_covering(lower: Column, upper: Column) -> Column:
             parts.append(F.when(take, _node(l, inner_right + k)))
     left, right = _up(lower, _BASE_BITS * _LEVELS), F.shiftright(upper + 1, _BASE_BITS * _LEVELS)
     top = F.when(left < right, F.transform(F.sequence(left, F.greatest(left, right - 1)), lambda n: _node(_LEVELS, n)))
-    none = F.lit([]).cast("array<struct<level:int,node:int>>")
+    none = F.lit([]).cast("array<struct<level:int,node:int,other:int>>")
     return F.concat(F.array_compact(F.array(*parts)), F.coalesce(top, none))
 
 
@@ -110,19 +119,17 @@ def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges
 
 def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ranges: list[DayRange]) -> DataFrame:
     """The counts for distinct anchors: (keys, anchor, one column per range)."""
-    whole = F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("node")))
     counted, asked = [], []
     for i, r in enumerate(ranges):
         start = _day(F.col(r.start), 0)
+        part = _node(-1, F.lit(0)) if r.cell is None else _node(-2, *[F.unix_date(c) for c in r.cell])
         if r.by_end:
             nodes = _nodes_of(_day(F.col(r.end), 0))
             rows = r.events.select(*keys, F.explode(nodes).alias("at"), start.alias("day"))
             rows = rows.groupBy(*keys, "at", "day").agg(F.count(F.lit(1)).alias("n"))
             where = _nodes_covering(_day(r.end_lower, 0), _day(r.end_upper, _FOREVER))
         else:
-            daily = r.events.groupBy(*keys, r.start).agg(F.count(F.lit(1)).alias("n"))
-            rows = daily.select(*keys, whole[0].alias("at"), start.alias("day"), "n")
-            where = whole
+            rows = r.events.groupBy(*keys, part.alias("at"), start.alias("day")).agg(F.count(F.lit(1)).alias("n"))
         counted.append(rows.select(*keys, F.lit(i).alias("question"), "at", "day", "n"))
         lower = None if r.lower is None else _day(r.lower, 0) - 1
         upper = _day(r.upper, _FOREVER)
@@ -131,13 +138,13 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
         if r.overlap:
             # started by `upper`, less those over before `lower`
             lower_question = len(ranges) + i
-            ended = r.events.groupBy(*keys, r.end).agg(F.count(F.lit(1)).alias("n"))
-            ended = ended.select(*keys, whole[0].alias("at"), _day(F.col(r.end), 0).alias("day"), "n")
+            end = _day(F.col(r.end), 0).alias("day")
+            ended = r.events.groupBy(*keys, part.alias("at"), end).agg(F.count(F.lit(1)).alias("n"))
             counted.append(ended.select(*keys, F.lit(lower_question).alias("question"), "at", "day", "n"))
         ends = [_probe(i, i, upper, 1)]
         if lower is not None:
             ends.append(_probe(i, lower_question, lower, -1))
-        asked += [F.transform(where, e) for e in ends] if r.by_end else [F.array(*[e(whole[0]) for e in ends])]
+        asked += [F.transform(where, e) for e in ends] if r.by_end else [F.array(*[e(part) for e in ends])]
 
     probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p"))
     line = probes.select(
@@ -145,7 +152,7 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
     )
     for rows in counted:
         line = line.unionByName(rows, allowMissingColumns=True)
-    running = F.sum("n").over(Window.partitionBy(*keys, "question", "at.level", "at.node").orderBy("day"))
+    running = F.sum("n").over(Window.partitionBy(*keys, "question", "at.level", "at.node", "at.other").orderBy("day"))
     return (
         line.withColumn("upto", running)
         .filter("answer is not null")
