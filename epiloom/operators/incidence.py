@@ -9,6 +9,8 @@ the running count at its first month and takes 1 away after its last.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -241,15 +243,21 @@ def rollup_overall(monthly: DataFrame, keys: tuple[str, ...] = ("denom_id", "out
     return roll_up(monthly, list(keys))
 
 
-def with_limits(rates: DataFrame) -> DataFrame:
-    """Exact 95 % limits of the rate; null where there are no events."""
+def with_limits(rates: DataFrame, upper_without_events: bool = False) -> DataFrame:
+    """Exact 95 % limits of the rate; null where there are no events.
+
+    `upper_without_events` gives a count of 0 its upper limit.
+    """
     per = F.col("person_days") / F.lit(365.25)
     limits = rates.withColumn("_ci", poisson_limits(F.col("outcome_count").cast("double")))
     ok = F.col("person_days") > 0
+    upper = F.col("_ci.upper")
+    if upper_without_events:
+        upper = F.when(F.col("outcome_count") == 0, -math.log(0.025)).otherwise(upper)
     return limits.select(
         *rates.columns,
         F.when(ok, F.col("_ci.lower") / per * 100_000).alias("incidence_100000_pys_95CI_lower"),
-        F.when(ok, F.col("_ci.upper") / per * 100_000).alias("incidence_100000_pys_95CI_upper"),
+        F.when(ok, upper / per * 100_000).alias("incidence_100000_pys_95CI_upper"),
     )
 
 

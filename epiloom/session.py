@@ -23,19 +23,24 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Only a local master may do without it and falls back to a temporary folder.
+    A checkpoint folder set on the context serves as well. Only a local master
+    may do without both and uses a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="epiloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="epiloom-")
+    return _LOCAL[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

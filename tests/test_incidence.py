@@ -101,6 +101,14 @@ def test_rollups_take_the_largest_month(spark):
     assert plain.incidence_100000_pys_95CI_upper == pytest.approx(8.7672731 / (690 / 365.25) * 1e5)
 
 
+def test_limits_without_events(spark):
+    df = spark.createDataFrame([(0, 36525), (None, 36525), (3, 0)], "outcome_count long, person_days long")
+    names = ["incidence_100000_pys_95CI_lower", "incidence_100000_pys_95CI_upper"]
+    assert rows(inc.with_limits(df), *names) == [(None, None)] * 3
+    found = rows(inc.with_limits(df, upper_without_events=True), *names)
+    assert found[:2] == [(None, None)] * 2 and found[2] == (None, pytest.approx(3688.879454))
+
+
 PERSONS = [(1, 8507, 1981, 2, 28), (2, 8532, 1980, 2, 29), (3, 8507, 1960, 0, None), (4, 0, 1960, 1, 1), (5, 8532, None, 1, 1)]
 
 

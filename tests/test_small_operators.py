@@ -223,6 +223,28 @@ def test_stored_tables_lie_in_the_shared_folder(spark):
     assert rows(cut_lineage(df)) == [(1, 1, 0, 1)]
 
 
+class _Session:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.sparkContext = self
+        self.conf = self
+        self.master = master
+        self.applicationId = f"app {master}"
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_only_a_local_master_needs_no_shared_folder():
+    assert scratch_dir(_Session("local[4]")) == scratch_dir(_Session("local[4]"))
+    with pytest.raises(ValueError):
+        scratch_dir(_Session("yarn"))
+
+
 def test_a_hot_person_is_split(spark):
     """One person with most events: adaptive execution splits that partition."""
     c = cdm(spark, periods=[(i, 0, 3000) for i in range(200)])

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from datetime import date
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,14 +35,16 @@ SETS = [
 ]
 
 
-@lru_cache(maxsize=4)
-def _load(application: str, sf_dir: str) -> Cdm:
-    return _clinical(SparkSession.getActiveSession(), sf_dir)
+_PLANS: dict[tuple[str, str], Cdm] = {}
 
 
 def clinical(spark: SparkSession, sf_dir: str) -> Cdm:
+    """The unexecuted tables for a folder, described once per application."""
     tuned(spark)
-    return _load(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = _clinical(spark, sf_dir)
+    return _PLANS[key]
 
 
 def _clinical(spark: SparkSession, sf_dir: str) -> Cdm:
