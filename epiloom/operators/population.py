@@ -62,7 +62,7 @@ def sample_n(rows: DataFrame, n: int) -> DataFrame:
     """
     entry = F.col("cohort_start_date")
     scrambled = ((F.col("subject_id") * F.month(entry)) % 123) * ((F.year(entry) * F.day(entry)) % 123)
-    return rows.orderBy(scrambled, "subject_id", entry, "cohort_end_date").limit(n)
+    return rows.orderBy(scrambled, "subject_id", entry, "cohort_end_date", "cohort_definition_id").limit(n)
 
 
 def population_features(
@@ -87,7 +87,8 @@ def population_features(
         stop = F.col(last) if end is None else F.least(F.col(last), F.lit(end))
         return F.datediff(stop, entry)
 
-    numbered = number_rows(rows, "subject_id", "cohort_start_date", ["cohort_end_date", "op_start_date"], "row_id")
+    ties = ["cohort_end_date", "cohort_definition_id", "op_start_date"]
+    numbered = number_rows(rows, "subject_id", "cohort_start_date", ties, "row_id")
     return numbered.select(
         "row_id",
         "subject_id",

@@ -134,6 +134,8 @@ def test_population_and_sample(spark):
     assert rows(found, "row_id", "subject_id", "days_from_obs_start", "days_to_cohort_end", "days_to_obs_end") == [
         (1, 1, 50, 10, 350), (2, 1, 100, 300, 300)
     ]
+    twins = cohort(spark, [(5, 1, 100, 110), (4, 1, 100, 110), (3, 1, 100, 120)])
+    assert rows(population_features(twins, c), "row_id", "cohort_definition_id") == [(1, 4), (2, 5), (3, 3)]
     once = population_features(entries, c, first=True)
     assert rows(once, "subject_id", "days_to_cohort_end", "age_year") == [(1, 10, 50)]
     assert sample_n(entries, 3).count() == 3
