@@ -32,14 +32,15 @@ ANALYSES = T.StructType(
     ]
 )
 
+# Columns by position; the names are those `label_outcomes` asks for.
 COHORT_LIST = T.StructType(
     [
-        T.StructField("atlasId", T.LongType()),
-        T.StructField("atlasName", T.StringType()),
-        T.StructField("cohortId", T.LongType()),
-        T.StructField("cohortName", T.StringType()),
+        T.StructField("definition_id", T.LongType()),
+        T.StructField("definition_name", T.StringType()),
+        T.StructField("cohort_id", T.LongType()),
+        T.StructField("cohort_name", T.StringType()),
         T.StructField("table_name", T.StringType()),
-        T.StructField("fileRoot", T.StringType()),
+        T.StructField("file_root", T.StringType()),
     ]
 )
 

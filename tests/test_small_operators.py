@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from epiloom import schema
 from epiloom.functions.cells import as_text, count_columns, suppress_small
 from epiloom.functions.dates import birth_date
 from epiloom.functions.names import camel
@@ -22,6 +23,7 @@ from epiloom.operators.followup import (
     outcome_after_index,
     outcome_at_risk,
 )
+from epiloom.operators.incidence import label_outcomes
 from epiloom.operators.observation import attach_observation, require_latest_date, study_window
 from epiloom.operators.population import population_features, sample_n
 from epiloom.operators.snapshot import snapshot, source_information
@@ -225,6 +227,14 @@ def test_stored_tables_lie_in_the_shared_folder(spark):
     assert rows(cut_lineage(df)) == [(1, 1, 0, 1)]
 
 
+def test_cohort_list_names_outcomes(spark, tmp_path):
+    path = tmp_path / "list.csv"
+    path.write_text("anId,aName,cohortId,cohortName,table_name,root\n7,x,1,asthma,chronic,dir\n8,y,2,NA,chronic,dir\n")
+    labels = tables.read_settings(spark, str(path), schema.COHORT_LIST)
+    rates = spark.createDataFrame([(1, "chronic"), (2, "chronic")], "outcome_id long, outcome_table string")
+    assert rows(label_outcomes(rates, labels), "outcome_id", "outcome_name") == [(1, "asthma"), (2, "chronic_2")]
+
+
 class _Session:
     """A session without a checkpoint folder."""
 
