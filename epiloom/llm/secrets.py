@@ -130,7 +130,7 @@ def fit(rows: Iterable[tuple[int, str]]) -> Model:
         return model
     held = sorted(model.score(v) for k in range(3) for v in by_kind[k][1] if len(v) >= 16)
     other = sorted(model.score(v) for v in by_kind[3][1] if len(v) >= 16)
-    low = held[len(held) // 100] if held else 0.0
+    low = held[len(held) // 20] if held else 0.0
     high = other[min(len(other) - 1, len(other) * 999 // 1000)] if other else 0.0
     return model._replace(least=max(low, high, 0.0))
 
