@@ -1,12 +1,68 @@
-"""A corpus pipeline over the documents."""
+"""A corpus pipeline: toxic documents go, then near-copies, then leaked benchmark text; secrets are masked, and what is left is packed."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from epiloom.llm import secrets, toxicity
+from epiloom.llm.common import stored, table
+from epiloom.llm.decontaminate import without_windows
+from epiloom.llm.hyperminhash import near_duplicates
+from epiloom.llm.packing import pack
+from epiloom.llm.toxicity_queries import LIMIT
+
+#: SQL can't express a trained model, tokenizer or hash sketch; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a calibrated toxicity below the limit. All labels teach."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    return model.score(docs).where(F.col("toxicity_score") < LIMIT).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-copies: five words, Jaccard 0.8.
+
+    Rows that repeat an id are told apart by their text, and equal ones stay once.
+    """
+    found = stored(near_duplicates(docs), "near-copies")
+    kept = docs.join(found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi")
+    if not found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").isEmpty():
+        kept = kept.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]).drop("text_hash")
+    return kept.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+
+
+def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten successive words of a benchmark item."""
+    return without_windows(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked and n_chars counted anew."""
+    masked = secrets.redact(docs, secrets.fit_on(docs))
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in pieces, in sequences of 2048 tokens."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaked),
+    ("secret_scan", mask_secrets),
+    ("packing", pack_sequences),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """What the last stage returns; each stage starts from the files that the one before wrote."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

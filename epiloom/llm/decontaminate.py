@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiloom.llm.common import in_batches, rows_of, stored, utf8
@@ -128,22 +130,27 @@ def _digest(text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """doc_id, n_words, ranges (array of begin and end) and items (sorted array) of each document."""
+def indexes(docs: DataFrame, benchmark: DataFrame, size: int, block_windows: int) -> Iterator[Broadcast]:
+    """The index of each block of windows, sent to the tasks; words are counted over all of `docs`."""
     windows = stored(benchmark_windows(benchmark, size), "windows")
     blocks = max(1, -(-windows.count() // block_windows))
     block = F.pmod(F.xxhash64("words"), F.lit(blocks))
-    body = docs.select("doc_id", utf8(F.col("text")).alias("body"))
-    parts: list[DataFrame] = []
     for k in range(blocks):
         rows = [(r.item_id, bytes(r.words)) for r in windows.where(block == k).take(2 * block_windows + 1)]
         if len(rows) > 2 * block_windows:  # blocks are dealt by hash, so they are about even
             raise ValueError("a block of windows is larger than its bound")
         vocabulary = frozenset(w for _, joined in rows for w in joined.split(b" "))
         counts = document_counts(docs, vocabulary) if rows else {}
-        sent = docs.sparkSession.sparkContext.broadcast(index_of(rows, counts))
+        yield docs.sparkSession.sparkContext.broadcast(index_of(rows, counts))
 
-        def scan(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+
+def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """doc_id, n_words, ranges (array of begin and end) and items (sorted array) of each document."""
+    body = docs.select("doc_id", utf8(F.col("text")).alias("body"))
+    parts: list[DataFrame] = []
+    for sent in indexes(docs, benchmark, size, block_windows):
+
+        def scan(batches: Iterable[pa.RecordBatch], sent: Broadcast = sent) -> Iterator[pa.RecordBatch]:
             def found() -> Iterator[tuple]:
                 for doc_id, text in rows_of(batches, "doc_id", "body"):
                     words = words_of(text)
@@ -153,7 +160,23 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, bloc
             return in_batches(found(), _FOUND)
 
         parts.append(body.mapInArrow(scan, _FOUND_DDL))
-    return (parts[0] if blocks == 1 else _of_all_blocks(parts)).drop("digest")
+    return (parts[0] if len(parts) == 1 else _of_all_blocks(parts)).drop("digest")
+
+
+def without_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The documents, with all their columns, in which no window occurs."""
+    for number, index in enumerate(indexes(docs, benchmark, size, block_windows)):
+        docs = stored(docs, "clean-documents") if number else docs  # one block in a task at a time
+        docs = docs.where(~_hit(index)(utf8(F.col("text"))))
+    return docs
+
+
+def _hit(index: Broadcast) -> Callable[[Column], Column]:
+    @F.pandas_udf("boolean")
+    def hit(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: bool(hits_of(words_of(t), index.value)[0]))
+
+    return hit
 
 
 def _of_all_blocks(parts: list[DataFrame]) -> DataFrame:

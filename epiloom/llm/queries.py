@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from epiloom.llm import decontaminate_queries, packing_queries, secrets_queries, toxicity_queries, url_queries, warc_queries  # noqa: F401
+from epiloom.llm import (  # noqa: F401
+    decontaminate_queries,
+    hyperminhash_queries,
+    maintext_queries,
+    packing_queries,
+    quality_queries,
+    secrets_queries,
+    spotsigs_queries,
+    toxicity_queries,
+    url_queries,
+    warc_queries,
+)
 from epiloom.llm.registry import ORACLES, PLANS
 
 __all__ = ["ORACLES", "PLANS"]

@@ -20,6 +20,7 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -125,17 +126,15 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON_SIZE) -> dict[str, float
     return {w: 5.0 for w in SEED} | learned
 
 
-def with_features(texts: DataFrame, lexicon: dict[str, float], *keep: str) -> DataFrame:
-    """The columns `keep` (doubles or longs) and `features`, an array of doubles, of (text)."""
-    sent = texts.sparkSession.sparkContext.broadcast(lexicon)  # at most LEXICON_SIZE words and the list above
-    fields = [f for f in texts.select(*keep).schema]
-    schema = pa.schema([(f.name, pa.float64() if f.dataType.typeName() == "double" else pa.int64()) for f in fields] + [("features", pa.list_(pa.float64()))])
+def with_features(docs: DataFrame, lexicon: dict[str, float], column: str = "features") -> DataFrame:
+    """`docs` with the array of its texts' features in a further column."""
+    sent = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most LEXICON_SIZE words and the list above
 
-    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return in_batches(((*kept, features(text, sent.value)) for text, *kept in rows_of(batches, "text", *keep)), schema, 1000)
+    @F.pandas_udf("array<double>")
+    def compute(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: features(t, sent.value))
 
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", features array<double>"
-    return texts.select("text", *keep).mapInArrow(compute, ddl)
+    return docs.withColumn(column, compute(F.coalesce("text", F.lit(""))))
 
 
 class Scorer:
@@ -144,19 +143,19 @@ class Scorer:
     def __init__(self, lexicon: dict[str, float], trees=None, calibration=None, constant: float = 0.0) -> None:  # noqa: ANN001
         self.lexicon, self.trees, self.calibration, self.constant = lexicon, trees, calibration, constant
 
-    def score(self, texts: DataFrame, *keep: str) -> DataFrame:
-        """`keep` and `score` of (text)."""
+    def score(self, docs: DataFrame) -> DataFrame:
+        """All columns of `docs` (with text) and the score as `toxicity_score`."""
         if self.trees is None:
-            return texts.select(*keep, F.lit(self.constant).alias("score"))
-        raw = _raw(self.trees, with_features(texts, self.lexicon, *keep))
+            return docs.withColumn("toxicity_score", F.lit(self.constant))
+        raw = _raw(self.trees, with_features(docs, self.lexicon, "toxicity_features"), "toxicity_features")
         if self.calibration is None:
-            return raw.select(*keep, F.col("raw").alias("score"))
-        return self.calibration.transform(raw).select(*keep, F.col("score"))
+            return raw.select(*docs.columns, F.col("toxicity_raw").alias("toxicity_score"))
+        return self.calibration.transform(raw).select(*docs.columns, "toxicity_score")
 
 
-def _raw(trees, rows: DataFrame) -> DataFrame:  # noqa: ANN001
-    scored = trees.transform(rows.withColumn("vector", array_to_vector("features")))
-    return scored.withColumn("raw", vector_to_array("probability")[1])
+def _raw(trees, rows: DataFrame, column: str) -> DataFrame:  # noqa: ANN001
+    scored = trees.transform(rows.withColumn("toxicity_vector", array_to_vector(column)))
+    return scored.withColumn("toxicity_raw", vector_to_array("toxicity_probability")[1])
 
 
 def _kinds(rows: DataFrame) -> int:
@@ -168,14 +167,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
     texts = sample(docs, labels, label, learn, rows)
     share = texts.agg(F.avg("y")).first()[0] or 0.0
     lexicon = learn_lexicon(texts.where("part < 50"))
-    taught = stored(with_features(texts.where("part >= 50"), lexicon, "part", "y").coalesce(8), "toxicity-features")
+    taught = with_features(texts.where("part >= 50"), lexicon).select("part", "y", "features")
+    taught = stored(taught.coalesce(8), "toxicity-features")
     for_trees, for_calibration = taught.where("part < 85"), taught.where("part >= 85")
     if _kinds(for_trees) < 2:
         return Scorer(lexicon, constant=share)
-    boosted = GBTClassifier(
-        featuresCol="vector", labelCol="y", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.3, seed=1
-    ).fit(for_trees.coalesce(4).withColumn("vector", array_to_vector("features")))
+    learner = GBTClassifier(
+        featuresCol="toxicity_vector", labelCol="y", predictionCol="toxicity_label", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.3, seed=1
+    )
+    learner = learner.setProbabilityCol("toxicity_probability").setRawPredictionCol("toxicity_margins")
+    boosted = learner.fit(for_trees.coalesce(4).withColumn("toxicity_vector", array_to_vector("features")))
     calibration = None
     if _kinds(for_calibration) == 2:
-        calibration = IsotonicRegression(featuresCol="raw", labelCol="y", predictionCol="score").fit(_raw(boosted, for_calibration))
+        calibration = IsotonicRegression(featuresCol="toxicity_raw", labelCol="y", predictionCol="toxicity_score")
+        calibration = calibration.fit(_raw(boosted, for_calibration, "features"))
     return Scorer(lexicon, boosted, calibration, share)

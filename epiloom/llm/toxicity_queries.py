@@ -20,8 +20,7 @@ def scorer(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Scorer
 @query("op8_toxicity_trees")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return scorer(spark, docs, sf_dir).score(texts, "doc_id").select(
-        "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score",
-        (F.col("score") >= LIMIT).cast("int").alias("predicted"),
+    return scorer(spark, docs, sf_dir).score(docs.select("doc_id", "text")).select(
+        "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col("toxicity_score").alias("score"),
+        (F.col("toxicity_score") >= LIMIT).cast("int").alias("predicted"),
     )
