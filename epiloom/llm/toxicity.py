@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -48,9 +49,9 @@ _TOKEN = re.compile(r"[\w@$*|]+(?:[!@$*|]+\w+)*")
 _SEPARATED = re.compile(r"\b(?:[^\W\d_][ .\-_*]){3,}[^\W\d_]\b")
 _RUN = re.compile(r"(.)\1{3,}", re.S)
 _PUNCTUATION = re.compile(r"[^\w\s]")
-STEM = 5
+STEMS = (4, 5, 6, 7)
 NAMES = (
-    "log_words", "lexicon_share", "lexicon_log", "lexicon_max", "lexicon_sum", "stem_share", "stem_log", "person_share",
+    "log_words", "lexicon_share", "lexicon_log", "lexicon_max", "lexicon_sum", "stem_share", "stem_log", "stem_max", "stem_sum", "person_share",
     "near_share", "nearest", "capitals", "capital_words", "exclamations", "punctuation", "obfuscated", "obfuscated_lexicon", "runs",
 )
 
@@ -71,8 +72,9 @@ def words_of(text: str) -> tuple[list[str], list[bool]]:
     return words, odd
 
 
-def stem_of(word: str) -> str:
-    return word[:STEM] + "-"
+def stems_of(word: str) -> list[str]:
+    """Beginnings of a word, marked by a hyphen."""
+    return [word[:k] + "-" for k in STEMS if len(word) > k]
 
 
 def features(text: str, lexicon: dict[str, float]) -> list[float]:
@@ -81,7 +83,10 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     n, size = max(1, len(words)), max(1, len(text))
     distinct = set(words)
     known = {w: lexicon[w] for w in distinct if w in lexicon}
-    stems = {w for w in distinct if len(w) > STEM and w not in known and stem_of(w) in lexicon}
+    stems = {}
+    for w in distinct:
+        if len(w) > STEMS[0] and w not in known and (weight := max((lexicon.get(s, 0.0) for s in stems_of(w)), default=0.0)) > 0:
+            stems[w] = weight
     people = [i for i, w in enumerate(words) if w in SECOND_PERSON] if distinct & SECOND_PERSON else []
     hits = [i for i, w in enumerate(words) if w in known] if known else []
     stem_hits = sum(w in stems for w in words) if stems else 0
@@ -95,7 +100,8 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     letters = sum(map(str.isalpha, text))
     return [
         math.log1p(len(words)), len(hits) / n, math.log1p(len(hits)), max(known.values(), default=0.0),
-        sum(known.values()) / math.sqrt(n), stem_hits / n, math.log1p(stem_hits), len(people) / n,
+        sum(known.values()) / math.sqrt(n), stem_hits / n, math.log1p(stem_hits),
+        max(stems.values(), default=0.0), sum(stems.values()) / math.sqrt(n), len(people) / n,
         near / max(1, len(hits)), 1 / (1 + nearest), sum(map(str.isupper, text)) / max(1, letters),
         sum(len(w) > 1 and w.isupper() for w in text.split()) / n, text.count("!") / size, len(_PUNCTUATION.findall(text)) / size,
         sum(odd) / n, float(sum(o and w in known for w, o in zip(words, odd, strict=True))) if known else 0.0,
@@ -107,18 +113,18 @@ def learn_lexicon(texts: DataFrame, size: int = LEXICON_SIZE) -> dict[str, float
     """Words and stems of (text, y) that occur in many more toxic texts than others, with their log odds; at most `size`."""
 
     def terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for text, y in rows_of(batches, "text", "y"):
-                distinct = set(words_of(text)[0])
-                for term in distinct | {stem_of(w) for w in distinct if len(w) > STEM}:
-                    yield term, y
-
-        return in_batches(rows(), pa.schema([("term", pa.string()), ("y", pa.float64())]), 20_000)
+        """Counts within the task, of its part of the bounded sample."""
+        found: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+        for text, y in rows_of(batches, "text", "y"):
+            distinct = set(words_of(text)[0])
+            found[y > 0].update(distinct | {s for w in distinct for s in stems_of(w)})
+        rows = ((term, float(found[1][term]), float(found[0][term])) for term in found[0].keys() | found[1].keys())
+        return in_batches(rows, pa.schema([("term", pa.string()), ("a", pa.float64()), ("b", pa.float64())]), 20_000)
 
     totals = texts.agg(F.sum("y").alias("toxic"), F.count("*").alias("n")).first()
     toxic = totals.toxic or 0.0
     clean = totals.n - toxic
-    counts = texts.mapInArrow(terms, "term string, y double").groupBy("term").agg(F.sum("y").alias("a"), (F.count("*") - F.sum("y")).alias("b"))
+    counts = texts.mapInArrow(terms, "term string, a double, b double").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (toxic - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (clean - F.col("b") + 0.5))
     z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
     best = counts.where(F.col("a") >= LEAST_DOCUMENTS).select("term", odds.alias("w"), z.alias("z")).where(F.col("z") >= LEAST_Z)
