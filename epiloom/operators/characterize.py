@@ -9,6 +9,7 @@ from epiloom.functions.cells import as_text, hide_small, percentage
 from epiloom.functions.dates import age_at, days_inclusive
 from epiloom.operators.events import sex_label
 from epiloom.operators.observation import periods
+from epiloom.sources.tables import materialize
 
 # Age groups of the description.
 AGE_GROUPS = [(0, 19), (20, 39), (40, 59), (60, 79), (80, 150)]
@@ -113,7 +114,8 @@ def cohort_characteristics(
     Quartiles interpolate; a date quartile falls on the day it lies in. Counts
     below `min_cell_count`, and their percentages, are null.
     """
-    entries = describe_entries(cohort, person, observation_period)
+    # Three aggregates read the entries; stored, so that their joins run once.
+    entries = materialize(describe_entries(cohort, person, observation_period), "entries")
     key = ["cohort_definition_id"]
     columns = [*DATES.values(), *NUMBERS.values()]
     numbers = list(NUMBERS.values())

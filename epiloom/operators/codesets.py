@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiloom.sources.tables import materialize
@@ -22,18 +22,19 @@ class ConceptSet:
     excluded_descendants_of: tuple[int, ...] = ()
 
 
-def _marks(column: str, wanted: dict[str, list[tuple[int, int]]]) -> tuple[Column, Column]:
-    """Which values of a concept column are named, and the (codeset, kind) pairs they stand for."""
-    by_concept: dict[int, list[tuple[int, str]]] = {}
-    for kind, pairs in wanted.items():
-        for codeset, concept in pairs:
-            by_concept.setdefault(concept, []).append((codeset, kind))
-    value = F.col(column).cast("long")
-    mark = None
-    for concept, marks in by_concept.items():
-        here = F.array(*[F.struct(F.lit(c).alias("codeset_id"), F.lit(k == "in").alias("inside")) for c, k in marks])
-        mark = F.when(value == concept, here) if mark is None else mark.when(value == concept, here)
-    return value.isin(list(by_concept)), F.explode(mark)
+def _named(rows: DataFrame, column: str, wanted: dict[str, list[tuple[int, int]]]) -> DataFrame:
+    """Rows whose concept `column` is named, with `m` for each (codeset, in or out) it stands for.
+
+    The names come from definitions, so their number is small and Spark knows it: the
+    join is a broadcast, however many sets are expanded together.
+    """
+    marks = sorted({(concept, codeset, kind == "in") for kind, pairs in wanted.items() for codeset, concept in pairs})
+    lines = [
+        F.struct(F.lit(n).cast("long").alias("named"), F.struct(F.lit(c).cast("int").alias("codeset_id"), F.lit(i).alias("inside")).alias("m"))
+        for n, c, i in marks
+    ]
+    names = rows.sparkSession.range(1).select(F.inline(F.array(*lines)))
+    return rows.withColumn("named", F.col(column).cast("long")).join(names, "named").drop("named")
 
 
 def expand_codesets(sets: list[ConceptSet], concept: DataFrame, concept_ancestor: DataFrame) -> DataFrame:
@@ -51,12 +52,11 @@ def expand_codesets(sets: list[ConceptSet], concept: DataFrame, concept_ancestor
     parts = []
     named = {"in": pairs("concepts"), "out": pairs("excluded")}
     if any(named.values()):
-        here, marks = _marks("concept_id", named)
-        parts.append(known.filter(here).select("concept_id", marks.alias("m")))
+        parts.append(_named(known, "concept_id", named).select("concept_id", "m"))
     below = {"in": pairs("descendants_of"), "out": pairs("excluded_descendants_of")}
     if any(below.values()):
-        here, marks = _marks("ancestor_concept_id", below)
-        reached = concept_ancestor.filter(here).select(F.col("descendant_concept_id").cast("long").alias("concept_id"), marks.alias("m"))
+        reached = _named(concept_ancestor, "ancestor_concept_id", below)
+        reached = reached.select(F.col("descendant_concept_id").cast("long").alias("concept_id"), "m")
         valid = known.filter("invalid_reason is null").select("concept_id")
         parts.append(reached.join(valid, "concept_id", "left_semi"))
     if not parts:
@@ -93,6 +93,13 @@ def match_codeset(events: DataFrame, codesets: DataFrame, codeset_id: int) -> Da
     return events.join(_concepts(codesets, codeset_id), "target_concept_id").select(events.columns)
 
 
+def match_codesets(events: DataFrame, codesets: DataFrame, codeset_ids: list[int]) -> DataFrame:
+    """Events of several codesets in one pass: a row, with its `codeset_id`, for each codeset that an event is in."""
+    wanted = codesets.filter(F.col("codeset_id").isin(codeset_ids))
+    concepts = wanted.select("codeset_id", F.col("concept_id").alias("target_concept_id"))
+    return events.join(concepts, "target_concept_id").select(*events.columns, "codeset_id")
+
+
 def match_codeset_in(events: DataFrame, codesets: DataFrame, codeset_id: int) -> DataFrame:
     """Events whose concept is in the codeset (membership form)."""
     return events.join(_concepts(codesets, codeset_id), "target_concept_id", "left_semi").select(events.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiloom.functions.dates import age_at
-from epiloom.operators.codesets import match_codeset
+from epiloom.operators.codesets import match_codeset, match_codesets
 from epiloom.operators.events import compare, domain_events, filter_age, filter_date, first_ever, longer_than
 from epiloom.operators.observation import attach_observation, periods
 from epiloom.operators.ranges import DayRange, count_in_ranges
@@ -92,6 +92,39 @@ class Group:
     count: int | None = None
 
 
+def _plain(query: EventQuery) -> bool:
+    """Nothing but a domain and a codeset."""
+    return query.codeset_id is not None and query == EventQuery(query.domain, query.codeset_id)
+
+
+class _Frames:
+    """The events of a set of criteria. Plain queries of one domain share a frame, which is read once."""
+
+    def __init__(self, cdm: Cdm, codesets: DataFrame | None, criteria: list[Correlated]) -> None:
+        self.cdm, self.codesets = cdm, codesets
+        self.wanted: dict[tuple[str, bool], set[int]] = {}
+        for c in criteria:
+            if _plain(c.query):
+                self.wanted.setdefault((c.query.domain, _by_period(c)), set()).add(c.query.codeset_id)
+        self.made: dict[tuple[str, bool], DataFrame] = {}
+
+    def of(self, c: Correlated) -> tuple[DataFrame, tuple[str, int] | None]:
+        """The events of a criterion, and the tag of its part of them."""
+        if not _plain(c.query):
+            return self._settled(query_events(self.cdm, self.codesets, c.query), _by_period(c)), None
+        key = c.query.domain, _by_period(c)
+        if key not in self.made:
+            events = match_codesets(domain_events(self.cdm, c.query.domain), self.codesets, sorted(self.wanted[key]))
+            self.made[key] = self._settled(events, key[1])
+        return self.made[key], ("codeset_id", c.query.codeset_id)
+
+    def _settled(self, events: DataFrame, by_period: bool) -> DataFrame:
+        """Where start and end must lie in one observation period, that is settled on the events."""
+        if not by_period:
+            return events
+        return attach_observation(events, self.cdm.observation_period).filter("end_date <= op_end_date")
+
+
 def query_events(cdm: Cdm, codesets: DataFrame | None, query: EventQuery) -> DataFrame:
     """The events a query asks for, in the common shape."""
     events = domain_events(cdm, query.domain)
@@ -130,7 +163,7 @@ def _bound(window: Window, days: int | None) -> Column | None:
 def _tighter(pick, bound: Column | None, edge: Column | None) -> Column | None:
     if bound is None or edge is None:
         return edge if bound is None else bound
-    return pick(bound, edge)
+    return F.when(bound.isNotNull(), pick(bound, edge))  # an unknown day is no bound to fall back from
 
 
 def _spans(c: Correlated) -> bool:
@@ -147,16 +180,16 @@ def _spans(c: Correlated) -> bool:
     )
 
 
-def _range(cdm: Cdm, name: str, events: DataFrame, c: Correlated) -> DayRange:
+def _by_period(c: Correlated) -> bool:
+    return _spans(c) and not c.ignore_observation
+
+
+def _range(name: str, events: DataFrame, tag: tuple[str, int] | None, c: Correlated) -> DayRange:
     inside = not c.ignore_observation
     if _spans(c):
-        cell = None
-        if inside:
-            # Start and end inside the period: settled on the events, per period.
-            events = attach_observation(events, cdm.observation_period).filter("end_date <= op_end_date")
-            cell = ("op_start_date", "op_end_date")
+        cell = ("op_start_date", "op_end_date") if inside else None
         first, last = _bound(c.end_window, c.end_window.start), _bound(c.window, c.window.end)
-        return DayRange(name, events, first, last, overlap=True, cell=cell)
+        return DayRange(name, events, first, last, overlap=True, cell=cell, tag=tag)
     op_start = F.col("op_start_date") if inside else None
     op_end = F.col("op_end_date") if inside else None
     end_lower = end_upper = None
@@ -171,6 +204,7 @@ def _range(cdm: Cdm, name: str, events: DataFrame, c: Correlated) -> DayRange:
         _tighter(F.least, _bound(c.window, c.window.end), op_end),
         end_lower,
         end_upper,
+        tag=tag,
     )
 
 
@@ -223,11 +257,12 @@ def add_groups(cdm: Cdm, codesets: DataFrame | None, index: DataFrame, groups: d
     """
     names: dict[int, str] = {}
     ranges = []
-    for group in groups.values():
-        for c in _correlated(group):
-            if id(c) not in names:
-                names[id(c)] = f"_count_{len(names)}"
-                ranges.append(_range(cdm, names[id(c)], query_events(cdm, codesets, c.query), c))
+    criteria = [c for group in groups.values() for c in _correlated(group)]
+    frames = _Frames(cdm, codesets, criteria)
+    for c in criteria:
+        if id(c) not in names:
+            names[id(c)] = f"_count_{len(names)}"
+            ranges.append(_range(names[id(c)], *frames.of(c), c))
     anchor = ["start_date", "op_start_date", "op_end_date"]
     windows = [w for g in groups.values() for c in _correlated(g) for w in (c.window, c.end_window) if w]
     if any(w.from_index_end for w in windows):

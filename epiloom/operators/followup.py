@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from epiloom.operators.events import first_rows
 from epiloom.operators.observation import periods
 from epiloom.operators.ranges import DayRange, Nearest, count_in_ranges, counts_of_anchors, nearest_in_ranges
+from epiloom.sources.tables import materialize
 
 COHORT_KEY = ["cohort_definition_id", "subject_id"]
 
@@ -79,13 +80,14 @@ def outcome_after_index(index: DataFrame, outcomes: DataFrame, after: int = 91,
     their cohort id, so all symptom cohorts are handled at once.
     """
     entries = index.select("subject_id", "cohort_start_date").distinct()
-    kinds = outcomes.select(*COHORT_KEY).distinct()
+    # Read three times below; stored, so that what makes the outcomes runs once.
+    rows = materialize(outcomes.select(*COHORT_KEY, "cohort_start_date", "cohort_end_date").distinct(), "outcomes")
+    kinds = rows.select(*COHORT_KEY).distinct()
     asked = entries.join(kinds, "subject_id")
     if clear_days is not None:
-        before = _around(outcomes, -clear_days, -1, True)
+        before = _around(rows, -clear_days, -1, True)
         asked = counts_of_anchors(asked, COHORT_KEY, ["cohort_start_date"], [before]).filter("_n = 0")
     clear = asked.select(*COHORT_KEY, F.col("cohort_start_date").alias("start_date"))
-    rows = outcomes.select(*COHORT_KEY, "cohort_start_date", "cohort_end_date").distinct()
     window = DayRange("_n", clear, F.date_sub("cohort_start_date", until), F.date_sub("cohort_start_date", after))
     return count_in_ranges(rows, COHORT_KEY, ["cohort_start_date"], [window]).filter("_n > 0").select(rows.columns)
 

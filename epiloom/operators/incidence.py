@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epiloom.functions.cells import suppress_small
+from epiloom.functions.cells import hide_small, suppress_small
 from epiloom.functions.dates import clip_to_month, days_inclusive, month_from_number, month_grid, month_number
 from epiloom.functions.poisson import poisson_limits, rate
 
@@ -261,8 +261,11 @@ def with_limits(rates: DataFrame, upper_without_events: bool = False) -> DataFra
     )
 
 
-def suppress_incidence(monthly: DataFrame, min_cell_count: int) -> DataFrame:
-    return suppress_small(monthly, ["outcome_count", "denom_count"], min_cell_count)
+def suppress_incidence(rates: DataFrame, min_cell_count: int) -> DataFrame:
+    """Small counts hidden, and with a hidden event count the rate and its limits, from which it follows."""
+    shown = hide_small(F.col("outcome_count"), min_cell_count).isNotNull()
+    follows = {c: F.when(shown, F.col(c)) for c in rates.columns if c.startswith("incidence_100000")}
+    return suppress_small(rates.withColumns(follows), ["outcome_count", "denom_count"], min_cell_count)
 
 
 def label_outcomes(rates: DataFrame, labels: DataFrame) -> DataFrame:
@@ -282,13 +285,22 @@ def age_adjusted_rate(stratum_rates: DataFrame, reference: DataFrame, by: list[s
     """Direct standardization: rates weighted by a reference population.
 
     `stratum_rates` holds events and population per (by, strata); `reference`
-    holds `weight` per strata. Strata absent from the data count no events.
+    holds `weight` per strata. Every group is completed to all strata of the
+    reference: those absent from its data count no events and keep their weight.
+    Strata that the reference does not have count nowhere.
     """
-    joined = stratum_rates.join(reference, strata)
+    weights = reference.select(*strata, "weight")
+    # Groups of an aggregate against the strata of a reference: few rows on both sides.
+    listed = weights.agg(F.collect_list(F.struct(*strata, "weight")).alias("_all"))
+    full = stratum_rates.select(*by).distinct().withColumn("_s", F.explode(listed.scalar())).select(*by, "_s.*")
+    keys = [*by, *strata]
+    known = stratum_rates.select(*[F.col(c).alias(f"_of_{c}") for c in keys], "events", "population")
+    joined = full.join(known, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys], "left")
+    joined = joined.select(*keys, "weight", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("events", "population")])
     weighted = F.when(F.col("population") > 0, F.col("events") / F.col("population") * F.col("weight")).otherwise(0.0)
     return joined.groupBy(*by).agg(
         F.sum("events").alias("events"),
         F.sum("population").alias("population"),
-        (F.sum("events") / F.sum("population") * 100_000).alias("crude_rate"),
+        (F.try_divide(F.sum("events"), F.sum("population")) * 100_000).alias("crude_rate"),
         (F.sum(weighted) / F.sum("weight") * 100_000).alias("adjusted_rate"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from epiloom.functions.dates import age_at
 from epiloom.functions.ordinals import number_rows
 from epiloom.operators.observation import periods
+from epiloom.sources.tables import materialize
 
 
 def first_only(cohort: DataFrame) -> DataFrame:
@@ -88,6 +89,7 @@ def population_features(
         return F.datediff(stop, entry)
 
     ties = ["cohort_end_date", "cohort_definition_id", "op_start_date"]
+    rows = materialize(rows, "population")  # each level of numbering reads them
     numbered = number_rows(rows, "subject_id", "cohort_start_date", ties, "row_id")
     return numbered.select(
         "row_id",

@@ -8,11 +8,16 @@ difference of two running sums. A window group then holds at most one row per
 day and distinct anchor, however many rows the person has.
 
 Events that meet a range of days are those begun by its last day less those
-over before its first: two running sums again. Only a range of end days that is
+over before its first: two running sums again. For that an event must not end before
+it starts; those that do have no day in any range. Only a range of end days that is
 independent of the start days needs more. It is answered inside the nodes of a
 tree over days (a node of level l spans 4^l days): an end day lies in one node
 per level, and a range of end days is a union of a few nodes. That multiplies
-the rows about tenfold, so `overlap` is to be preferred where it says the same.
+the rows about tenfold, so `overlap` is to be preferred where it says the same, and
+a range of end days alone is answered by running sums as well.
+
+A comparison with a missing date holds for nothing: events without the dates a
+question is about are left out, and an anchor without the date of a bound counts 0.
 """
 
 from __future__ import annotations
@@ -25,7 +30,10 @@ from pyspark.sql import functions as F
 _BASE_BITS = 2
 _LEVELS = 8
 _EPOCH_SHIFT = 719_162  # makes day numbers of years 1 to 9999 non-negative
-_FOREVER = 3_000_000  # beyond the last day number
+# Above every day number: 9999-12-31 is 3,652,058. Small enough for the tree's top level.
+_PAST_ALL = 1 << 22
+_NODES = "array<struct<level:int,node:int,other:int>>"
+_MARKS = "array<struct<question:int,at:struct<level:int,node:int,other:int>,day:int>>"
 
 
 @dataclass(frozen=True)
@@ -38,6 +46,8 @@ class DayRange:
     `lower` may be up to one day after `upper` then (an event that spans both).
     `cell` names two date columns that must be equal on both sides, such as the
     edges of an observation period; without it events of all cells count.
+    `tag` names a column and the value it must have: questions about different
+    parts of one frame then share a single pass over it.
     """
 
     name: str
@@ -48,6 +58,7 @@ class DayRange:
     end_upper: Column | None = None
     overlap: bool = False
     cell: tuple[str, str] | None = None
+    tag: tuple[str, int] | None = None
     start: str = "start_date"
     end: str = "end_date"
 
@@ -56,6 +67,15 @@ class DayRange:
         return self.end_lower is not None or self.end_upper is not None
 
 
+def _given(*dates: Column | str | None) -> Column:
+    """None of these dates is missing; those that are no part of a question count as given."""
+    known = F.lit(True)
+    for d in dates:
+        if d is not None:
+            known = known & (F.col(d) if isinstance(d, str) else d).isNotNull()
+    return known
+
+
 def _day(value: Column | None, missing: int) -> Column:
     return F.lit(missing) if value is None else F.unix_date(value) + _EPOCH_SHIFT
 
@@ -92,15 +112,19 @@ def _nodes_covering(lower: Column, upper: Column) -> Column:
             parts.append(F.when(take, _node(l, inner_right + k)))
     left, right = _up(lower, _BASE_BITS * _LEVELS), F.shiftright(upper + 1, _BASE_BITS * _LEVELS)
     top = F.when(left < right, F.transform(F.sequence(left, F.greatest(left, right - 1)), lambda n: _node(_LEVELS, n)))
-    none = F.lit([]).cast("array<struct<level:int,node:int,other:int>>")
-    return F.concat(F.array_compact(F.array(*parts)), F.coalesce(top, none))
+    return F.concat(F.array_compact(F.array(*parts)), F.coalesce(top, F.lit([]).cast(_NODES)))
 
 
-def _probe(answer: int, question: int, day: Column, sign: int):
+def _mark(question: int, day: Column):
+    """An event of a question in a part of the time line."""
+    return lambda at: F.struct(F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"))
+
+
+def _probe(answer: int, question: int, day: Column, sign: Column):
     """One end of a range, asked in one tree node."""
     return lambda at: F.struct(
         F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"),
-        F.lit(sign).alias("sign"), F.lit(answer).alias("answer"),
+        sign.alias("sign"), F.lit(answer).alias("answer"),
     )
 
 
@@ -108,43 +132,66 @@ def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges
     """`index` plus one count column per range.
 
     `keys` link the two sides; bounds may use `keys` and `anchor` columns only.
-    All ranges share one pass over the time line. Anchors must not be null. The
+    All ranges share one pass over the time line. Anchors may be null. The
     plan reads `index` twice; store it first if it is costly.
     """
     if not ranges:
         return index
     answered = counts_of_anchors(index.select(*keys, *anchor).distinct(), keys, anchor, ranges)
-    return index.join(answered, [*keys, *anchor])
+    return _with_answers(index, answered, keys, anchor, [r.name for r in ranges])
+
+
+def _with_answers(index: DataFrame, answered: DataFrame, keys: list[str], anchor: list[str], names: list[str]) -> DataFrame:
+    """Each index row with the answers of its anchor; missing dates are equal to each other here."""
+    renamed = answered.select(*[F.col(c).alias(f"_at_{c}") for c in (*keys, *anchor)], *names)
+    same = [F.col(k) == F.col(f"_at_{k}") for k in keys] + [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in anchor]
+    return index.join(renamed, same).select(*index.columns, *names)
 
 
 def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ranges: list[DayRange]) -> DataFrame:
     """The counts for distinct anchors: (keys, anchor, one column per range)."""
-    counted, asked = [], []
+    asked: list[Column] = []
+    parts: dict[int, list[Column]] = {}  # by frame: what a row of it adds to the time line
+    frames: dict[int, DataFrame] = {}
     for i, r in enumerate(ranges):
-        start = _day(F.col(r.start), 0)
+        known = _given(r.start, r.end if r.by_end or r.overlap else None)
+        if r.overlap:
+            known = known & (F.col(r.end) >= F.col(r.start))
+        if r.tag is not None:
+            known = known & (F.col(r.tag[0]) == r.tag[1])
+        # An open range of start days leaves the end days, which take the same way.
+        by_end_only = r.by_end and r.lower is None and r.upper is None
+        day = _day(F.col(r.end if by_end_only else r.start), 0)
+        by_tree = r.by_end and not by_end_only
+        first, last = (r.end_lower, r.end_upper) if by_end_only else (r.lower, r.upper)
         part = _node(-1, F.lit(0)) if r.cell is None else _node(-2, *[F.unix_date(c) for c in r.cell])
-        if r.by_end:
-            nodes = _nodes_of(_day(F.col(r.end), 0))
-            rows = r.events.select(*keys, F.explode(nodes).alias("at"), start.alias("day"))
-            rows = rows.groupBy(*keys, "at", "day").agg(F.count(F.lit(1)).alias("n"))
-            where = _nodes_covering(_day(r.end_lower, 0), _day(r.end_upper, _FOREVER))
-        else:
-            rows = r.events.groupBy(*keys, part.alias("at"), start.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-        counted.append(rows.select(*keys, F.lit(i).alias("question"), "at", "day", "n"))
-        lower = None if r.lower is None else _day(r.lower, 0) - 1
-        upper = _day(r.upper, _FOREVER)
-
+        nodes = _nodes_of(_day(F.col(r.end), 0)) if by_tree else F.array(part)
+        adds = [F.transform(nodes, _mark(i, day))]
+        lower = None if first is None else _day(first, 0) - 1
+        upper = _day(last, _PAST_ALL)
+        asks = _given(r.lower, r.upper, r.end_lower, r.end_upper)
         lower_question = i
         if r.overlap:
             # started by `upper`, less those over before `lower`
             lower_question = len(ranges) + i
-            end = _day(F.col(r.end), 0).alias("day")
-            ended = r.events.groupBy(*keys, part.alias("at"), end).agg(F.count(F.lit(1)).alias("n"))
-            counted.append(ended.select(*keys, F.lit(lower_question).alias("question"), "at", "day", "n"))
-        ends = [_probe(i, i, upper, 1)]
+            adds.append(F.array(_mark(lower_question, _day(F.col(r.end), 0))(part)))
+        frames[id(r.events)] = r.events
+        parts.setdefault(id(r.events), []).append(F.when(known, F.concat(*adds)).otherwise(F.array().cast(_MARKS)))
+        ends = [_probe(i, i, upper, F.when(asks, 1).otherwise(0))]
         if lower is not None:
-            ends.append(_probe(i, lower_question, lower, -1))
-        asked += [F.transform(where, e) for e in ends] if r.by_end else [F.array(*[e(part) for e in ends])]
+            ends.append(_probe(i, lower_question, lower, F.when(asks, -1).otherwise(0)))
+        if by_tree:
+            where = _nodes_covering(_day(r.end_lower, 0), _day(r.end_upper, _PAST_ALL))
+            where = F.when(_given(r.end_lower, r.end_upper), where).otherwise(F.lit([]).cast(_NODES))
+            asked += [F.transform(where, e) for e in ends]
+        else:
+            asked.append(F.array(*[e(part) for e in ends]))
+    counted = [
+        frames[k].select(*keys, F.explode(F.concat(*adds)).alias("m"))
+        .groupBy(*keys, F.col("m.question").alias("question"), F.col("m.at").alias("at"), F.col("m.day").alias("day"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        for k, adds in parts.items()
+    ]
 
     probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p"))
     line = probes.select(
@@ -183,7 +230,8 @@ class Nearest:
 def nearest_in_ranges(index: DataFrame, keys: list[str], anchor: str, questions: list[Nearest]) -> DataFrame:
     """`index` plus one date column per question, null where there is no event.
 
-    Works on distinct days of both sides, all questions in one pass. A question
+    Works on distinct days of both sides, all questions in one pass. Events without a
+    date are left out, and rows without an anchor have no answers. A question
     for the first event runs on negated days, so that every answer is the last
     day at or before a probe.
     """
@@ -191,11 +239,11 @@ def nearest_in_ranges(index: DataFrame, keys: list[str], anchor: str, questions:
     for i, q in enumerate(questions):
         sign = 1 if q.which == "last" else -1
         day = (F.unix_date(q.date) * sign).alias("day")
-        hits.append(q.events.select(*keys, F.lit(i).alias("question"), day, day.alias("hit")).distinct())
+        hits.append(q.events.filter(F.col(q.date).isNotNull()).select(*keys, F.lit(i).alias("question"), day, day.alias("hit")).distinct())
         edge = q.upper if q.which == "last" else q.lower
-        at = F.lit(_FOREVER) if edge is None else (F.unix_date("_anchor") + edge) * sign
+        at = F.lit(_PAST_ALL) if edge is None else (F.unix_date("_anchor") + edge) * sign
         probes.append(F.struct(F.lit(i).alias("question"), at.alias("day")))
-    anchors = index.select(*keys, F.col(anchor).alias("_anchor")).distinct()
+    anchors = index.select(*keys, F.col(anchor).alias("_anchor")).filter("_anchor is not null").distinct()
     line = anchors.select(*keys, "_anchor", F.explode(F.array(*probes)).alias("p")).select(*keys, "_anchor", "p.*")
     for rows in hits:
         line = line.unionByName(rows, allowMissingColumns=True)
@@ -216,4 +264,4 @@ def nearest_in_ranges(index: DataFrame, keys: list[str], anchor: str, questions:
         .agg(*answers)
         .withColumnRenamed("_anchor", anchor)
     )
-    return index.join(found, [*keys, anchor])
+    return index.join(found, [*keys, anchor], "left").select(*index.columns, *[q.name for q in questions])

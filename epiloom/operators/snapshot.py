@@ -39,6 +39,16 @@ def period_summary(observation_period: DataFrame) -> DataFrame:
     )
 
 
+def only_row(df: DataFrame, name: str) -> DataFrame:
+    """The row of a table that describes the database; an error when the plan runs if there are several different ones."""
+    several = F.raise_error(F.lit(f"{name} has more than one row"))
+    agree = [
+        F.when(F.count_distinct(F.struct(*df.columns)) <= 1, F.max(c)).otherwise(several).cast(df.schema[c].dataType).alias(c)
+        for c in df.columns
+    ]
+    return df.agg(*agree)
+
+
 def _one_row(parts: list[DataFrame]) -> DataFrame:
     """Single-row frames side by side: stacked, then the one value per column."""
     stacked = bind_rows(parts)
@@ -59,7 +69,7 @@ def snapshot(
     """
     parts = [person_count(person), period_summary(observation_period)]
     if cdm_source is not None:
-        parts.append(cdm_source.limit(1))
+        parts.append(only_row(cdm_source, "cdm_source"))
     if vocabulary is not None:
         parts.append(vocabulary.agg(F.max("vocabulary_version").alias("_fallback")))
     one = _one_row(parts)
@@ -116,13 +126,14 @@ def source_information(cdm_source: DataFrame, vocabulary: DataFrame, version: Da
         (" Source release date: ", "source_release_date"),
         (" Source Documentation Reference: ", "source_documentation_reference"),
     ]
-    source = cdm_source.limit(1).withColumnRenamed("vocabulary_version", "vocabulary_version_cdm")
+    source = only_row(cdm_source, "cdm_source").withColumnRenamed("vocabulary_version", "vocabulary_version_cdm")
     parts = [
         source,
         vocabulary.filter("vocabulary_id = 'None'").select(F.col("vocabulary_version")),
     ]
     if version is not None:
-        parts.append(version.select("version_id", F.col("version_date").cast("string").alias("version_date")).limit(1))
+        dated = version.select("version_id", F.col("version_date").cast("string").alias("version_date"))
+        parts.append(only_row(dated, "version"))
     one = _one_row(parts)
 
     def told(label: str, column: str) -> Column:

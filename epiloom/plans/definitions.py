@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from epiloom.operators.codesets import ConceptSet
 from epiloom.operators.criteria import Comparison, Correlated, Demographic, EventQuery, Group, Window
-from epiloom.plans.cohorts import CohortSpec, DateOffset, build_cohort
+from epiloom.plans.cohorts import CohortSpec, DateOffset, build_cohort, build_with_statistics, share_codesets
 from epiloom.sources.tables import Cdm, replace_cohort
 
 # Names of the format.
@@ -153,13 +153,26 @@ def read_definition(document: dict | str, cohort_id: int) -> CohortSpec:
         # Without additional criteria the qualified limit does not apply.
         qualified_limit=limit(doc.get("QualifiedLimit")) if additional else "All",
         rules=tuple(_group(r["expression"]) for r in doc.get("InclusionRules", [])),
+        rule_names=tuple((r.get("name"), r.get("description")) for r in doc.get("InclusionRules", [])),
         expression_limit=limit(doc.get("ExpressionLimit")),
         exit=offset,
         era_pad=doc.get("CollapseSettings", {}).get("EraPad", 0),
     )
 
 
-def generate_cohorts(spark: SparkSession, cdm: Cdm, documents: dict[int, str], path: str) -> None:
-    """Build each definition and write it under its cohort id, replacing older rows."""
-    for cohort_id, document in documents.items():
-        replace_cohort(build_cohort(cdm, read_definition(document, cohort_id)), path)
+def generate_cohorts(spark: SparkSession, cdm: Cdm, documents: dict[int, str], path: str, statistics: str | None = None) -> None:
+    """Build each definition and write it under its cohort id, replacing older rows.
+
+    The concept sets of all definitions are expanded in one pass over the hierarchy. With a
+    folder for `statistics`, the tables of STATISTICS are written there in the same way.
+    """
+    specs = [read_definition(document, cohort_id) for cohort_id, document in documents.items()]
+    specs, codesets = share_codesets(cdm, specs)
+    for spec in specs:
+        if statistics is None:
+            replace_cohort(build_cohort(cdm, spec, codesets), [spec.cohort_id], path)
+            continue
+        tables = build_with_statistics(cdm, spec, codesets)
+        replace_cohort(tables.pop("cohort"), [spec.cohort_id], path)
+        for name, rows in tables.items():
+            replace_cohort(rows, [spec.cohort_id], f"{statistics}/{name}")

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiloom.operators.counts import attrition
+from epiloom.functions.cells import suppress_small
+from epiloom.operators.counts import attrition, cohort_counts
 from epiloom.operators.followup import (
     censor_reason,
     follow_up_end,
@@ -139,3 +141,14 @@ def overlap_cohorts(kept: DataFrame, symptoms: DataFrame, conditions: DataFrame)
     kept = materialize(kept, "infections")
     after = [outcome_after_index(kept, table) for table in (symptoms, conditions)]
     return k_of_n_levels(after[0], {1: 1, 2: 2, 3: 3}).unionByName(k_of_n_levels(after[1], {1: 4, 2: 5, 3: 6}))
+
+
+def final_counts(tables: dict[str, DataFrame], names: dict[str, dict[int, str]], min_cell_count: int) -> DataFrame:
+    """Records and subjects of every named cohort of every table; small numbers are hidden, cohorts without rows count 0."""
+    parts = []
+    for table, rows in tables.items():
+        lines = [F.struct(F.lit(i).cast("long").alias("cohort_definition_id"), F.lit(n).alias("cohort_name")) for i, n in names[table].items()]
+        named = rows.sparkSession.range(1).select(F.inline(F.array(*lines)))
+        counted = named.join(cohort_counts(rows), "cohort_definition_id", "left").fillna(0, ["number_records", "number_subjects"])
+        parts.append(counted.select(F.lit(table).alias("cohort_table"), "cohort_definition_id", "cohort_name", "number_records", "number_subjects"))
+    return suppress_small(reduce(DataFrame.unionByName, parts), ["number_records", "number_subjects"], min_cell_count)

@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    PythonException,
+    SparkRuntimeException,
+)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +29,12 @@ from epiloom.operators.results import bind_rows, to_summarised_result
 from epiloom.sources.export import export_results
 from epiloom.sources.tables import Cdm, materialize
 
+_REFUSED = (
+    ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
+    NumberFormatException, PythonException, SparkRuntimeException,
+)
+# Spark's exceptions for data that an expression refuses.
+_DATA = re.compile(r"spark\.Spark(?:Runtime|Arithmetic|DateTime|NumberFormat|IllegalArgument|ArrayIndexOutOfBounds)Exception$")
 FAILED = "outcome_table_name string, outcome_id bigint, error_message string"
 
 
@@ -71,26 +89,44 @@ def run_or_log(
     run: Callable[[list[Analysis]], DataFrame],
     continue_on_error: bool = True,
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Run all analyses as one job; if that fails, one job per outcome table.
+    """Run all analyses as one job; if that fails, halves of them, down to the single outcomes that fail.
 
-    Returns the stored result and a frame of what failed and why.
+    Returns the stored result and a frame of what failed and why. Only what an analysis
+    can be the cause of counts as failed; a cluster that is out of order raises.
     """
     failed: list[tuple[str, int, str]] = []
-    try:
-        return materialize(run(analyses), "incidence"), spark.createDataFrame([], FAILED)
-    except Exception:
-        if not continue_on_error:
-            raise
-    done = []
-    for name in sorted({a.outcome_table for a in analyses}):
-        group = [a for a in analyses if a.outcome_table == name]
+    done: list[DataFrame] = []
+    todo = [sorted(analyses, key=lambda a: (a.outcome_table, a.outcome_id))] if analyses else []
+    while todo:
+        group = todo.pop(0)
         try:
             done.append(materialize(run(group), "incidence"))
         except Exception as error:
-            failed += [(a.outcome_table, a.outcome_id, str(error).splitlines()[0]) for a in group]
+            if not continue_on_error or not caused_by_analysis(error):
+                raise
+            if len(group) > 1:
+                todo[:0] = [group[: len(group) // 2], group[len(group) // 2 :]]
+            else:
+                failed.append((group[0].outcome_table, group[0].outcome_id, str(error).splitlines()[0] if str(error) else type(error).__name__))
     return (bind_rows(done) if done else None), spark.createDataFrame(failed, FAILED)
 
 
+def caused_by_analysis(error: Exception) -> bool:
+    """A missing table or column, or data that an expression refuses; not lost executors, full disks or unreachable files."""
+    if isinstance(error, Py4JJavaError):
+        return any(_DATA.search(name) for name in _causes(error.java_exception))
+    return isinstance(error, (KeyError, ValueError, ArithmeticError, AnalysisException, *_REFUSED))
+
+
+def _causes(thrown) -> Iterator[str]:
+    """Class names of a Java exception, of what caused it and of what was suppressed."""
+    todo = [thrown]
+    while todo:
+        one = todo.pop()
+        yield one.getClass().getName()
+        todo += [x for x in (one.getCause(), *one.getSuppressed()) if x is not None]
+
+
 def incidence_study(
     cdm: Cdm,
     tables: dict[str, DataFrame],

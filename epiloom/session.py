@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Joins on person_id may meet a person with very many rows. With these settings
 # Spark splits such a partition at run time, also where that costs a shuffle.
@@ -30,13 +31,13 @@ def scratch_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
     A checkpoint folder set on the context serves as well. Only a local master
-    may do without both and uses a temporary folder.
+    (one JVM, no executors elsewhere) may do without both and uses a temporary folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _LOCAL:
         _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="epiloom-")
@@ -47,10 +48,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_dir(df.sparkSession))
-    return df.checkpoint()

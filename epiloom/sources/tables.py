@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,22 +51,34 @@ def cohort_exists(spark: SparkSession, name: str) -> bool:
     return _exists(spark, name) if "/" in name else spark.catalog.tableExists(name)
 
 
-def replace_cohort(cohort: DataFrame, path: str) -> None:
-    """Write rows so that they replace whatever their cohort ids held before.
+def replace_cohort(cohort: DataFrame, ids: Iterable[int], path: str) -> None:
+    """Write rows so that they replace whatever the cohorts `ids` held before.
 
-    One folder per cohort id. Only the folders of ids present in `cohort` are
-    overwritten, so a run that is repeated leaves the same table.
+    One folder per cohort id. Folders of ids that have rows are overwritten, those of
+    ids that have none any more are removed; rows of other ids are refused, so a run that
+    is repeated leaves the same table.
     """
-    (
-        cohort.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("cohort_definition_id")
-        .parquet(path)
+    ids = sorted(set(ids))
+    spark = cohort.sparkSession
+    named = cohort.withColumn(
+        "cohort_definition_id",
+        F.when(F.col("cohort_definition_id").isin(ids), F.col("cohort_definition_id")).otherwise(
+            F.raise_error(F.lit("a row of a cohort that is not replaced"))
+        ),
     )
+    staged = scratch_path(spark, "replaced")
+    named.write.partitionBy("cohort_definition_id").parquet(staged)
+    rows = spark.read.schema(cohort.schema).parquet(staged)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cohort_definition_id").parquet(path)
+    for i in ids:
+        if not _exists(spark, f"{staged}/cohort_definition_id={i}"):
+            _remove(spark, f"{path}/cohort_definition_id={i}")
+    _remove(spark, staged)
 
 
 def read_cohorts(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
+    """All cohorts below a path; it may hold none."""
+    rows = spark.read.schema(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.COHORT)).parquet(path)
     return rows.select([F.col(f.name).cast(f.dataType) for f in schema.COHORT])
 
 
@@ -79,7 +92,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _at(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path for it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    files, target = _at(spark, path)
+    return files.exists(target)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, target = _at(spark, path)
+    files.delete(target, True)

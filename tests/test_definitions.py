@@ -79,6 +79,7 @@ def test_every_part_is_read():
         ),
         qualified_limit="First",
         rules=(Group("ALL", (Correlated(EventQuery("drug", 2), "at_least", 1, Window(0, None)),)),),
+        rule_names=(("treated", None),),
         expression_limit="All",
         exit=DateOffset(7, "end_date"),
         era_pad=180,
@@ -121,3 +122,43 @@ def test_documents_run(spark, tmp_path):
     generate_cohorts(spark, c, {4: json.dumps(DOCUMENT), 5: json.dumps(simple)}, path)
     assert rows(read_cohorts(spark, path)) == [(4, 1, 100, 117), (5, 1, 0, 900), (5, 2, 0, 900), (5, 3, 0, 900)]
     assert rows(build_cohort(c, read_definition(simple, 5))) == rows(read_cohorts(spark, path))[1:]
+
+
+def test_generation_with_statistics(spark, tmp_path):
+    """Two definitions with the same codeset numbers for other sets; a rebuilt one without events leaves no rows."""
+    plain = {
+        "ConceptSets": [concept_set(1, (1, False, False))],
+        "PrimaryCriteria": {"CriteriaList": [{"ConditionOccurrence": {"CodesetId": 1}}], "ObservationWindow": {"PriorDays": 0, "PostDays": 0},
+                            "PrimaryCriteriaLimit": {"Type": "All"}},
+        "QualifiedLimit": {"Type": "First"}, "ExpressionLimit": {"Type": "All"}, "CollapseSettings": {"CollapseType": "ERA", "EraPad": 0},
+        "InclusionRules": [
+            {"name": "drug", "description": "any later", "expression": {"Type": "ALL", "CriteriaList": [near({"DrugExposure": {"CodesetId": 1}}, 0, None)]}},
+            {"name": "alone", "expression": {"Type": "ALL", "CriteriaList": [near({"ConditionOccurrence": {"CodesetId": 1}}, 0, 0, 0, 1)]}},
+        ],
+    }
+    other = copy.deepcopy(plain)
+    other["ConceptSets"] = [concept_set(1, (5, False, False))]
+    c = cdm(
+        spark, [(i, 8507, 1980, 1, 1) for i in range(1, 5)], [(i, 0, 400) for i in range(1, 5)],
+        conditions=[(1, 1, 1, 10, None), (2, 2, 1, 10, None), (3, 2, 1, 10, None), (4, 3, 5, 10, None)],
+        drugs=[(1, 1, 1, 20, None), (2, 2, 1, 20, None), (3, 3, 5, 20, None)], concepts=[(1, None), (5, None)],
+    )
+    path, stats = str(tmp_path / "cohorts"), str(tmp_path / "statistics")
+    generate_cohorts(spark, c, {1: json.dumps(plain), 2: json.dumps(other)}, path, stats)
+    assert rows(read_cohorts(spark, path), "cohort_definition_id", "subject_id") == [(1, 1), (2, 3)]
+
+    def table(name, *columns):
+        return rows(spark.read.parquet(f"{stats}/{name}"), *columns)
+
+    assert table("cohort_inclusion", "cohort_definition_id", "rule_sequence", "name", "description") == [
+        (i, k, n, d) for i in (1, 2) for k, n, d in ((0, "drug", "any later"), (1, "alone", None))
+    ]
+    assert table("cohort_inclusion_result", "cohort_definition_id", "mode_id", "inclusion_rule_mask", "person_count") == [
+        (1, 0, 1, 2), (1, 0, 3, 1), (1, 1, 1, 1), (1, 1, 3, 1), (2, 0, 3, 1), (2, 1, 3, 1)
+    ]
+    first = [r for r in table("cohort_inclusion_stats", "cohort_definition_id", "mode_id", "rule_sequence", "person_count", "gain_count", "person_total") if r[0] == 1]
+    assert first == [(1, 0, 0, 3, 0, 3), (1, 0, 1, 1, 2, 3), (1, 1, 0, 2, 0, 2), (1, 1, 1, 1, 1, 2)]
+    c.tables["condition_occurrence"] = c.condition_occurrence.filter("person_id > 2")
+    generate_cohorts(spark, c, {1: json.dumps(plain)}, path, stats)
+    assert rows(read_cohorts(spark, path), "cohort_definition_id", "subject_id") == [(2, 3)]
+    assert table("cohort_summary_stats", "cohort_definition_id", "mode_id", "base_count", "final_count") == [(1, 0, 0, 0), (1, 1, 0, 0), (2, 0, 1, 1), (2, 1, 1, 1)]

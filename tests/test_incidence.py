@@ -1,11 +1,14 @@
 """Denominators and incidence on edge cases and against the row-level form."""
 
+import math
 import random
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from epiloom.functions.poisson import gamma_quantile
 from epiloom.operators import incidence as inc
 from epiloom.operators.denominators import denominator, risk_intervals
 from epiloom.operators.results import interval_rates, intervals, to_summarised_result
@@ -148,6 +151,56 @@ def test_standardized_rate(spark):
     found = inc.age_adjusted_rate(data.filter("year = 2000"), weights, ["year"], ["age"]).first()
     assert found.crude_rate == pytest.approx(500)
     assert found.adjusted_rate == pytest.approx((0.001 * 3 + 0.009) / 4 * 1e5)
+    # A stratum that a year lacks has no events and keeps its weight.
+    young = inc.age_adjusted_rate(data.filter("year = 2000 and age = 'old'"), weights, ["year"], ["age"]).first()
+    assert young.adjusted_rate == pytest.approx(0.009 / 4 * 1e5) and young.population == 1000
+    assert inc.age_adjusted_rate(data.filter("year = 2001"), weights, ["year"], ["age"]).first().adjusted_rate == 0
+
+
+def test_a_hidden_count_cannot_be_computed(spark):
+    rates = spark.createDataFrame(
+        [(3, 10, 365, 9.0, 8.0, 10.0), (0, 10, 365, 0.0, None, None), (7, 2, 365, 7.0, 6.0, 8.0)],
+        "outcome_count long, denom_count long, person_days long, incidence_100000_pys double, "
+        "incidence_100000_pys_95CI_lower double, incidence_100000_pys_95CI_upper double",
+    )
+    found = [tuple(r) for r in inc.suppress_incidence(rates, 5).collect()]
+    assert found == [(None, 10, 365, None, None, None), (0, 10, 365, 0.0, None, None), (7, None, 365, 7.0, 6.0, 8.0)]
+
+
+@pytest.mark.parametrize("k", [1, 2, 15, 16, 17, 100, 1000, 10**6, 9_999_999, 10**7, 10**7 + 1])
+def test_poisson_limits(k):
+    """The limits put 2.5 % of the distribution on either side: summed over the counts around them."""
+
+    def at_least(n, mean):
+        last = n + int(40 + 12 * math.sqrt(mean) + abs(mean - n))
+        return math.fsum(math.exp(i * math.log(mean) - mean - math.lgamma(i + 1)) for i in range(n, last))
+
+    low, high = gamma_quantile(0.025, np.array([k]))[0], gamma_quantile(0.975, np.array([k + 1]))[0]
+    assert at_least(k, low) == pytest.approx(0.025, rel=1e-7)
+    assert at_least(k + 1, high) == pytest.approx(0.975, rel=1e-7)
+
+
+def test_poisson_limits_of_huge_counts_are_near_normal():
+    for k in (1e9, 1e12):
+        assert gamma_quantile(0.025, np.array([k]))[0] == pytest.approx(k - 1.959964 * math.sqrt(k), rel=1e-8)
+
+
+def test_one_bad_outcome_leaves_the_others(spark):
+    c = cdm(spark, PERSONS, periods=[(i, -400, 800) for i in range(1, 6)])
+    table = cohort(spark, [(1, 1, 50, 50), (2, 2, 60, 60), (3, 3, 10, 20)])
+    bad = F.when(F.col("cohort_definition_id") == 2, F.raise_error(F.lit("unreadable")).cast("date"))
+    table = table.withColumn("cohort_start_date", bad.otherwise(F.col("cohort_start_date")))
+    strata = denominator(c.person, c.observation_period, day(0), day(700))
+    analyses = [Analysis("t", i) for i in (1, 2, 3)]
+    done, failed = run_or_log(spark, analyses, lambda g: study_incidence(strata, {"t": table}, g))
+    assert rows(failed, "outcome_table_name", "outcome_id") == [("t", 2)]
+    assert rows(done.select("outcome_id").distinct()) == [(1,), (3,)]
+
+    def unreachable(group):
+        raise OSError("disk")
+
+    with pytest.raises(OSError):
+        run_or_log(spark, analyses, unreachable)
 
 
 def test_study_with_a_missing_table(spark, tmp_path):

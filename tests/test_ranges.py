@@ -1,11 +1,15 @@
 """Range counts and nearest events against brute force over all pairs."""
 
 import random
+from datetime import date
 
 from pyspark.sql import functions as F
 
+from epiloom.operators.criteria import Correlated, EventQuery, Group, Window, filter_group
+from epiloom.operators.events import domain_events
+from epiloom.operators.observation import attach_observation
 from epiloom.operators.ranges import DayRange, Nearest, count_in_ranges, nearest_in_ranges
-from helpers import day
+from helpers import cdm, day
 
 
 def frames(spark, seed):
@@ -83,3 +87,80 @@ def test_nearest(spark):
             gaps = [g for g in gaps if (lo is None or g >= lo) and (hi is None or g <= hi)]
             best = (max if which == "last" else min)(gaps, default=None)
             assert (None if r[f"q{i}"] is None else (r[f"q{i}"] - r.start_date).days) == best
+
+
+def test_any_date(spark):
+    """Late, missing and reversed dates against a comparison of all pairs, as a left join would make them."""
+    rnd = random.Random(7)
+    days = [date(1, 1, 1), date(1970, 1, 1), *[date(2000, 1, d) for d in range(1, 12)], date(8300, 5, 5), date(9999, 12, 31), None]
+    index = [(i, rnd.randrange(4), rnd.choice(days), rnd.choice(days)) for i in range(60)]
+    events = [(rnd.randrange(4), rnd.choice(days), rnd.choice(days)) for _ in range(120)]
+    left = spark.createDataFrame(index, "row int, person_id int, start_date date, other date")
+    right = spark.createDataFrame(events, "person_id int, start_date date, end_date date")
+    a, b = F.col("start_date"), F.col("other")
+    ranges = [
+        DayRange("after", right, a, None),
+        DayRange("before", right, None, a),
+        DayRange("between", right, a, b),
+        DayRange("all", right, None, None),
+        DayRange("spans", right, a, a, overlap=True),
+        DayRange("from_to", right, a, None, None, b),
+        DayRange("stab", right, None, a, b, None),
+        DayRange("ends_after", right, None, None, a, None),
+        DayRange("ends_between", right, None, None, a, b),
+    ]
+
+    def at_least(x, y):
+        return x is not None and y is not None and x >= y
+
+    def expected(p, s, o):
+        mine = [(x, y) for q, x, y in events if q == p]
+        return (
+            sum(at_least(x, s) for x, y in mine),
+            sum(at_least(s, x) for x, y in mine),
+            sum(at_least(x, s) and at_least(o, x) for x, y in mine),
+            sum(x is not None for x, y in mine),
+            sum(at_least(s, x) and at_least(y, s) for x, y in mine),
+            sum(at_least(x, s) and at_least(o, y) for x, y in mine),
+            sum(at_least(s, x) and at_least(y, o) for x, y in mine),
+            sum(x is not None and at_least(y, s) for x, y in mine),
+            sum(x is not None and at_least(y, s) and at_least(o, y) for x, y in mine),
+        )
+
+    found = {r.row: tuple(r)[4:] for r in count_in_ranges(left, ["person_id"], ["start_date", "other"], ranges).collect()}
+    assert found == {i: expected(p, s, o) for i, p, s, o in index}
+
+
+def test_nearest_without_dates(spark):
+    left = spark.createDataFrame([(1, None), (1, day(5)), (2, day(5))], "person_id int, start_date date")
+    right = spark.createDataFrame([(1, None), (1, date(9999, 12, 31)), (1, date(1, 1, 1))], "person_id int, start_date date")
+    questions = [Nearest("next", right, "start_date", 0, None, "first"), Nearest("last", right, "start_date", None, 0, "last")]
+    found = {(r.person_id, r.start_date): (r["next"], r["last"]) for r in nearest_in_ranges(left, ["person_id"], "start_date", questions).collect()}
+    assert found == {(1, None): (None, None), (1, day(5)): (date(9999, 12, 31), date(1, 1, 1)), (2, day(5)): (None, None)}
+
+
+def test_an_open_window_reaches_the_last_day(spark):
+    """A criterion outside observation finds a visit that never ends; absence holds for index events without an end."""
+    c = cdm(spark, periods=[(1, 0, 900)], visits=[(1, 1, 20, 5, 9)], conditions=[(1, 1, 10, 0, None)])
+    forever = F.lit(date(9999, 12, 31))
+    c.tables["visit_occurrence"] = c.visit_occurrence.withColumn("visit_end_date", forever)
+    index = attach_observation(domain_events(c, "condition"), c.observation_period)
+    visit = Correlated(EventQuery("visit"), "at_least", 1, Window(0, None), end_window=Window(30, None), ignore_observation=True)
+    assert filter_group(c, None, index, Group("ALL", (visit,))).count() == 1
+    unknown_end = index.withColumn("end_date", F.lit(None).cast("date"))
+    absent = Correlated(EventQuery("visit"), "exactly", 0, Window(0, None, from_index_end=True))
+    assert filter_group(c, None, unknown_end, Group("ALL", (absent,))).count() == 1
+
+
+def test_criteria_of_a_domain_read_it_once(spark, tmp_path):
+    c = cdm(spark, periods=[(1, 0, 900)], conditions=[(i, 1, 10 + i % 4, i, None) for i in range(40)])
+    c.condition_occurrence.write.parquet(str(tmp_path / "conditions"))
+    c.tables["condition_occurrence"] = spark.read.parquet(str(tmp_path / "conditions"))
+    codesets = spark.createDataFrame([(s, s) for s in range(10, 14)] + [(20, 10), (20, 11)], "codeset_id int, concept_id bigint")
+    index = attach_observation(domain_events(c, "condition"), c.observation_period).filter("start_date = date'2000-01-05'")
+    members = tuple(Correlated(EventQuery("condition", s), "at_least", n, Window(0, 20)) for s, n in ((10, 2), (11, 2), (12, 2), (20, 9)))
+    met = filter_group(c, codesets, index, Group("ALL", members))
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("condition_concept_id") and sum("Relation" in x and "condition_concept_id" in x for x in plan.split("\n")) == 1
+    assert met.count() == index.count()
+    assert filter_group(c, codesets, index, Group("ALL", (*members[:3], Correlated(members[3].query, "at_least", 12, Window(0, 20))))).count() == 0

@@ -28,7 +28,7 @@ from epiloom.operators.observation import attach_observation, require_latest_dat
 from epiloom.operators.population import population_features, sample_n
 from epiloom.operators.snapshot import snapshot, source_information
 from epiloom.plans import post_infection as post
-from epiloom.session import cut_lineage, scratch_dir
+from epiloom.session import scratch_dir
 from epiloom.sources import export, tables
 from helpers import cdm, cohort, day, rows
 
@@ -212,19 +212,31 @@ def test_snapshot_falls_back_to_vocabulary(spark):
     assert row.database_description.startswith("A text ETL Reference: None") and row.vocabulary_version == "v5 2024"
 
 
+def test_a_description_of_several_rows_is_refused(spark):
+    c = cdm(spark, [(1, 8507, 1980, 1, 1)], periods=[(1, 0, 9)])
+    source = spark.createDataFrame([("a", "1"), ("b", "1")], "cdm_source_name string, cdm_version string")
+    with pytest.raises(Exception, match="more than one row"):
+        snapshot(c.person, c.observation_period, source, None, day(0)).collect()
+    assert snapshot(c.person, c.observation_period, source.limit(0), None, day(0)).count() == 18
+
+
 def test_replacing_one_cohort_keeps_the_others(spark, tmp_path):
     path = str(tmp_path / "cohorts")
-    tables.replace_cohort(cohort(spark, [(1, 1, 0, 1), (2, 1, 0, 1)]), path)
-    tables.replace_cohort(cohort(spark, [(2, 9, 5, 6)]), path)
-    tables.replace_cohort(cohort(spark, [(2, 9, 5, 6)]), path)
+    tables.replace_cohort(cohort(spark, [(1, 1, 0, 1), (2, 1, 0, 1), (3, 1, 0, 1)]), [1, 2, 3], path)
+    tables.replace_cohort(cohort(spark, [(2, 9, 5, 6)]), [2, 3], path)
+    tables.replace_cohort(cohort(spark, [(2, 9, 5, 6)]), [2], path)
     assert rows(tables.read_cohorts(spark, path)) == [(1, 1, 0, 1), (2, 9, 5, 6)]
+    with pytest.raises(Exception, match="not replaced"):
+        tables.replace_cohort(cohort(spark, [(2, 9, 5, 6)]), [1], path)
+    tables.replace_cohort(cohort(spark, []), [1, 2], path)
+    assert rows(tables.read_cohorts(spark, path)) == []
     assert tables.cohort_exists(spark, path) and not tables.cohort_exists(spark, path + "x")
 
 
 def test_stored_tables_lie_in_the_shared_folder(spark):
     df = tables.materialize(cohort(spark, [(1, 1, 0, 1)]), "t")
     assert all(scratch_dir(spark).split(":")[-1] in f for f in df.inputFiles())
-    assert rows(cut_lineage(df)) == [(1, 1, 0, 1)]
+    assert rows(df) == [(1, 1, 0, 1)]
 
 
 def test_cohort_list_names_outcomes(spark, tmp_path):
@@ -251,10 +263,11 @@ class _Session:
         return None
 
 
-def test_only_a_local_master_needs_no_shared_folder():
+def test_a_cluster_needs_a_shared_folder():
     assert scratch_dir(_Session("local[4]")) == scratch_dir(_Session("local[4]"))
-    with pytest.raises(ValueError):
-        scratch_dir(_Session("yarn"))
+    for master in ("yarn", "local-cluster[3,2,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            scratch_dir(_Session(master))
 
 
 def test_a_hot_person_is_split(spark):

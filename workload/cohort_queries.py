@@ -1,5 +1,8 @@
 """Criteria, limits, inclusion, exits, eras, whole cohorts."""
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from epiloom.operators.criteria import (
@@ -31,7 +34,9 @@ from epiloom.operators.ranges import DayRange, count_in_ranges
 from epiloom.plans.cohorts import (
     CohortSpec,
     DateOffset,
+    STATISTICS,
     build_cohort,
+    build_with_statistics,
     limited,
     masked_events,
     primary_events,
@@ -41,7 +46,7 @@ from epiloom.plans.cohorts import (
 from epiloom.sources.tables import load_table
 from workload.event_queries import codesets
 from workload.registry import query
-from workload.tables import SETS, clinical, with_tables
+from workload.tables import SETS, SQL, clinical, with_tables
 
 URGENT = EventQuery("condition", codeset_id=10)
 INSIDE = "a.person_id = i.person_id AND a.start_date BETWEEN i.op_start_date AND i.op_end_date"
@@ -144,6 +149,35 @@ def end_window(spark, sf):
     return by_group(spark, sf, Group("ALL", (visit,)))
 
 
+@query(
+    "j8_end_window_general",
+    with_tables(
+        """SELECT i.person_id, i.event_id, i.start_date,
+                  count(a.event_id) FILTER (a.start_date BETWEEN i.start_date - 400 AND i.start_date + 200
+                                            AND a.end_date BETWEEN i.start_date + 10 AND i.start_date + 300) AS both_bounded,
+                  count(a.event_id) FILTER (a.start_date <= i.start_date AND a.end_date >= i.start_date + 20) AS open_sides,
+                  count(a.event_id) FILTER (a.end_date <= i.start_date) AS ended,
+                  count(a.event_id) FILTER (a.start_date >= i.start_date AND a.end_date <= i.end_date + 60) AS from_missing_ends
+           FROM indexed i LEFT JOIN visit20 a ON a.person_id = i.person_id GROUP BY i.person_id, i.event_id, i.start_date, i.end_date""",
+        {**EXTRA, "indexed": "SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN end_date END AS end_date) FROM all_indexed", "all_indexed": SQL["indexed"]},
+    ),
+)
+def general_end_window(spark, sf):
+    """Ranges of start days and of end days that are independent of each other, also from anchors without an end."""
+    cdm = clinical(spark, sf)
+    start, end = F.col("start_date"), F.col("end_date")
+    events = query_events(cdm, codesets(cdm), EventQuery("visit", codeset_id=20))
+    index = indexed(cdm).withColumn("end_date", F.when(F.col("event_id") % 2 == 0, end))
+    ranges = [
+        DayRange("both_bounded", events, F.date_add(start, -400), F.date_add(start, 200), F.date_add(start, 10), F.date_add(start, 300)),
+        DayRange("open_sides", events, None, start, F.date_add(start, 20), None),
+        DayRange("ended", events, None, None, None, start),
+        DayRange("from_missing_ends", events, start, None, None, F.date_add(end, 60)),
+    ]
+    rows = count_in_ranges(index, ["person_id"], ["start_date", "end_date"], ranges)
+    return rows.select("person_id", "event_id", "start_date", *[r.name for r in ranges])
+
+
 @query("j9_ignore_observation", with_tables("SELECT person_id, event_id, start_date FROM n_drug WHERE n = 0", EXTRA))
 def ignoring(spark, sf):
     return by_group(spark, sf, Group("ALL", (NO_DRUG_BEFORE,)))
@@ -462,6 +496,41 @@ def cohort_with_rules(spark, sf):
     return build_cohort(clinical(spark, sf), SPEC)
 
 
+_NAMED = {
+    "names": "SELECT * FROM (VALUES (0, 'treated', 'twice'), (1, 'seen', NULL), (2, NULL, NULL)) n(rule_sequence, name, description)",
+    "modes": "SELECT * FROM (VALUES (0), (1)) m(mode_id)",
+}
+_EMPTY = "CAST(NULL AS BIGINT)"
+
+
+@query(
+    "generation_statistics",
+    with_tables(
+        f"""SELECT 'cohort_inclusion' AS table_name, CAST(7 AS BIGINT) AS cohort_definition_id, rule_sequence, name, description, CAST(NULL AS INT) AS mode_id,
+                  {_EMPTY} AS inclusion_rule_mask, {_EMPTY} AS person_count, {_EMPTY} AS gain_count, {_EMPTY} AS person_total, {_EMPTY} AS base_count, {_EMPTY} AS final_count
+           FROM names
+           UNION ALL SELECT 'cohort_inclusion_result', 7, NULL, NULL, NULL, mode_id, inclusion_rule_mask, person_count, NULL, NULL, NULL, NULL FROM result
+           UNION ALL SELECT 'cohort_inclusion_stats', 7, rule_sequence, NULL, NULL, mode_id, NULL,
+                  CAST(sum(CASE WHEN inclusion_rule_mask & (1 << rule_sequence) > 0 THEN person_count ELSE 0 END) AS BIGINT),
+                  CAST(sum(CASE WHEN inclusion_rule_mask = 7 - (1 << rule_sequence) THEN person_count ELSE 0 END) AS BIGINT),
+                  CAST(sum(person_count) AS BIGINT), NULL, NULL
+                  FROM result, names GROUP BY rule_sequence, mode_id
+           UNION ALL SELECT 'cohort_summary_stats', 7, NULL, NULL, NULL, mode_id, NULL, NULL, NULL, NULL, CAST(sum(person_count) AS BIGINT),
+                  CAST(sum(CASE WHEN inclusion_rule_mask = 7 THEN person_count ELSE 0 END) AS BIGINT) FROM result GROUP BY mode_id""",
+        {**SPEC_SQL, **_NAMED},
+    ),
+)
+def generation_statistics(spark, sf):
+    """The four tables on the inclusion rules of a cohort, one below the other."""
+    spec = replace(SPEC, rule_names=(("treated", "twice"), ("seen", None), (None, None)))
+    tables = build_with_statistics(clinical(spark, sf), spec)
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [tables[name].withColumn("table_name", F.lit(name)) for name in STATISTICS],
+    )
+    return rows
+
+
 VISIT_COHORT = CohortSpec(
     8,
     (EventQuery("visit", codeset_id=20),),

@@ -61,7 +61,7 @@ def read_settings(spark, sf):
 @query(
     "s3_replace_cohort",
     with_tables(
-        """SELECT cohort_definition_id, subject_id, cohort_start_date, cohort_end_date FROM outcome WHERE cohort_definition_id <> 1
+        """SELECT cohort_definition_id, subject_id, cohort_start_date, cohort_end_date FROM outcome WHERE cohort_definition_id NOT IN (1, 2)
            UNION ALL
            SELECT cohort_definition_id, subject_id, min(cohort_start_date), min(cohort_end_date)
            FROM outcome WHERE cohort_definition_id = 1 GROUP BY 1, 2"""
@@ -70,9 +70,10 @@ def read_settings(spark, sf):
 def replace_cohort(spark, sf):
     rows = outcome_cohorts(clinical(spark, sf))
     path = scratch_path(spark, "cohorts")
-    tables.replace_cohort(rows, path)
+    """Two cohorts are made anew: 1 with its first rows, 2 without any."""
+    tables.replace_cohort(rows, [r[0] for r in rows.select("cohort_definition_id").distinct().collect()], path)
     again = first_only(rows.filter("cohort_definition_id = 1"))
-    tables.replace_cohort(again, path)
+    tables.replace_cohort(again, [1, 2], path)
     return tables.read_cohorts(spark, path)
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from epiloom.functions.cells import as_text
 from epiloom.functions.dates import age_at
 from epiloom.operators.characterize import (
     cohort_characteristics,
@@ -14,10 +15,11 @@ from epiloom.operators.denominators import denominator, risk_intervals
 from epiloom.operators.events import sex_label
 from epiloom.operators import incidence as inc
 from epiloom.operators.observation import periods
-from epiloom.operators.results import interval_rates, intervals, to_summarised_result
-from epiloom.operators.snapshot import snapshot
-from epiloom.plans.study import Analysis, run_or_log, study_incidence
-from epiloom.sources.tables import materialize
+from epiloom.operators.results import INCIDENCE_ADDITIONAL, INCIDENCE_GROUP, interval_rates, intervals, to_summarised_result
+from epiloom.operators.snapshot import snapshot, source_information
+from epiloom.plans.study import Analysis, export_study, incidence_study, run_or_log, study_incidence
+from epiloom.session import scratch_path
+from epiloom.sources.tables import load_table, materialize
 from workload.registry import query
 from workload.tables import (
     LATEST,
@@ -149,13 +151,15 @@ def overall(spark, sf):
     with_tables(
         """SELECT denom_id, outcome_id, cal_year, cal_month, person_days,
                   CASE WHEN outcome_count BETWEEN 1 AND 4 THEN NULL ELSE outcome_count END AS outcome_count,
-                  CASE WHEN denom_count BETWEEN 1 AND 4 THEN NULL ELSE denom_count END AS denom_count
+                  CASE WHEN denom_count BETWEEN 1 AND 4 THEN NULL ELSE denom_count END AS denom_count,
+                  CASE WHEN outcome_count BETWEEN 1 AND 4 THEN NULL ELSE round(incidence_100000_pys, 6) END AS rate
            FROM monthly"""
     ),
 )
 def suppressed(spark, sf):
     rows = inc.suppress_incidence(monthly(spark, sf), 5)
-    return rows.select("denom_id", "outcome_id", "cal_year", "cal_month", "person_days", "outcome_count", "denom_count")
+    shown = ["denom_id", "outcome_id", "cal_year", "cal_month", "person_days", "outcome_count", "denom_count"]
+    return rows.select(*shown, F.round("incidence_100000_pys", 6).alias("rate"))
 
 
 # Exact limits in SQL: bisection on the Poisson distribution function. The lower
@@ -210,15 +214,17 @@ def limits(spark, sf):
     ),
 )
 def labelled(spark, sf):
-    from epiloom.sources.tables import load_table
+    names = outcome_names(spark, sf)
+    rows = inc.rollup_overall(monthly(spark, sf)).withColumn("outcome_table", F.lit("outcome_cohorts"))
+    return inc.label_outcomes(rows, names).select("denom_id", "outcome_id", "outcome_count", "outcome_name")
 
+
+def outcome_names(spark, sf):
     priority = F.col("o_orderpriority")
-    names = load_table(spark, sf, "orders").filter(priority != "5-LOW").select(
+    return load_table(spark, sf, "orders").filter(priority != "5-LOW").select(
         F.substring(priority, 1, 1).alias("cohort_id"), F.lower(F.expr("substring(o_orderpriority, 3)")).alias("cohort_name"),
         F.lit("outcome_cohorts").alias("table_name"),
     ).distinct()
-    rows = inc.rollup_overall(monthly(spark, sf)).withColumn("outcome_table", F.lit("outcome_cohorts"))
-    return inc.label_outcomes(rows, names).select("denom_id", "outcome_id", "outcome_count", "outcome_name")
 
 
 def entries(spark, sf):
@@ -358,11 +364,13 @@ def characteristics(spark, sf):
         """SELECT 1 AS result_id, CAST(NULL AS VARCHAR) AS cdm_name, 'overall' AS group_name, 'overall' AS group_level,
                   'overall' AS strata_name, 'overall' AS strata_level, l.variable_name, CAST(NULL AS VARCHAR) AS variable_level,
                   l.estimate_name, l.estimate_type, l.estimate_value, 'overall' AS additional_name, 'overall' AS additional_level
-           FROM (SELECT (SELECT count(*) FROM person) AS people, count(*) AS n, min(op_start_date) AS a, max(op_end_date) AS b FROM op),
+           FROM (SELECT (SELECT count(*) FROM person) AS people, count(*) AS n, min(op_start_date) AS a, max(op_end_date) AS b,
+                        (SELECT max(n_name) FROM nation) AS vocabulary FROM op),
+                (SELECT r_regionkey, r_name FROM region WHERE r_regionkey = 1),
                 LATERAL (VALUES ('general', 'snapshot_date', 'date', '2001-08-01'),
-                  ('general', 'person_count', 'integer', CAST(people AS VARCHAR)), ('general', 'vocabulary_version', 'character', NULL),
-                  ('cdm', 'source_name', 'character', NULL), ('cdm', 'version', 'character', NULL), ('cdm', 'holder_name', 'character', NULL),
-                  ('cdm', 'release_date', 'date', NULL), ('cdm', 'description', 'character', NULL),
+                  ('general', 'person_count', 'integer', CAST(people AS VARCHAR)), ('general', 'vocabulary_version', 'character', vocabulary),
+                  ('cdm', 'source_name', 'character', r_name), ('cdm', 'version', 'character', 'v' || r_regionkey), ('cdm', 'holder_name', 'character', 'holder of ' || r_name),
+                  ('cdm', 'release_date', 'date', '2001-08-01'), ('cdm', 'description', 'character', 'orders of ' || r_name),
                   ('cdm', 'documentation_reference', 'character', NULL), ('observation_period', 'count', 'integer', CAST(n AS VARCHAR)),
                   ('observation_period', 'start_date', 'date', strftime(a, '%Y-%m-%d')),
                   ('observation_period', 'end_date', 'date', strftime(b, '%Y-%m-%d')),
@@ -374,7 +382,36 @@ def characteristics(spark, sf):
 )
 def describe_database(spark, sf):
     cdm = clinical(spark, sf)
-    return snapshot(cdm.person, cdm.observation_period, snapshot_date=LATEST)
+    return snapshot(cdm.person, cdm.observation_period, source(spark, sf), vocabulary(spark, sf), LATEST)
+
+
+def source(spark, sf):
+    """A region as the one row that describes where data come from; it names no vocabulary version."""
+    name = F.col("r_name")
+    return load_table(spark, sf, "region").filter("r_regionkey = 1").select(
+        name.alias("cdm_source_name"), F.concat(F.lit("v"), "r_regionkey").alias("cdm_version"),
+        F.concat(F.lit("holder of "), name).alias("cdm_holder"), F.lit(LATEST).alias("cdm_release_date"),
+        F.concat(F.lit("orders of "), name).alias("source_description"), F.lit("").alias("vocabulary_version"),
+    )
+
+
+def vocabulary(spark, sf):
+    """Nations as vocabularies; the first one stands for all."""
+    names = F.when(F.col("n_nationkey") == 0, "None").otherwise(F.col("n_name"))
+    return load_table(spark, sf, "nation").select(names.alias("vocabulary_id"), F.col("n_name").alias("vocabulary_version"))
+
+
+@query(
+    "x4_source_information",
+    """SELECT r_name || ' (v25 2001-08-01)' AS cdm_source_name, 'v' || r_regionkey AS cdm_version, 'holder of ' || r_name AS cdm_holder,
+              DATE '2001-08-01' AS cdm_release_date, '' AS vocabulary_version_cdm, n_name AS vocabulary_version,
+              25 AS version_id, '2001-08-01' AS version_date, text AS source_description, text AS database_description
+       FROM (SELECT *, 'orders of ' || r_name || ' ETL Reference: None CDM release date: 2001-08-01 Source release date: None Source Documentation Reference: None (v25 2001-08-01)' AS text
+             FROM region WHERE r_regionkey = 1), nation WHERE n_nationkey = 0""",
+)
+def describe_source(spark, sf):
+    loads = load_table(spark, sf, "nation").agg(F.count(F.lit(1)).cast("int").alias("version_id")).withColumn("version_date", F.lit(LATEST))
+    return source_information(source(spark, sf), vocabulary(spark, sf), loads)
 
 
 STUDY = {
@@ -405,20 +442,58 @@ def study(spark, sf):
     return study_incidence(stored_strata(spark, sf), tables, analyses)
 
 
+@query(
+    "x5_study_export",
+    with_tables(
+        """SELECT denom_id, outcome_id, coalesce(name, 'outcome_cohorts_' || outcome_id) AS outcome_name, cal_year, cal_month,
+                  CASE WHEN outcome_count BETWEEN 1 AND 4 THEN NULL ELSE outcome_count END AS outcome_count,
+                  CASE WHEN denom_count BETWEEN 1 AND 4 THEN NULL ELSE denom_count END AS denom_count, person_days,
+                  CASE WHEN outcome_count BETWEEN 1 AND 4 THEN NULL ELSE round(incidence_100000_pys, 6) END AS rate
+           FROM monthly LEFT JOIN names ON names.id = outcome_id""",
+        {
+            "names": """SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS id,
+                               lower(substr(o_orderpriority, 3)) AS name FROM orders WHERE o_orderpriority <> '5-LOW'"""
+        },
+    ),
+)
+def exported_study(spark, sf):
+    """A whole study, exported, and its incidence rows read back from the files."""
+    cdm = clinical(spark, sf)
+    analyses = [Analysis("outcome_cohorts", i) for i in IDS]
+    found = incidence_study(cdm, {"outcome_cohorts": outcome_cohorts(cdm)}, analyses, outcome_names(spark, sf), START, LATEST)
+    path = scratch_path(spark, "study")
+    export_study(found, 5, path)
+    rows = spark.read.csv(f"{path}/incidence_and_characteristics", header=True, inferSchema=True).filter("cal_year IS NOT NULL")
+    shown = ["denom_id", "outcome_id", "outcome_name", "cal_year", "cal_month", "outcome_count", "denom_count", "person_days"]
+    types = {"denom_id": "int", "outcome_name": "string", "cal_year": "int", "cal_month": "int"}
+    return rows.select(
+        *[F.col(c).cast(types.get(c, "long")).alias(c) for c in shown],
+        F.round(F.col("incidence_100000_pys").cast("double"), 6).alias("rate"),
+    )
+
+
 @query(
     "x6_failed_log",
     with_tables(
-        """SELECT 'missing_cohorts' AS outcome_table_name, outcome_id, count(*) AS estimated FROM monthly GROUP BY 2"""
+        f"""SELECT 'outcome_cohorts' AS outcome_table_name, outcome_id, count(*) AS estimated FROM monthly WHERE outcome_id <> {IDS[1]} GROUP BY 2
+            UNION ALL SELECT 'outcome_cohorts', {IDS[1]}, NULL
+            UNION ALL SELECT DISTINCT 'missing_cohorts', outcome_id, NULL FROM monthly"""
     ),
 )
 def failures(spark, sf):
-    """A study in which one of two tables is missing: what failed, next to what was estimated."""
-    tables = {"outcome_cohorts": outcomes(spark, sf)}
+    """A study in which a table is missing and one outcome of another can't be read: what failed, next to what was estimated."""
+    rows = outcomes(spark, sf)
+    unreadable = F.when(F.col("cohort_definition_id") == IDS[1], F.raise_error(F.lit("unreadable")).cast("date"))
+    rows = rows.withColumn("cohort_start_date", unreadable.otherwise(F.col("cohort_start_date")))
     analyses = [Analysis(t, i) for t in ("missing_cohorts", "outcome_cohorts") for i in IDS]
     denominators = stored_strata(spark, sf)
-    done, failed = run_or_log(spark, analyses, lambda group: study_incidence(denominators, tables, group))
-    estimated = done.groupBy("outcome_id").agg(F.count(F.lit(1)).alias("estimated"))
-    return failed.drop("error_message").join(estimated, "outcome_id").select("outcome_table_name", "outcome_id", "estimated")
+    done, failed = run_or_log(spark, analyses, lambda group: study_incidence(denominators, {"outcome_cohorts": rows}, group))
+    estimated = done.groupBy(F.col("outcome_table").alias("outcome_table_name"), "outcome_id").agg(F.count(F.lit(1)).alias("estimated"))
+    return estimated.unionByName(failed.drop("error_message"), allowMissingColumns=True)
+
+
+def _limit(column: str) -> str:
+    return f"CAST(CAST(round({column} / (person_days / 365.25::DOUBLE) * 100000, 3) AS DECIMAL(38,3)) AS VARCHAR)"
 
 
 INTERVALS = {
@@ -441,30 +516,34 @@ INTERVALS = {
 @query(
     "x2_summarised_result",
     with_tables(
-        f"""SELECT 1 AS result_id, 'denominator_cohort_' || denom_id || ' &&& outcome_cohorts_' || outcome_id AS group_level,
-                  l.variable_name, l.estimate_name, l.estimate_type, l.estimate_value,
+        f"""SELECT 1 AS result_id, CAST(NULL AS VARCHAR) AS cdm_name, '{INCIDENCE_GROUP}' AS group_name,
+                  'denominator_cohort_' || denom_id || ' &&& outcome_cohorts_' || outcome_id AS group_level,
+                  'overall' AS strata_name, 'overall' AS strata_level, l.variable_name, CAST(NULL AS VARCHAR) AS variable_level,
+                  l.estimate_name, l.estimate_type, l.estimate_value, '{INCIDENCE_ADDITIONAL}' AS additional_name,
                   strftime(a, '%Y-%m-%d') || ' &&& ' || strftime(b, '%Y-%m-%d') || ' &&& ' || name AS additional_level
-           FROM hidden, LATERAL (VALUES
+           FROM hidden LEFT JOIN limits ON k = outcome_count, LATERAL (VALUES
              ('Denominator', 'denominator_count', 'integer', CAST(denom_count AS VARCHAR)),
              ('Denominator', 'person_days', 'numeric', {_text('person_days')}),
              ('Denominator', 'person_years', 'numeric', {_text('person_days / 365.25::DOUBLE')}),
              ('Outcome', 'outcome_count', 'integer', CAST(outcome_count AS VARCHAR)),
-             ('Outcome', 'incidence_100000_pys', 'numeric', {_text('outcome_count / (person_days / 365.25::DOUBLE) * 100000')}))
+             ('Outcome', 'incidence_100000_pys', 'numeric', {_text('outcome_count / (person_days / 365.25::DOUBLE) * 100000')}),
+             ('Outcome', 'incidence_100000_pys_95CI_lower', 'numeric', {_limit('lower_limit')}),
+             ('Outcome', 'incidence_100000_pys_95CI_upper', 'numeric', {_limit('upper_limit')}))
              l(variable_name, estimate_name, estimate_type, estimate_value)
-           UNION ALL SELECT 1, 'overall', 'settings', name, 'character', value, 'overall'
+           UNION ALL SELECT 1, NULL, 'overall', 'overall', 'overall', 'overall', 'settings', NULL, name, 'character', value, 'overall', 'overall'
            FROM (VALUES ('result_type', 'incidence'), ('package_name', 'epiloom'), ('package_version', '0.1.0'),
              ('group', 'denominator_cohort_name &&& outcome_cohort_name'), ('strata', NULL),
              ('additional', 'incidence_start_date &&& incidence_end_date &&& interval_name'), ('min_cell_count', '5')) s(name, value)""",
-        INTERVALS,
+        {**LIMITS, **INTERVALS, "ks": "SELECT DISTINCT outcome_count AS k FROM hidden WHERE outcome_count > 0"},
+        recursive=True,
     ),
 )
 def long_result(spark, sf):
-    """Without the limits, which `a18_x1_poisson_ci` checks."""
+    """All rows and columns; limits in three decimals, as both ways of finding them agree to about ten digits."""
     rows = stored_monthly(spark, sf).withColumn("outcome_name", F.concat_ws("_", F.lit("outcome_cohorts"), "outcome_id"))
     long = to_summarised_result(rows, START, LATEST, 5)
-    return long.filter(~F.col("estimate_name").contains("95CI")).select(
-        "result_id", "group_level", "variable_name", "estimate_name", "estimate_type", "estimate_value", "additional_level"
-    )
+    short = as_text(F.round(F.col("estimate_value").cast("double"), 3), 3)
+    return long.withColumn("estimate_value", F.when(F.col("estimate_name").contains("95CI"), short).otherwise(F.col("estimate_value")))
 
 
 @query(
@@ -472,8 +551,8 @@ def long_result(spark, sf):
     with_tables(
         """SELECT cal_year, CAST(sum(events) AS BIGINT) AS events, CAST(sum(population) AS BIGINT) AS population,
                   round(sum(events) / sum(population) * 100000, 6) AS crude_rate,
-                  round(sum(events / population * weight) / sum(weight) * 100000, 6) AS adjusted_rate
-           FROM rated JOIN weights USING (age_group, sex) GROUP BY 1""",
+                  round(sum(CASE WHEN population > 0 THEN events / population * weight ELSE 0 END) / sum(weight) * 100000, 6) AS adjusted_rate
+           FROM full_strata GROUP BY 1""",
         {
             "observed_years": """
                 SELECT p.person_id, y AS cal_year, CAST(floor((y - year_of_birth) / 10) AS INT) AS age_group, gender_concept_id AS sex
@@ -485,7 +564,12 @@ def long_result(spark, sf):
                               gender_concept_id AS sex, count(*) AS events
                        FROM first_event JOIN person p ON p.person_id = subject_id WHERE outcome_id = 1 GROUP BY 1, 2, 3""",
             "rated": "SELECT s.*, coalesce(events, 0) AS events FROM size s LEFT JOIN hits USING (cal_year, age_group, sex)",
-            "weights": "SELECT age_group, sex, sum(population) AS weight FROM size GROUP BY 1, 2",
+            # A reference with strata that the data lack: an age group nobody is in.
+            "weights": """SELECT age_group, sex, sum(population) AS weight FROM size GROUP BY 1, 2
+                          UNION ALL SELECT 99, sex, count(*) FROM size GROUP BY sex""",
+            "full_strata": """SELECT cal_year, age_group, sex, weight, coalesce(events, 0) AS events, coalesce(population, 0) AS population
+                              FROM (SELECT DISTINCT cal_year FROM rated) CROSS JOIN weights
+                              LEFT JOIN rated USING (cal_year, age_group, sex)""",
         },
     ),
 )
@@ -507,5 +591,6 @@ def adjusted(spark, sf):
     ).agg(F.count(F.lit(1)).alias("events"))
     rated = size.join(hits, keys, "left").fillna(0, ["events"])
     weights = size.groupBy("age_group", "sex").agg(F.sum("population").alias("weight"))
+    weights = weights.union(size.groupBy("sex").agg(F.count(F.lit(1)).alias("n")).select(F.lit(99), "sex", "n"))
     rows = inc.age_adjusted_rate(rated, weights, ["cal_year"], ["age_group", "sex"])
     return rows.withColumns({c: F.round(c, 6) for c in ("crude_rate", "adjusted_rate")})

@@ -416,6 +416,34 @@ def overlap(spark, sf):
     return post.overlap_cohorts(kept, symptom_cohorts(cdm), condition_cohorts(cdm))
 
 
+@query(
+    "u3_final_counts",
+    with_tables(
+        """SELECT cohort_table, CAST(id AS BIGINT) AS cohort_definition_id, cohort_name,
+                  CASE WHEN count(subject_id) BETWEEN 1 AND 4 THEN NULL ELSE count(subject_id) END AS number_records,
+                  CASE WHEN count(DISTINCT subject_id) BETWEEN 1 AND 4 THEN NULL ELSE count(DISTINCT subject_id) END AS number_subjects
+           FROM cohort_names n LEFT JOIN (
+               SELECT 'acute_cohorts' AS t, cohort_definition_id, subject_id FROM acute
+               UNION ALL SELECT 'overlap_cohorts', cohort_definition_id, subject_id FROM overlap_rows) c
+             ON c.t = n.cohort_table AND c.cohort_definition_id = n.id GROUP BY 1, 2, 3""",
+        {
+            **POST,
+            "overlap_rows": f"{k_of_n_sql('symptom_after', 0)} UNION ALL {k_of_n_sql('ailment_after', 3)}",
+            "cohort_names": "SELECT * FROM (VALUES "
+            + ", ".join(f"('overlap_cohorts', {i}, '{n}')" for i, n in post.COHORT_NAMES.items())
+            + ", ('acute_cohorts', 1, 'infection'), ('acute_cohorts', 2, 'influenza'), ('acute_cohorts', 99, 'nobody')) v(cohort_table, id, cohort_name)",
+        },
+    ),
+)
+def final_counts(spark, sf):
+    """The end of the infection study: named cohorts of all tables with their numbers, small ones hidden."""
+    cdm = clinical(spark, sf)
+    kept = post.kept_infections(known_infections(spark, sf), RULES)
+    tables = {"acute_cohorts": acute_cohorts(cdm), "overlap_cohorts": post.overlap_cohorts(kept, symptom_cohorts(cdm), condition_cohorts(cdm))}
+    names = {"acute_cohorts": {1: "infection", 2: "influenza", 99: "nobody"}, "overlap_cohorts": post.COHORT_NAMES}
+    return post.final_counts(tables, names, 5)
+
+
 @query(
     "u4_bind_rows",
     with_tables(
