@@ -214,14 +214,24 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int)
     return full.mapInArrow(check, "a long, b long").distinct()
 
 
+def in_buckets(keys: DataFrame) -> DataFrame:
+    """key, node and pivot (the smallest node of the key), of (key, node), where a key has several nodes."""
+    shared = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
+    return stored(keys.join(stored(shared.select("key", "pivot"), "buckets"), "key"), "members")
+
+
 def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """node and component of the classes that are linked with any other."""
-    bands = _bands(classes, percent / 100)
-    shared = bands.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
-    shared = stored(shared.select("key", "pivot"), "buckets")
-    members = stored(bands.join(shared, "key"), "members")
+    members = in_buckets(_bands(classes, percent / 100))
     sets = stored(_full_sets(docs, members.select("node").distinct(), size), "sets")
+    return link_members(members, classes, sets, percent)
+
+
+def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """node and component of classes linked within buckets (`in_buckets`), whose full `sets` (node, hashes) decide.
 
+    `classes` has node, n, registers and parity. All three are read several times: give them as stored tables.
+    """
     # The pivot that a class shares most bands with.
     common = members.where("node <> pivot").groupBy("node", "pivot").count()
     best = common.groupBy("node").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("pivot"))

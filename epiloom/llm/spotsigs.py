@@ -27,10 +27,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epiloom.llm.common import in_batches, rows_of
+from epiloom.llm.common import in_batches, rows_of, stored
+from epiloom.llm.hyperminhash import in_buckets, link_members, parities, registers
 
 CHAIN = 3
 LEAST = 4
@@ -49,8 +50,8 @@ def _hash(words: str) -> int:
     return xxhash.xxh64_intdigest(words) & 0xFFFFFFFF
 
 
-def signatures(text: str) -> np.ndarray:
-    """The set of signatures, sorted, as 32-bit numbers; never empty."""
+def _chains(text: str) -> set[str]:
+    """The chains of a text, as words; never empty."""
     words = _WORD.findall(text.lower())
     content: list[str] = []
     anchors: list[tuple[str, int]] = []
@@ -63,10 +64,15 @@ def signatures(text: str) -> np.ndarray:
             if not (31 * ord(w[0]) + ord(w[-1]) + len(w)) & 7:
                 anchors.append((w, len(content)))
     most = len(content) - CHAIN
-    found = {_hash(" ".join((w, *content[c : c + CHAIN]))) for w, c in anchors if c <= most}
+    found = {" ".join((w, *content[c : c + CHAIN])) for w, c in anchors if c <= most}
     if len(found) < LEAST:
-        found |= {_hash(" ".join(words[i : i + CHAIN + 1])) for i in range(len(words))}
-    return np.array(sorted(found or {_hash(text)}), "<u4")
+        found |= {" ".join(words[i : i + CHAIN + 1]) for i in range(len(words))}
+    return found or {text}
+
+
+def signatures(text: str) -> np.ndarray:
+    """The set of signatures, sorted, as 32-bit numbers; never empty."""
+    return np.array(sorted({_hash(c) for c in _chains(text)}), "<u4")
 
 
 def fingerprint(found: np.ndarray) -> str:
@@ -98,6 +104,55 @@ def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     return likeness if likeness >= least else 0.0
 
 
+_PRINT = pa.schema(
+    [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary()), ("parity", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64()))]
+)
+_PRINT_DDL = "doc_id long, n long, digest binary, registers binary, parity array<long>, hashes array<long>"
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_signatures, component_id and kept, of each document: linked are those whose signatures have a Jaccard of percent / 100.
+
+    Documents with equal signatures are one class. A class of length n shows its rarest
+    n - ceil(n * percent / 100) + 1 signatures, in its own length class and in the next one: two
+    sets that are alike share one of them in the class of the longer. Classes that share one are
+    linked as in `hyperminhash`, so groups of copies of any size make no pairs of all with all.
+    """
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for doc_id, text in rows_of(batches, "doc_id", "text"):
+                found = np.unique(np.array([xxhash.xxh64_intdigest(c) for c in _chains(text)], np.uint64))
+                digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+                yield doc_id, len(found), digest, registers(found).tobytes(), parities(found).tolist(), found.view(np.int64).tolist()
+
+        return in_batches(rows(), _PRINT, 500)
+
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    prints = stored(texts.mapInArrow(read, _PRINT_DDL), "spot-prints")
+    firsts = [F.first(c).alias(c) for c in ("n", "registers", "parity", "hashes")]
+    classes = prints.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"), *firsts)
+    classes = stored(classes, "spot-classes")
+    single = classes.select("node", "n", F.explode("hashes").alias("signature"))
+    counts = single.groupBy("signature").count()
+    shown = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
+    rarest = F.row_number().over(Window.partitionBy("node").orderBy("count", "signature"))
+    prefix = single.join(counts, "signature").withColumn("rank", rarest).where(F.col("rank") <= shown)
+    length = F.floor(F.log("n") / -math.log(percent / 100) + 1e-9)
+    both = F.explode(F.array(length, length + 1)).alias("length")
+    keys = prefix.select("signature", "node", both).select(F.xxhash64("length", "signature").alias("key"), "node")
+    sets = F.array_join(F.transform("hashes", lambda h: F.lpad(F.hex(h), 16, "0")), "")
+    # hex() writes the high byte first; numpy reads the sets as they are, so order is all that must hold.
+    full = classes.select("node", F.unhex(sets).alias("hashes"))
+    linked = link_members(in_buckets(keys), classes.drop("hashes"), stored(full, "spot-sets"), percent)
+    of_digest = classes.select("digest", "node").join(stored(linked, "spot-components"), "node", "left")
+    of_digest = stored(of_digest.select("digest", F.coalesce("component", "node").alias("c")), "spot-of-digest")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
+    return prints.join(of_digest, "digest", "left").select(
+        "doc_id", F.col("n").alias("n_signatures"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+    )
+
+
 def edited(text: str, following: str) -> str:
     """The text with its last third replaced by as much of the beginning of the next."""
     n = len(text) // 3

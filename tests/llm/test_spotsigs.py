@@ -63,3 +63,35 @@ def test_pruned_jaccard():
         j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         for least in (0.0, 0.3, 0.8, 0.95):
             assert S.jaccard(a, b, least) == (j if j >= least else 0.0)
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    rng = random.Random(8)
+    vocabulary = ["the", "of", "was", "in", *(f"w{i}" for i in range(200))]
+    docs = []
+    for n in (8, 30, 80, 200):
+        base = [rng.choice(vocabulary) for _ in range(n)]
+        for _ in range(15):
+            w = list(base)
+            for _ in range(rng.randrange(1 + n // 15)):
+                w[rng.randrange(n)] = rng.choice(vocabulary)
+            docs.append(" ".join(w))
+    docs += ["", None, "...", "the the the", "the the the"]
+    rows = list(enumerate(docs))
+    sets = [S._chains(t or "") for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id bigint, text string, hashes string")
+    got = sorted((r.doc_id, r.n_signatures, r.component_id, r.kept) for r in S.near_duplicates(df).collect())
+    assert got == [(i, len(sets[i]), find(i), find(i) == i) for i in range(len(rows))]
+    assert S.near_duplicates(df.limit(0)).count() == 0
