@@ -65,6 +65,7 @@ def follow_up_end(obs_end: Column, death: Column, next_event: Column) -> Column:
 
 
 def censor_reason(end: Column, obs_end: Column, death: Column, next_event: Column) -> Column:
+    # The texts of the reasons.
     return (
         F.when(end == death, "death")
         .when(end == obs_end, "end of data collection or exit from database")

@@ -62,6 +62,7 @@ def sample_n(rows: DataFrame, n: int) -> DataFrame:
     A top-n: every task keeps at most `n` rows.
     """
     entry = F.col("cohort_start_date")
+    # The factors of the scrambled order.
     scrambled = ((F.col("subject_id") * F.month(entry)) % 123) * ((F.year(entry) * F.day(entry)) % 123)
     return rows.orderBy(scrambled, "subject_id", entry, "cohort_end_date", "cohort_definition_id").limit(n)
 

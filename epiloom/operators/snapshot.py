@@ -120,6 +120,7 @@ def snapshot(
 
 def source_information(cdm_source: DataFrame, vocabulary: DataFrame, version: DataFrame | None = None) -> DataFrame:
     """Source, vocabulary and load version in one row, with a combined description."""
+    # The labels in a description, and the columns they stand for.
     said = [
         (" ETL Reference: ", "cdm_etl_reference"),
         (" CDM release date: ", "cdm_release_date"),

@@ -11,6 +11,7 @@ from epiloom.sources.tables import read_cohorts
 from helpers import cdm, day, rows
 
 
+# The field names of the exchange format, here and in the documents below.
 def concept_set(number, *items):
     return {
         "id": number,
