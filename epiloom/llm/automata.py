@@ -8,18 +8,20 @@ those of all states behind them, differ no more than the Hoeffding bound allows.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterable
 
 #: Symbol of a character class and how many characters it holds.
 CLASSES = {"d": 10, "f": 6, "z": 20, "U": 6, "Z": 20}
 _SYMBOL = {c: "d" for c in "0123456789"} | {c: "f" for c in "abcdef"} | {c: "z" for c in "ghijklmnopqrstuvwxyz"}
 _SYMBOL |= {c: "U" for c in "ABCDEF"} | {c: "Z" for c in "GHIJKLMNOPQRSTUVWXYZ"}
+_TABLE = str.maketrans(_SYMBOL)
 _KINDS = 12  # symbols that a state may go on with, for smoothing
 
 
 def symbols_of(text: str) -> str:
     """Digits, hexadecimal and other letters by case as classes; every other character stands for itself."""
-    return "".join(_SYMBOL.get(c, c) for c in text)
+    return text.translate(_TABLE)
 
 
 class Automaton:
@@ -33,6 +35,7 @@ class Automaton:
             self._add(symbols_of(s))
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_all()
+        self._steps: defaultdict[int, dict[str, tuple[float, int]]] = defaultdict(dict)
 
     def _add(self, symbols: str) -> None:
         at = 0
@@ -98,16 +101,24 @@ class Automaton:
 
     def log_likelihood(self, text: str) -> float:
         """Mean natural log of the probability of each character and the end, smoothed; -inf without a sample."""
+        return self.of_symbols(symbols_of(text))
+
+    def of_symbols(self, symbols: str) -> float:
+        """The same from the symbols of a text."""
         if not self._total(0):
             return -math.inf
         at, total = 0, 0.0
-        for s in symbols_of(text):
-            if at < 0:
-                total += math.log(1 / (4 * _KINDS))
-            else:
-                total += math.log((self.taken[at].get(s, 0) + 0.01) / (self._total(at) + 0.01 * _KINDS))
-                at = self.next[at].get(s, -1)
-            total -= math.log(CLASSES.get(s, 1))
+        for s in symbols:
+            step = self._steps[at].get(s)
+            if step is None:
+                step = self._steps[at][s] = self._step(at, s)
+            total += step[0]
+            at = step[1]
         if at >= 0:
             total += math.log((self.ends[at] + 0.01) / (self._total(at) + 0.01 * _KINDS))
-        return total / (len(text) + 1)
+        return total / (len(symbols) + 1)
+
+    def _step(self, at: int, s: str) -> tuple[float, int]:
+        """Log of the probability of a character in a state, and the next state; -1 is behind all that the sample holds."""
+        share = 1 / (4 * _KINDS) if at < 0 else (self.taken[at].get(s, 0) + 0.01) / (self._total(at) + 0.01 * _KINDS)
+        return math.log(share) - math.log(CLASSES.get(s, 1)), -1 if at < 0 else self.next[at].get(s, -1)

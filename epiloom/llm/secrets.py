@@ -1,25 +1,31 @@
 """Secret scan: fixed patterns, and formats inferred from what they find.
 
 Values that the patterns find are labelled credentials. A bounded sample of each
-kind is turned into a probabilistic automaton (`automata`), a sample of other
-long tokens into one for ordinary text. Every long token with letters and digits,
-outside what the patterns found, is then scored by how much likelier the best
-credential automaton makes it than the ordinary one. What scores at least
-as high as nearly all held-out credentials do, and higher than nearly all
-ordinary tokens, is a secret of the kind `format`.
-
-The sample is the `sample` distinct values of each kind with the lowest hash,
-over all documents; the scan reads all documents whole.
+kind is turned into a probabilistic automaton (`automata`), samples of other tokens
+into one for each mix of digits, letters by case and other characters. Every token
+of 16 characters or more, outside what the patterns found, is then scored by how much
+likelier the best credential automaton makes it than the best ordinary one.
+What scores at least as high as nearly all held-out credentials do, and higher than
+nearly all ordinary tokens, is a secret of the kind `format`.
+
+The samples are the `sample` distinct values of each kind with the lowest hash,
+over all documents; ordinary ones are taken from each mix in turn, those of several
+documents first. The limit is set from the scores of all distinct tokens of
+all documents, a token of n documents counting n - 1 times, so that a secret that
+stands in one document doesn't pass as ordinary text. The scan reads all documents whole.
 
 Nulls and odd rows: a null text is empty and holds nothing; rows that repeat give a
-row each; without any credential in the table only the patterns count.
+row each, and count as a document each; without any credential in the table only
+the patterns count.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -27,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epiloom.llm.automata import Automaton
-from epiloom.llm.common import in_batches, rows_of
+from epiloom.llm.automata import Automaton, symbols_of
+from epiloom.llm.common import in_batches, rows_of, stored
 
 SAMPLE = 1500
 KINDS = ("assign", "access", "hex", "format")
@@ -38,10 +44,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_LONG = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _LONGEST_EXAMPLE = 200
 _BUCKETS = 64
+#: Of the ordinary tokens, counted by documents, at most one in so many reaches the limit.
+_REJECTED = 100_000
+_STEPS = 1000  # steps of the distribution of scores to 1
+_HELD_TOKENS, _HELD_TEXT = 200_000, 1 << 26  # what a task counts before it hands on
 
 Span = tuple[int, int, int]  # start, index of the kind, end
 
@@ -62,29 +71,81 @@ def spans_text(spans: Iterable[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
 
+def candidates(text: str, base: list[Span]) -> Iterator[re.Match]:
+    """Tokens outside the base spans."""
+    for m in _TOKEN.finditer(text):
+        if not any(s < m.end() and m.start() < e for s, _, e in base):
+            yield m
+
+
+def mix_of(symbols: str) -> int:
+    """Which of digits, small letters, capitals and other characters a token holds, as bits."""
+    held = set(symbols)
+    return ("d" in held) + 2 * bool(held & {"f", "z"}) + 4 * bool(held & {"U", "Z"}) + 8 * bool(held - set("dfzUZ"))
+
+
 class Model(NamedTuple):
     credentials: list[Automaton]
-    ordinary: Automaton
+    ordinary: dict[int, Automaton]  # by mix
     least: float
+    known: dict[str, bool]  # symbols that were judged already
 
     def score(self, token: str) -> float:
-        return max(a.log_likelihood(token) for a in self.credentials) - self.ordinary.log_likelihood(token)
+        return self.score_symbols(symbols_of(token))
+
+    def score_symbols(self, symbols: str, least: float = math.inf) -> float:
+        """The score, or any bound of it below `least`: most tokens need the ordinary automaton of their mix alone."""
+        best = max(a.of_symbols(symbols) for a in self.credentials)
+        own = self.ordinary.get(mix_of(symbols))
+        if own and least < math.inf and (bound := best - own.of_symbols(symbols)) < least:
+            return bound
+        return best - max(a.of_symbols(symbols) for a in self.ordinary.values())
+
+    def accepts(self, symbols: str) -> bool:
+        found = self.known.get(symbols)
+        if found is None:
+            if len(self.known) >= _HELD_TOKENS:
+                self.known.clear()
+            found = self.known[symbols] = self.score_symbols(symbols, self.least) >= self.least
+        return found
 
     def format_spans(self, text: str, base: list[Span]) -> list[Span]:
         """Tokens outside the base spans that look like credentials."""
         if not self.credentials:
             return []
-        out = []
-        for m in _LONG.finditer(text):
-            token = m[0]
-            if token.isalpha() or token.isdigit() or any(s < m.end() and m.start() < e for s, _, e in base):
-                continue
-            if self.score(token) >= self.least:
-                out.append((m.start(), 3, m.end()))
-        return out
+        different = set(symbols_of("\n".join(set(_TOKEN.findall(text)))).split("\n")) - {""}
+        if not any([self.accepts(x) for x in different]):
+            return []
+        return [(m.start(), 3, m.end()) for m in candidates(text, base) if self.accepts(symbols_of(m[0]))]
 
 
-def _lowest(kept: dict[str, int], limit: int) -> None:
+def token_counts(docs: DataFrame) -> DataFrame:
+    """value, n_0 to n_3: all distinct credentials of each kind and tokens outside the patterns, and in how many documents they are."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            seen: list[Counter[str]] = [Counter() for _ in KINDS]
+            read = 0
+            for (text,) in rows_of(batches, "text"):
+                base = base_matches(text)
+                for kind, value in {(kind, value) for (_, kind, _), value in base}:
+                    seen[kind][value] += 1
+                spans = [s for s, _ in base]
+                seen[3].update({m[0] for m in candidates(text, spans)} if base else set(_TOKEN.findall(text)))
+                read += len(text)
+                if read > _HELD_TEXT or len(seen[3]) > _HELD_TOKENS:
+                    yield from ((v, k, n) for k, values in enumerate(seen) for v, n in values.items())
+                    seen, read = [Counter() for _ in KINDS], 0
+            yield from ((v, k, n) for k, values in enumerate(seen) for v, n in values.items())
+
+        return in_batches(rows(), pa.schema([("value", pa.string()), ("kind", pa.int32()), ("n", pa.int64())]), 10_000)
+
+    found = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "value string, kind int, n long")
+    of_kind = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(f"n_{k}") for k in range(len(KINDS))]
+    return found.groupBy("value").agg(*of_kind)
+
+
+def _lowest(kept: dict[str, tuple], limit: int) -> None:
     if len(kept) > 2 * limit:
         best = sorted(kept.items(), key=lambda x: (x[1], x[0]))[:limit]
         kept.clear()
@@ -93,50 +154,88 @@ def _lowest(kept: dict[str, int], limit: int) -> None:
 
 def examples(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """kind, value: of each kind the `sample` distinct values with the lowest hash; kind 3 are ordinary tokens."""
+    return _examples(stored(token_counts(docs), "secret-tokens"), sample)
 
+
+def _examples(counts: DataFrame, sample: int) -> DataFrame:
     def lowest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[dict[str, int]] = [{} for _ in KINDS]
-        for (text,) in rows_of(batches, "text"):
-            base = base_matches(text)
-            for (_, kind, _), value in base:
-                if len(value) <= _LONGEST_EXAMPLE:
-                    kept[kind][value] = zlib.crc32(value.encode())
-            taken = {v for _, v in base}
-            for token in set(_ORDINARY.findall(text)) - taken:
-                if len(token) <= _LONGEST_EXAMPLE and not any(v in token or token in v for v in taken):
-                    kept[3][token] = zlib.crc32(token.encode())
-            for k in kept:
-                _lowest(k, sample)
-        rows = ((k, v, h) for k, values in enumerate(kept) for v, h in sorted(values.items(), key=lambda x: (x[1], x[0]))[:sample])
-        return in_batches(rows, pa.schema([("kind", pa.int32()), ("value", pa.string()), ("hash", pa.int64())]))
-
-    found = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lowest, "kind int, value string, hash long").distinct()
+        kept: defaultdict[tuple[int, int], dict[str, tuple]] = defaultdict(dict)
+        for value, *n in rows_of(batches, "value", *(f"n_{k}" for k in range(len(KINDS)))):
+            if len(value) > _LONGEST_EXAMPLE:
+                continue
+            crc = zlib.crc32(value.encode())
+            for group in [(k, 0) for k in range(3) if n[k]] or [(3, mix_of(symbols_of(value)))]:
+                kept[group][value] = (group[0] == 3 and n[3] < 2, crc)
+                _lowest(kept[group], sample)
+        rows = ((*g, v, *o) for g, values in sorted(kept.items()) for v, o in sorted(values.items(), key=lambda x: (x[1], x[0]))[:sample])
+        names = [("kind", pa.int32()), ("mix", pa.int32()), ("value", pa.string()), ("once", pa.bool_()), ("hash", pa.int64())]
+        return in_batches(rows, pa.schema(names))
+
+    found = counts.mapInArrow(lowest, "kind int, mix int, value string, once boolean, hash long")
     # Two steps, so that no task gets what all tasks have kept.
-    for by in (["kind", F.pmod(F.col("hash"), F.lit(_BUCKETS))], ["kind"]):
-        order = Window.partitionBy(*by).orderBy("hash", "value")
-        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample).drop("rank")
-    return found.select("kind", "value")
+    for by in (["kind", "mix", F.pmod(F.col("hash"), F.lit(_BUCKETS))], ["kind", "mix"]):
+        order = Window.partitionBy(*by).orderBy("once", "hash", "value")
+        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    in_turn = Window.partitionBy("kind").orderBy("rank", "hash", "value")  # at most 15 mixes of `sample` rows
+    return found.withColumn("turn", F.row_number().over(in_turn)).where(F.col("turn") <= sample).select("kind", "value")
 
 
 def fit(rows: Iterable[tuple[int, str]]) -> Model:
-    """Automata from examples; two thirds of each kind teach, one third sets the limit."""
-    by_kind: dict[int, tuple[list[str], list[str]]] = {k: ([], []) for k in range(len(KINDS))}
+    """Automata from examples; of the credentials of a kind, two thirds teach and one third sets the limit."""
+    by_kind: dict[int, tuple[list[str], list[str]]] = {k: ([], []) for k in range(3)}
+    by_mix: defaultdict[int, list[str]] = defaultdict(list)
     for kind, value in sorted(rows):
-        by_kind[kind][zlib.crc32(value.encode()) % 3 == 0].append(value)
-    ordinary = Automaton(by_kind[3][0] or by_kind[3][1] or ["a"])
-    credentials = [Automaton(taught) for taught, _ in (by_kind[k] for k in range(3)) if len(taught) >= 20]
-    model = Model(credentials, ordinary, 0.0)
+        if kind == 3:
+            by_mix[mix_of(symbols_of(value))].append(value)
+        else:
+            by_kind[kind][zlib.crc32(value.encode()) % 3 == 0].append(value)
+    ordinary = {mix: Automaton(values) for mix, values in by_mix.items()} or {2: Automaton(["a"])}
+    credentials = [Automaton(taught) for taught, _ in by_kind.values() if len(taught) >= 20]
+    model = Model(credentials, ordinary, 0.0, {})
     if not credentials:
         return model
-    held = sorted(model.score(v) for k in range(3) for v in by_kind[k][1] if len(v) >= 16)
-    other = sorted(model.score(v) for v in by_kind[3][1] if len(v) >= 16)
-    low = held[len(held) // 20] if held else 0.0
-    high = other[min(len(other) - 1, len(other) * 999 // 1000)] if other else 0.0
-    return model._replace(least=max(low, high, 0.0))
+    held = sorted(model.score(v) for _, values in by_kind.values() for v in values)
+    return model._replace(least=max(held[len(held) // 20] if held else 0.0, 0.0))
+
+
+def score_counts(counts: DataFrame, model: Model) -> DataFrame:
+    """step, n: the distribution of the scores of all tokens that are no labelled credentials, by documents beyond the first."""
+    sent = counts.sparkSession.sparkContext.broadcast(model)
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps: Counter[int] = Counter()
+        known: dict[str, int] = {}
+        for value, n in rows_of(batches, "value", "n_3"):
+            symbols = symbols_of(value)
+            if symbols not in known:
+                if len(known) >= _HELD_TOKENS:
+                    known.clear()
+                known[symbols] = math.floor(sent.value.score_symbols(symbols) * _STEPS)
+            steps[known[symbols]] += n - 1
+        return in_batches(iter(steps.items()), pa.schema([("step", pa.int64()), ("n", pa.int64())]))
+
+    several = counts.where("n_3 > 1 AND n_0 + n_1 + n_2 = 0").select("value", "n_3")
+    return several.mapInArrow(score, "step long, n long").groupBy("step").agg(F.sum("n").alias("n"))
+
+
+def above(steps: Iterable[tuple[int, int]]) -> float:
+    """The least score that at most one in `_REJECTED` of a distribution reaches."""
+    ordered = sorted(steps, reverse=True)
+    allowed = sum(n for _, n in ordered) // _REJECTED
+    for step, n in ordered:
+        allowed -= n
+        if allowed < 0:
+            return (step + 1) / _STEPS
+    return 0.0
 
 
 def fit_on(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    return fit((r.kind, r.value) for r in examples(docs, sample).collect())  # at most four times `sample` short strings
+    counts = stored(token_counts(docs), "secret-tokens")
+    model = fit((r.kind, r.value) for r in _examples(counts, sample).collect())  # at most four times `sample` short strings
+    if not model.credentials:
+        return model
+    high = above((r.step, r.n) for r in score_counts(counts, model).collect())  # a few thousand steps
+    return model._replace(least=max(model.least, high))
 
 
 _SPANS = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_assign", "n_access", "n_hex")), ("base_sha256", pa.string()), ("spans", pa.string())])
