@@ -3,7 +3,7 @@
 Values that the patterns find are labelled credentials. A bounded sample of each
 kind is turned into a probabilistic automaton (`automata`), samples of other tokens
 into one for each mix of digits, letters by case and other characters. Every token
-of 16 characters or more, outside what the patterns found, is then scored by how much
+that can be a credential, outside what the patterns found, is then scored by how much
 likelier the best credential automaton makes it than the best ordinary one.
 What scores at least as high as nearly all held-out credentials do, and higher than
 nearly all ordinary tokens, is a secret of the kind `format`.
@@ -44,7 +44,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: As short as the shortest credential of the patterns and of the same characters, but for dots at its ends.
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{4,}[A-Za-z0-9+/_=-]")
 _LONGEST_EXAMPLE = 200
 _BUCKETS = 64
 #: Of the ordinary tokens, counted by documents, at most one in so many reaches the limit.

@@ -104,3 +104,19 @@ def test_limit_of_a_distribution():
     assert S.above([]) == 0.0
     assert S.above([(5, 99_999), (900, 1)]) == 0.006  # one in 100,000 may lie above
     assert S.above([(5, 99_998), (900, 2)]) == 0.901
+
+
+def test_short_letter_and_dotted_formats():
+    rng = random.Random(5)
+    some = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    words = ["".join(rng.choice(("ka", "lo", "mi", "ru", "sen", "tar")) for _ in range(rng.randrange(3, 6))) for _ in range(900)]
+    new = {
+        "short": lambda: some(3, "QXZJKW") + some(3, "0123456789") + some(3, "QXZJKW"),
+        "letters": lambda: some(10, "QXZJKWVY") + some(10, "qxzjkwvy"),
+        "dotted": lambda: some(20, "QXZJqxzj0123456789") + "." + some(20, "QXZJqxzj0123456789"),
+    }
+    for name, make in new.items():
+        model = S.fit([(0, make()) for _ in range(300)] + [(3, w) for w in words])
+        token = make()
+        text = f"kalomi {token} rusentar internationalisation."
+        assert [text[s:e] for s, _, e in model.format_spans(text, [])] == [token], name
