@@ -10,7 +10,7 @@ from epiloom.llm import secrets, toxicity
 from epiloom.llm.common import stored, table
 from epiloom.llm.decontaminate import without_windows
 from epiloom.llm.hyperminhash import near_duplicates
-from epiloom.llm.packing import pack
+from epiloom.llm.packing import ADDED, pack
 from epiloom.llm.toxicity_queries import LIMIT
 
 #: SQL can't express a trained model, tokenizer or hash sketch; tests compare the stages with brute force.
@@ -48,7 +48,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in pieces, in sequences of 2048 tokens."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special=ADDED)
 
 
 STAGES = [

@@ -11,7 +11,7 @@ Bins that are not full when a worker ends are fewer than capacity pieces for eac
 class. Those of `group` workers go to one task, whatever the size of the input, and
 are packed there best fit first, longest pieces first.
 
-The ids are those that the library tokenizers gives for the vocabulary file. They
+With `special=ADDED` the ids are those that the library tokenizers gives for the vocabulary file. They
 are made by tiktoken from the same vocabulary, which takes about a quarter of the
 time; a test holds both against each other.
 
@@ -40,6 +40,8 @@ from epiloom.llm.common import in_batches, rows_of, stored
 
 CAPACITY = 2048
 END_ID = 1
+#: Fixed value: what the vocabulary file adds to the ranks. Without it in `special` such text is text like any other.
+ADDED = (("<|endoftext|>", 50256),)
 _WORKER = 1 << 32
 _CHUNK = 1 << 20
 #: Between a letter or digit, one space and a letter or digit, no token spans the place before the space.
@@ -49,18 +51,18 @@ Piece = tuple[int, int]  # start, length
 
 
 @cache
-def encoder(ranks_path: str, pattern: str) -> Callable[[str], np.ndarray]:
-    """The ids of a text; `pattern` cuts it into words."""
+def encoder(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()) -> Callable[[str], np.ndarray]:
+    """The ids of a text; `pattern` cuts it into words, and each text of `special`, without spaces, becomes the id beside it."""
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
 
     def encode(text: str) -> np.ndarray:
         parts, at = [], 0
         while len(text) - at > _CHUNK and (cut := _SAFE.search(text, at + _CHUNK)):
             parts.append(text[at : cut.start()])
             at = cut.start()
-        return np.concatenate([np.array(encoding.encode_ordinary(p), "<u4") for p in (*parts, text[at:])])
+        return np.concatenate([np.array(encoding.encode(p, allowed_special="all"), "<u4") for p in (*parts, text[at:])])
 
     return encode
 
@@ -125,13 +127,13 @@ _DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, s
 
 def pack(
     docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
-    slack: float = 1 / 32, group: int = 16,
+    slack: float = 1 / 32, group: int = 16, special: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece."""
 
     def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = TaskContext.get().partitionId()
-        encode, bins = encoder(ranks_path, pattern), Bins(capacity)
+        encode, bins = encoder(ranks_path, pattern, special), Bins(capacity)
 
         def pieces() -> Iterator[tuple]:
             sequence = worker * _WORKER

@@ -77,3 +77,31 @@ def test_pack(spark):
         assert total is None or at <= total
     assert {d: sum(n for _, n in c) for d, c in covered.items()} == {d: len(x) for d, x in ids.items()}
     assert P.pack(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+MARKED = ["end of text <|endoftext|> next", "<|endoftext|>", "a  <|endoftext|>  b", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext|", "<|ENDOFTEXT|>", " <|endoftext|>é"]
+
+
+def test_special_text_gets_its_id(monkeypatch):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert P.ADDED == tuple((x.content, i) for i, x in t.get_added_tokens_decoder().items())
+    texts = [*MARKED, *ODD]
+    want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert 50256 in want[0]
+    encode = P.encoder(RANKS, public_tokenizers.PATTERN, P.ADDED)
+    assert [encode(x).tolist() for x in texts] == want
+    monkeypatch.setattr(P, "_CHUNK", 20)
+    long = " ".join(f"word{i} a b<|endoftext|>c d <|endoftext|> e" for i in range(100))
+    assert P.encoder.__wrapped__(RANKS, public_tokenizers.PATTERN, P.ADDED)(long).tolist() == t.encode(long, add_special_tokens=False).ids
+
+
+def test_op3_uses_the_special_ids(spark, tmp_path):
+    from epiloom.llm.packing_queries import op3
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    spark.createDataFrame(list(enumerate(MARKED)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r.doc_id: r for r in op3(spark, str(tmp_path)).collect() if r.start == 0}
+    for i, text in enumerate(MARKED):
+        ids = [*t.encode(text, add_special_tokens=False).ids, 1]
+        assert rows[i].doc_tokens == len(ids)
+        assert rows[i].ids_crc32 == zlib.crc32(np.array(ids[: rows[i].length], "<u4").tobytes())
