@@ -8,8 +8,9 @@ word's place in the window then fixes where the window would begin; a start
 before the text, or an end behind it, rules it out, and what is left is compared
 word by word.
 
-Windows are kept in an index by rarest word. The index is built in blocks of at
-about `block_windows` windows (at most twice as many, else an error); each block is
+Windows are kept in an index by rarest word. The index is built in blocks of
+about `block_windows` rows of an item and a window, dealt by both, so that a window
+which many items share is spread over the blocks; each block is
 sent to the tasks and the documents are read twice for each, once to count. A benchmark of usual size is one block, a larger one costs
 more passes and never more memory. Documents are never shuffled.
 
@@ -134,11 +135,9 @@ def indexes(docs: DataFrame, benchmark: DataFrame, size: int, block_windows: int
     """The index of each block of windows, sent to the tasks; words are counted over all of `docs`."""
     windows = stored(benchmark_windows(benchmark, size), "windows")
     blocks = max(1, -(-windows.count() // block_windows))
-    block = F.pmod(F.xxhash64("words"), F.lit(blocks))
+    block = F.pmod(F.xxhash64("words", "item_id"), F.lit(blocks))  # rows are distinct, so blocks are about even
     for k in range(blocks):
-        rows = [(r.item_id, bytes(r.words)) for r in windows.where(block == k).take(2 * block_windows + 1)]
-        if len(rows) > 2 * block_windows:  # blocks are dealt by hash, so they are about even
-            raise ValueError("a block of windows is larger than its bound")
+        rows = [(r.item_id, bytes(r.words)) for r in windows.where(block == k).collect()]
         vocabulary = frozenset(w for _, joined in rows for w in joined.split(b" "))
         counts = document_counts(docs, vocabulary) if rows else {}
         yield docs.sparkSession.sparkContext.broadcast(index_of(rows, counts))

@@ -62,3 +62,17 @@ def test_empty_tables(spark):
 def test_rarest_word_leads():
     index = D.index_of([(1, b"the rare of the")], {b"the": 9, b"of": 5, b"rare": 1})
     assert list(index) == [b"rare"] and list(index[b"rare"]) == [(1, 4)]
+
+
+def test_a_window_of_very_many_items(spark):
+    header = "answer the next question in one word and say why"  # ten words that all items share
+    items = [(i, f"{header} item {i}") for i in range(300)]
+    docs = [(1, f"x {header} y"), (2, f"{header} item 7 z"), (3, "say why"), (4, None), (1, f"x {header} y")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    found = D.find_windows(d, b, block_windows=100).collect()
+    got = sorted(((r.doc_id, r.n_words, sum(x.end - x.begin for x in r.ranges), tuple(r["items"])) for r in found), key=repr)
+    assert got == brute(docs, items)
+    assert sorted(r.doc_id for r in D.without_windows(d, b, block_windows=100).collect()) == [3, 4]
+    blocks = [sum(len(i) for places in x.value.values() for windows in places.values() for i in windows.values()) for x in D.indexes(d, b, 10, 100)]
+    assert sum(blocks) == 900 and max(blocks) < 200
