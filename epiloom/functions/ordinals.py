@@ -5,40 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys are grouped by their upper bits twice; no window sees more than 2^22 counts.
-SHIFTS = [22, 44]
-
-
-def _offset(rows: DataFrame, within: list[str], order: str) -> DataFrame:
-    """Rows before each one within its group, from counts `_n`."""
-    w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+from epiloom.sources.tables import materialize
 
 
 def number_rows(df: DataFrame, key: str, date: str, ties: list[str], name: str) -> DataFrame:
-    """1..n in order of (key, date, ties); `key` is a whole number.
+    """1..n in order of (key, date, ties).
 
-    Counts per (key, date) are added up level by level: days within a key, keys
-    within a group of neighbouring keys, groups. Each window runs over counts,
-    never over all the rows of a key; only rows of one key and one day are
-    sorted together.
+    Rows are dealt into ranges of that order, and a row's number is its position in
+    its range behind the rows of all ranges before. Rows that are equal in all of
+    these are told apart by where they were read, so that a range ends
+    anywhere, also within one key and day. The ranges are stored, as a second run
+    may draw other bounds.
     """
-    days = df.groupBy(key, date).agg(F.count(F.lit(1)).alias("_n"))
-    keys = days.groupBy(F.col(key).cast("long").alias("_g0")).agg(F.sum("_n").alias("_n"))
-    levels = [keys]
-    for i, shift in enumerate(SHIFTS):
-        group = F.shiftright(F.col(f"_g{i}"), shift - (SHIFTS[i - 1] if i else 0)).alias(f"_g{i + 1}")
-        levels.append(levels[-1].groupBy(group).agg(F.sum("_n").alias("_n")))
-    top = len(SHIFTS)
-    base = _offset(levels[top].withColumn("_all", F.lit(0)), ["_all"], f"_g{top}").select(
-        f"_g{top}", F.col("_before").alias("_base")
-    )
-    for i in range(top - 1, -1, -1):
-        group = F.shiftright(F.col(f"_g{i}"), SHIFTS[i] - (SHIFTS[i - 1] if i else 0))
-        rows = _offset(levels[i].withColumn(f"_g{i + 1}", group), [f"_g{i + 1}"], f"_g{i}")
-        base = rows.join(base, f"_g{i + 1}").select(f"_g{i}", (F.col("_base") + F.col("_before")).alias("_base"))
-    days = _offset(days, [key], date).join(base, F.col(key) == F.col("_g0"))
-    days = days.select(key, date, (F.col("_base") + F.col("_before")).alias("_base"))
-    within = F.row_number().over(Window.partitionBy(key, date).orderBy(*ties))
-    numbered = df.withColumn("_rn", within).join(days, [key, date])
-    return numbered.select((F.col("_base") + F.col("_rn")).alias(name), *df.columns)
+    order = [key, date, *ties, "_read"]
+    ranges = df.withColumn("_read", F.monotonically_increasing_id()).repartitionByRange(*order)
+    ranges = materialize(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
+    # One row per range, whatever the input.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = ranges.withColumn("_rn", within).join(counts, "_range")
+    return numbered.select((F.col("_before") + F.col("_rn")).alias(name), *df.columns)

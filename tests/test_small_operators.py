@@ -129,6 +129,16 @@ def test_row_numbers_with_a_hot_and_a_huge_key(spark):
     assert found == [(n + 1, *row) for n, row in enumerate(sorted(data))]
 
 
+def test_row_numbers_split_one_key_and_day(spark):
+    data = [(7, day(3), i // 3) for i in range(4000)] + [(k, day(1), 0) for k in range(20)] + [(9, None, 1)]
+    df = spark.createDataFrame(random.Random(1).sample(data, len(data)), "subject_id bigint, d date, i int")
+    found = sorted(tuple(r) for r in number_rows(df, "subject_id", "d", ["i"], "row_id").collect())
+    assert found == [(n + 1, *row) for n, row in enumerate(sorted(data, key=lambda r: (r[0], r[1] is not None, r[1] or day(0), r[2])))]
+    plan = number_rows(df, "subject_id", "d", ["i"], "row_id")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "row_number" in line]
+    assert windows and all("_range" in line for line in windows)  # not by key and day
+
+
 def test_population_and_sample(spark):
     c = cdm(spark, [(1, 8507, 1950, 1, 1), (2, 8532, 1960, 1, 1)], periods=[(1, 0, 500), (2, 300, 900)])
     entries = cohort(spark, [(1, 1, 100, 900), (1, 1, 50, 60), (1, 2, 310, 320), (1, 2, 200, 210)])
