@@ -6,6 +6,7 @@ from epiloom.llm import (  # noqa: F401
     decontaminate_queries,
     hyperminhash_queries,
     maintext_queries,
+    mixing_queries,
     packing_queries,
     quality_queries,
     secrets_queries,
