@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from epiloom.llm import (  # noqa: F401
+    collocations_queries,
     decontaminate_queries,
     hyperminhash_queries,
     maintext_queries,
