@@ -11,6 +11,7 @@ from epiloom.llm import (  # noqa: F401
     packing_queries,
     quality_queries,
     secrets_queries,
+    spelling_queries,
     spotsigs_queries,
     toxicity_queries,
     url_queries,
