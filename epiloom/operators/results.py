@@ -78,8 +78,12 @@ def interval_rates(rows: DataFrame, min_cell_count: int | None) -> DataFrame:
     return rated.withColumns(hidden)
 
 
-def _value(kind: str, column: str) -> Column:
-    return F.col(column).cast("string") if kind == "integer" else as_text(F.col(column))
+def _value(kind: str, column: str, limit_digits: int) -> Column:
+    if kind == "integer":
+        return F.col(column).cast("string")
+    if "95CI" in column:
+        return as_text(F.round(F.col(column), limit_digits), limit_digits)
+    return as_text(F.col(column))
 
 
 def settings_rows(spark: SparkSession, settings: list[tuple[str, str | None]]) -> DataFrame:
@@ -92,8 +96,8 @@ def settings_rows(spark: SparkSession, settings: list[tuple[str, str | None]]) -
     return spark.createDataFrame(rows, layout)
 
 
-def to_summarised_result(monthly: DataFrame, start: date, end: date, min_cell_count: int = 5) -> DataFrame:
-    """Seven long rows per stratum, outcome and interval, and the settings block.
+def to_summarised_result(monthly: DataFrame, start: date, end: date, min_cell_count: int = 5, limit_digits: int = 6) -> DataFrame:
+    """Seven long rows per stratum, outcome and interval, and the settings block. Limits have `limit_digits` decimals.
 
     `monthly` has denom_id, outcome_name and the monthly counts.
     """
@@ -103,7 +107,7 @@ def to_summarised_result(monthly: DataFrame, start: date, end: date, min_cell_co
             F.lit(variable).alias("variable_name"),
             F.lit(name).alias("estimate_name"),
             F.lit(kind).alias("estimate_type"),
-            _value(kind, column).alias("estimate_value"),
+            _value(kind, column, limit_digits).alias("estimate_value"),
         )
         for variable, name, kind, column in ESTIMATES
     ]

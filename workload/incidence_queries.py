@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from epiloom.functions.cells import as_text
 from epiloom.functions.dates import age_at
 from epiloom.operators.characterize import (
     cohort_characteristics,
@@ -541,9 +540,7 @@ INTERVALS = {
 def long_result(spark, sf):
     """All rows and columns; limits in three decimals, as both ways of finding them agree to about ten digits."""
     rows = stored_monthly(spark, sf).withColumn("outcome_name", F.concat_ws("_", F.lit("outcome_cohorts"), "outcome_id"))
-    long = to_summarised_result(rows, START, LATEST, 5)
-    short = as_text(F.round(F.col("estimate_value").cast("double"), 3), 3)
-    return long.withColumn("estimate_value", F.when(F.col("estimate_name").contains("95CI"), short).otherwise(F.col("estimate_value")))
+    return to_summarised_result(rows, START, LATEST, 5, limit_digits=3)
 
 
 @query(
