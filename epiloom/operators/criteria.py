@@ -8,7 +8,7 @@ members it has.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 from operator import add
@@ -114,7 +114,9 @@ class _Frames:
             return self._settled(query_events(self.cdm, self.codesets, c.query), _by_period(c)), None
         key = c.query.domain, _by_period(c)
         if key not in self.made:
-            events = match_codesets(domain_events(self.cdm, c.query.domain), self.codesets, sorted(self.wanted[key]))
+            events = self.cdm.matched.get(c.query.domain)
+            if events is None:
+                events = match_codesets(domain_events(self.cdm, c.query.domain), self.codesets, sorted(self.wanted[key]))
             self.made[key] = self._settled(events, key[1])
         return self.made[key], ("codeset_id", c.query.codeset_id)
 
@@ -127,9 +129,12 @@ class _Frames:
 
 def query_events(cdm: Cdm, codesets: DataFrame | None, query: EventQuery) -> DataFrame:
     """The events a query asks for, in the common shape."""
-    events = domain_events(cdm, query.domain)
-    if query.codeset_id is not None:
-        events = match_codeset(events, codesets, query.codeset_id)
+    if query.domain in cdm.matched:
+        events = cdm.matched[query.domain].filter(F.col("codeset_id") == (query.codeset_id or 0)).drop("codeset_id")
+    else:
+        events = domain_events(cdm, query.domain)
+        if query.codeset_id is not None:
+            events = match_codeset(events, codesets, query.codeset_id)
     if query.first:
         events = first_ever(events)
     if query.start is not None:
@@ -249,9 +254,14 @@ def _meets(group: Group, names: dict[int, str]) -> Column:
     }[group.kind]
 
 
-def add_groups(cdm: Cdm, codesets: DataFrame | None, index: DataFrame, groups: dict[str, Group]) -> DataFrame:
+def add_groups(
+    cdm: Cdm, codesets: DataFrame | None, index: DataFrame, groups: dict[str, Group], only: dict[str, int] | None = None
+) -> DataFrame:
     """Index events plus one boolean column per named group.
 
+    With `only`, the index events of several cohorts stand in one table, and the value for a group is the `cohort_definition_id` of the
+    events that it is for; its column says nothing about others.
+
     The index events are stored before they are asked about: the counts read
     them twice, and definitions stack one group on another.
     """
@@ -259,11 +269,16 @@ def add_groups(cdm: Cdm, codesets: DataFrame | None, index: DataFrame, groups: d
     ranges = []
     criteria = [c for group in groups.values() for c in _correlated(group)]
     frames = _Frames(cdm, codesets, criteria)
+    asked_by: dict[int, set[int]] = {}
+    for name, cohort_id in (only or {}).items():
+        for c in _correlated(groups[name]):
+            asked_by.setdefault(id(c), set()).add(cohort_id)
     for c in criteria:
         if id(c) not in names:
             names[id(c)] = f"_count_{len(names)}"
-            ranges.append(_range(names[id(c)], *frames.of(c), c))
-    anchor = ["start_date", "op_start_date", "op_end_date"]
+            asks = F.col("cohort_definition_id").isin(sorted(asked_by[id(c)])) if only else None
+            ranges.append(replace(_range(names[id(c)], *frames.of(c), c), only=asks))
+    anchor = ["start_date", "op_start_date", "op_end_date", *(["cohort_definition_id"] if only else [])]
     windows = [w for g in groups.values() for c in _correlated(g) for w in (c.window, c.end_window) if w]
     if any(w.from_index_end for w in windows):
         anchor.insert(1, "end_date")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,7 +18,7 @@ def exit_fixed_offset(events: DataFrame, days: int, field: str = "start_date", c
     return events.withColumn("end_date", end)
 
 
-def era_collapse(intervals: DataFrame, keys: list[str], start: str = "start_date", end: str = "end_date", pad: int = 0) -> DataFrame:
+def era_collapse(intervals: DataFrame, keys: list[str], start: str = "start_date", end: str = "end_date", pad: int | Column = 0) -> DataFrame:
     """Merge intervals of a key that overlap, touch or lie up to `pad` days apart.
 
     A new era begins where a start lies after every earlier end + pad; its end is

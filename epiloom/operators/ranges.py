@@ -48,6 +48,7 @@ class DayRange:
     edges of an observation period; without it events of all cells count.
     `tag` names a column and the value it must have: questions about different
     parts of one frame then share a single pass over it.
+    `only` says which anchors ask at all; the others count 0 and add nothing to the time line.
     """
 
     name: str
@@ -59,6 +60,7 @@ class DayRange:
     overlap: bool = False
     cell: tuple[str, str] | None = None
     tag: tuple[str, int] | None = None
+    only: Column | None = None
     start: str = "start_date"
     end: str = "end_date"
 
@@ -138,14 +140,16 @@ def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges
     if not ranges:
         return index
     answered = counts_of_anchors(index.select(*keys, *anchor).distinct(), keys, anchor, ranges)
-    return _with_answers(index, answered, keys, anchor, [r.name for r in ranges])
+    return _with_answers(index, answered, keys, anchor, [r.name for r in ranges], all(r.only is None for r in ranges))
 
 
-def _with_answers(index: DataFrame, answered: DataFrame, keys: list[str], anchor: list[str], names: list[str]) -> DataFrame:
-    """Each index row with the answers of its anchor; missing dates are equal to each other here."""
+def _with_answers(index: DataFrame, answered: DataFrame, keys: list[str], anchor: list[str], names: list[str], all_ask: bool) -> DataFrame:
+    """Each index row with the answers of its anchor; missing dates are equal to each other here, and anchors that ask nothing count 0."""
     renamed = answered.select(*[F.col(c).alias(f"_at_{c}") for c in (*keys, *anchor)], *names)
     same = [F.col(k) == F.col(f"_at_{k}") for k in keys] + [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in anchor]
-    return index.join(renamed, same).select(*index.columns, *names)
+    if all_ask:
+        return index.join(renamed, same).select(*index.columns, *names)
+    return index.join(renamed, same, "left").select(*index.columns, *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
 
 
 def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ranges: list[DayRange]) -> DataFrame:
@@ -180,12 +184,15 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
         ends = [_probe(i, i, upper, F.when(asks, 1).otherwise(0))]
         if lower is not None:
             ends.append(_probe(i, lower_question, lower, F.when(asks, -1).otherwise(0)))
+        before = len(asked)
         if by_tree:
             where = _nodes_covering(_day(r.end_lower, 0), _day(r.end_upper, _PAST_ALL))
             where = F.when(_given(r.end_lower, r.end_upper), where).otherwise(F.lit([]).cast(_NODES))
             asked += [F.transform(where, e) for e in ends]
         else:
             asked.append(F.array(*[e(part) for e in ends]))
+        if r.only is not None:
+            asked[before:] = [F.when(r.only, a).otherwise(F.slice(a, 1, 0)) for a in asked[before:]]
     counted = [
         frames[k].select(*keys, F.explode(F.concat(*adds)).alias("m"))
         .groupBy(*keys, F.col("m.question").alias("question"), F.col("m.at").alias("at"), F.col("m.day").alias("day"))

@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession
 
 from epiloom.operators.codesets import ConceptSet
 from epiloom.operators.criteria import Comparison, Correlated, Demographic, EventQuery, Group, Window
-from epiloom.plans.cohorts import CohortSpec, DateOffset, build_cohort, build_with_statistics, share_codesets
+from epiloom.plans.cohort_sets import build_cohorts
+from epiloom.plans.cohorts import CohortSpec, DateOffset, build_with_statistics, share_codesets
 from epiloom.sources.tables import Cdm, replace_cohort
 
 # Names of the format.
@@ -163,15 +164,16 @@ def read_definition(document: dict | str, cohort_id: int) -> CohortSpec:
 def generate_cohorts(spark: SparkSession, cdm: Cdm, documents: dict[int, str], path: str, statistics: str | None = None) -> None:
     """Build each definition and write it under its cohort id, replacing older rows.
 
-    The concept sets of all definitions are expanded in one pass over the hierarchy. With a
-    folder for `statistics`, the tables of STATISTICS are written there in the same way.
+    All definitions go through one pass over the data (`cohort_sets`). With a folder for `statistics`, the
+    tables of STATISTICS are written there in the same way; then definitions are built one after the other, with the concept sets of all expanded together.
     """
     specs = [read_definition(document, cohort_id) for cohort_id, document in documents.items()]
+    if statistics is None:
+        if specs:
+            replace_cohort(build_cohorts(cdm, specs), [s.cohort_id for s in specs], path)
+        return
     specs, codesets = share_codesets(cdm, specs)
     for spec in specs:
-        if statistics is None:
-            replace_cohort(build_cohort(cdm, spec, codesets), [spec.cohort_id], path)
-            continue
         tables = build_with_statistics(cdm, spec, codesets)
         replace_cohort(tables.pop("cohort"), [spec.cohort_id], path)
         for name, rows in tables.items():

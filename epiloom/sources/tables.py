@@ -19,6 +19,8 @@ class Cdm:
     """The tables of one database, by lower-case name."""
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    #: By domain, events matched to codesets before: rows of the common shape with a `codeset_id`, 0 for all events of the domain.
+    matched: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
         try:

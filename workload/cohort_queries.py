@@ -31,6 +31,7 @@ from epiloom.operators.inclusion import (
 )
 from epiloom.operators.observation import attach_observation
 from epiloom.operators.ranges import DayRange, count_in_ranges
+from epiloom.plans.cohort_sets import build_cohorts
 from epiloom.plans.cohorts import (
     CohortSpec,
     DateOffset,
@@ -595,3 +596,73 @@ FIRST_URGENT = """
 def first_urgent(spark, sf):
     """The flagship: first urgent order per customer after a year of observation."""
     return build_cohort(clinical(spark, sf), URGENT_COHORT)
+
+
+UNSEEN = Group("ALL", (Correlated(EventQuery("death"), "at_most", 0, Window(0, 365)),))
+SEVERAL = [
+    URGENT_COHORT,
+    CohortSpec(2, (URGENT,), tuple(SETS)),
+    CohortSpec(3, (URGENT,), tuple(SETS), prior_days=180, post_days=90),
+    replace(VISIT_COHORT, cohort_id=4, primary=(URGENT,), era_pad=0),
+    replace(VISIT_COHORT, cohort_id=5, primary=(URGENT,), era_pad=90),
+    NEWLY,
+    SPEC,
+    VISIT_COHORT,
+    replace(VISIT_COHORT, cohort_id=9, prior_days=0, era_pad=30),
+    CohortSpec(10, (URGENT,), tuple(SETS), rules=(UNSEEN,), primary_limit="All", qualified_limit="All", expression_limit="All", era_pad=30),
+]
+
+
+def _stays(kind: str, prior: int) -> str:
+    return f"""SELECT v.person_id, v.start_date, least(v.start_date + 30, op.op_end_date) AS end_date
+               FROM {kind} v JOIN op ON op.person_id = v.person_id
+               WHERE op.op_start_date + {prior} <= v.start_date AND v.start_date <= op.op_end_date"""
+
+
+def _first_urgent(cohort_id: int, prior: int, post: int = 0) -> str:
+    return f"""SELECT CAST({cohort_id} AS BIGINT) AS cohort_definition_id, person_id AS subject_id, min(start_date) AS cohort_start_date,
+                      any_value(op_end_date) AS cohort_end_date
+               FROM indexed WHERE op_start_date + {prior} <= start_date AND start_date + {post} <= op_end_date GROUP BY person_id"""
+
+
+def _of_eras(cohort_id: int, table: str) -> str:
+    return f"SELECT CAST({cohort_id} AS BIGINT), person_id, start_date, end_date FROM {table}"
+
+
+@query(
+    "cohort_set_in_one_pass",
+    with_tables(
+        " UNION ALL ".join(
+            [
+                _first_urgent(1, 365),
+                _first_urgent(2, 0),
+                _first_urgent(3, 180, 90),
+                *[_of_eras(i, f"eras_{i}") for i in (4, 5, 8, 9, 10)],
+                """SELECT 6, i.person_id, i.start_date, i.op_end_date
+                   FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY start_date, event_id) AS n
+                         FROM indexed WHERE op_start_date + 365 <= start_date) i
+                   JOIN death d ON d.person_id = i.person_id AND death_date BETWEEN i.start_date AND i.start_date + 365
+                    AND death_date BETWEEN op_start_date AND op_end_date
+                   WHERE n = 1""",
+                "SELECT 7, person_id, start_date, op_end_date FROM included",
+            ]
+        ),
+        {
+            **SPEC_SQL,
+            "stays_urgent": _stays("indexed", 365),
+            "stays_visit": _stays("visit20", 365),
+            "stays_visit_any": _stays("visit20", 0),
+            "alive": """SELECT person_id, start_date, op_end_date AS end_date FROM indexed i WHERE NOT EXISTS (
+                        SELECT 1 FROM death d WHERE d.person_id = i.person_id AND death_date BETWEEN i.start_date AND i.start_date + 365
+                        AND death_date BETWEEN op_start_date AND op_end_date)""",
+            "eras_4": islands("stays_urgent", "person_id", 0),
+            "eras_5": islands("stays_urgent", "person_id", 90),
+            "eras_8": islands("stays_visit", "person_id", 180),
+            "eras_9": islands("stays_visit_any", "person_id", 30),
+            "eras_10": islands("alive", "person_id", 30),
+        },
+    ),
+)
+def cohort_set(spark, sf):
+    """Ten definitions at once."""
+    return build_cohorts(clinical(spark, sf), SEVERAL)
