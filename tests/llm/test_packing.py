@@ -1,5 +1,6 @@
 """Packing: the ids, the pieces and the sequences."""
 
+import re
 import random
 import zlib
 from collections import defaultdict
@@ -105,3 +106,23 @@ def test_op3_uses_the_special_ids(spark, tmp_path):
         ids = [*t.encode(text, add_special_tokens=False).ids, 1]
         assert rows[i].doc_tokens == len(ids)
         assert rows[i].ids_crc32 == zlib.crc32(np.array(ids[: rows[i].length], "<u4").tobytes())
+
+
+@pytest.mark.parametrize("white", [" ", "\n", "\t", " \n", "\u3000", "\u00a0 "])
+@pytest.mark.parametrize("after", ["", "word", ".", "7", "<|endoftext|>", " <|endoftext|> x"])
+def test_long_runs_of_white_space(monkeypatch, white, after):
+    """Cut out above ten characters here, so that many places of the cut are compared."""
+    monkeypatch.setattr(P, "_WHITE", re.compile(P._WHITE.pattern.replace(str(P._LONG_RUN), "10")))
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = P.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, P.ADDED)
+    for n in (9, 10, 11, 12, 300):
+        text = "a" + white * n + after + white * n + after
+        assert encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("white", [" ", "\n"])
+def test_two_million_of_white_space(white):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = P.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, P.ADDED)
+    text = "a" + white * 2_000_000 + "b"
+    assert encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
