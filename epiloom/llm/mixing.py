@@ -32,7 +32,7 @@ BLOCK = 128
 SHARD_BLOCKS = 8192
 BUCKET_ROWS = 50_000
 CHUNK = 16_384
-ROUNDS = 32
+ROUNDS = 12
 PRIME = 2_147_483_647
 
 
@@ -42,20 +42,19 @@ def hashed(seed: str, *parts: Column, digits: int = 15) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
 
 
-def permuted(x: Column, n: Column, base: Column) -> Column:
-    """Where a pseudorandom permutation of 0 .. n-1 takes x; `base` chooses the permutation.
+def permuted(df: DataFrame, at: str, n: str, base: str) -> DataFrame:
+    """`df` with the column `at`, from 0 to n-1, replaced by where a pseudorandom permutation takes it; `base` chooses the permutation.
 
-    Swap or not (Hoang, Morris and Rogaway, 2012): in each round x is paired with key - x modulo n,
-    and a bit that depends on the pair alone says whether it goes there. Any n will do.
+    Swap or not (Hoang, Morris and Rogaway, 2012): in each round a number x is paired with key - x modulo n,
+    and a bit that depends on the pair alone says whether it goes there. Any n will do. A projection for each round, in generated code.
     """
-
-    def step(at: Column, r: Column) -> Column:
-        key = (base * (2 * r + 1) * F.lit(1_000_003) + r * 7919) % F.lit(PRIME)
-        other = F.pmod(key - at, n)
-        pair = (F.greatest(at, other) + key) % F.lit(PRIME)
-        return F.when((pair * pair) % F.lit(PRIME) % 2 == 1, other).otherwise(at)
-
-    return F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.lit(ROUNDS).cast("bigint")), x.cast("bigint"), step)
+    others = [c for c in df.columns if c != at]
+    for r in range(1, ROUNDS + 1):
+        key = f"(({base} * {(2 * r + 1) * 1_000_003}L + {r * 7919}L) % {PRIME}L)"
+        df = df.selectExpr(*others, at, f"pmod({key} - {at}, {n}) AS _other")
+        df = df.selectExpr(*others, at, "_other", f"(greatest({at}, _other) + {key}) % {PRIME}L AS _pair")
+        df = df.selectExpr(*others, f"CASE WHEN (_pair * _pair) % {PRIME}L % 2 = 1 THEN _other ELSE {at} END AS {at}")
+    return df
 
 
 def sized(docs: DataFrame, words: bool = False) -> DataFrame:
@@ -136,8 +135,9 @@ def shard_slots(counts: DataFrame, seed: str = "mix") -> DataFrame:
     slots = ranges.select("rank", "blocks", "shard", F.explode(F.expr("sequence(first, first + count - 1)")).alias("slot"))
     slots = slots.withColumn("round", F.expr("slot div blocks"))
     base = hashed(seed + "-order", F.col("rank"), F.col("round"), digits=7)
-    slots = slots.withColumn("base", base).withColumn("block", permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("base")))
-    return slots.select("rank", "shard", "slot", "round", "block")
+    slots = slots.withColumn("base", base).withColumn("block", F.col("slot") % F.col("blocks"))
+    # Stored: the plan of the mix, and Spark would push what it infers for later joins through all rounds.
+    return stored(permuted(slots, "block", "blocks", "base").select("rank", "shard", "slot", "round", "block"), "slots")
 
 
 def pieces(placed: DataFrame, block: int) -> DataFrame:
@@ -156,10 +156,10 @@ def mix(
     sources, placed = streams(docs, weights, percent, most, block)
     placed = stored(placed, "placed")
     slots = shard_slots(stored(shard_counts(sources, shard_blocks, seed), "shard-counts"), seed)
-    used = slots.select(F.col("rank").alias("r"), F.col("block").alias("b"))
+    used = slots.groupBy(F.col("rank").alias("r"), F.col("block").alias("b")).agg(F.count(F.lit(1)).alias("times"))
     parts = pieces(placed, block)
     both = parts.join(used, (F.col("rank") == F.col("r")) & (F.col("block") == F.col("b")), "left")
-    taken = F.coalesce(F.sum(F.when(F.col("r").isNotNull(), F.col("length"))), F.lit(0)).cast("bigint")
+    taken = F.sum(F.col("length") * F.coalesce("times", F.lit(0))).cast("bigint")
     columns = ["doc_id", "source", "size", "source_size", "target"]
     # Each row with words has a place of its own in its source's stream.
     whole = both.groupBy("rank", "start", *columns).agg(taken.alias("taken"))

@@ -71,7 +71,7 @@ def by_loop(rows, weights, percent, most, block):
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 100, 1024])
 def test_permutation(spark, n):
-    found = spark.range(n).select("id", M.permuted(F.col("id"), F.lit(n).cast("bigint"), F.lit(123456789).cast("bigint")).alias("to"))
+    found = M.permuted(spark.range(n).select("id", F.col("id").alias("to"), F.lit(n).alias("n"), F.lit(123456789).cast("bigint").alias("base")), "to", "n", "base")
     to = {r["id"]: r["to"] for r in found.collect()}
     assert to == {i: walk(i, n, 123456789) for i in range(n)}
     assert sorted(to.values()) == list(range(n))
