@@ -5,12 +5,12 @@ five words, with empty columns behind the end of the piece. Only these windows a
 counted; the counts of all shorter phrases are sums over the last columns, which
 Spark's ROLLUP gives. So each word is a row once, not once for each length of phrase.
 
-A phrase with `least` occurrences is made of neighbours that occur together `least` times. Windows
-therefore end before a pair that doesn't: a first pass counts words and pairs in tables of 2^`bits` counters
-by hash, one for each task, which are added up; where a counter stays below `least`, all words or pairs
-that share it are rare. Those that share a counter with others may pass without being frequent: that costs time,
+A phrase with `least` occurrences is made of words, pairs and triples that occur `least` times. Windows
+therefore end before a pair or triple that doesn't: a first pass counts words, pairs and triples in tables of 2^`bits` counters
+by hash, one for each task, which are added up; where a counter stays below `least`, all that
+share it are rare. Those that share a counter with others may pass without being frequent: that costs time,
 but nothing is lost, and the counts of phrases are exact either way. The tables' size is fixed, whatever the input: a bit for
-each counter goes to the tasks, 4 MB in all.
+each counter goes to the tasks, 6 MB in all. Beyond some 2^`bits` x `least` words most counters are full and little is cut off.
 
 Defined results: null and empty texts have no words, a null language is `und`, repeated rows and
 null ids count like others, empty tables give no rows. Only `text` and `lang` are read, whatever
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from epiloom.llm.common import rows_of, stored, utf8
 
 LONGEST = 5
+#: Up to so many words have counters.
+COUNTED = 3
 BITS = 24
 STEP = 500_000
 PART = 1 << 20
@@ -100,32 +102,38 @@ def _mixed(x: np.ndarray, bits: int) -> np.ndarray:
     return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _places(step: _Step, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Counters of words and of pairs with the next word; what is a word, and what is followed by one in its piece."""
+def _places(step: _Step, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For one, two and three words from each place on: their counter, and whether they are in one piece."""
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, step.words), np.uint64, len(step.words))[step.ids]
     tongue = np.fromiter((xxhash.xxh64_intdigest(x) for x in step.langs), np.uint64, len(step.langs))[step.lang]
-    follows = np.append(hashes[1:], np.uint64(0))
-    word = step.ids > 0
-    pair = word & np.append(word[1:], False)
-    return _mixed(hashes ^ tongue, bits), _mixed(hashes * np.uint64(3) + follows ^ tongue, bits), word, pair
+    whole, sums = step.ids > 0, hashes
+    out = [(_mixed(sums ^ tongue, bits), whole)]
+    for j in range(1, COUNTED):
+        sums = sums * np.uint64(3) + np.append(hashes[j:], np.zeros(min(j, len(hashes)), np.uint64))
+        whole = whole & np.append(step.ids[j:] > 0, np.zeros(min(j, len(hashes)), bool))
+        out.append((_mixed(sums ^ tongue, bits), whole))
+    return out
 
 
-def _marks(texts: DataFrame, least: int, bits: int) -> tuple[bytes, bytes]:
-    """A bit for each counter that reaches `least`: of words, of pairs."""
-    kind = np.uint8 if least < 256 else np.uint32
+def _marks(texts: DataFrame, least: int, bits: int) -> list[bytes]:
+    """A bit for each counter that reaches `least`: of words, of pairs, of triples."""
+    kind = np.uint16 if least <= 5000 else np.uint32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros((2, 1 << bits), np.uint32)
+        counters = np.zeros((COUNTED, 1 << bits), kind)
         for step in _steps(batches):
-            at_word, at_pair, word, pair = (x[: step.starts] for x in _places(step, bits))
-            np.add.at(counters[0], at_word[word], 1)
-            np.add.at(counters[1], at_pair[pair], 1)
-        for k in (0, 1):
+            for table, (at, whole) in zip(counters, _places(step, bits), strict=True):
+                at = at[: step.starts][whole[: step.starts]]
+                # Counters stop at `least`; so few are added at a time that none overflows.
+                for i in range(0, len(at), 60_000):
+                    some = at[i : i + 60_000]
+                    np.add.at(table, some, kind(1))
+                    table[some] = np.minimum(table[some], least)
+        for k in range(COUNTED):
             for i in range(0, 1 << bits, CHUNK):
                 some = counters[k, i : i + CHUNK]
                 if some.any():
-                    packed = zlib.compress(np.minimum(some, least).astype(kind).tobytes(), 1)
-                    yield pa.record_batch([pa.array([k], pa.int32()), pa.array([i // CHUNK], pa.int32()), pa.array([packed], pa.binary())], schema=_COUNTERS)
+                    yield _row(k, i // CHUNK, zlib.compress(some.tobytes(), 1))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
@@ -133,42 +141,41 @@ def _marks(texts: DataFrame, least: int, bits: int) -> tuple[bytes, bytes]:
             some = np.frombuffer(zlib.decompress(packed), kind).astype(np.uint32)
             sums[k, i] = np.minimum(sums[k, i] + some, least) if (k, i) in sums else some
         for (k, i), total in sums.items():
-            packed = np.packbits(total >= least, bitorder="little").tobytes()
-            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([i], pa.int32()), pa.array([packed], pa.binary())], schema=_COUNTERS)
+            yield _row(k, i, np.packbits(total >= least, bitorder="little").tobytes())
 
     layout = "kind int, chunk int, counters binary"
     added = texts.mapInArrow(count, layout).repartition("kind", "chunk").mapInArrow(add, layout)
-    tables = np.zeros((2, max(1, (1 << bits) // CHUNK), min(CHUNK, 1 << bits) // 8), np.uint8)
-    for row in added.toLocalIterator():  # 2^bits / 8 bytes of each kind
+    tables = np.zeros((COUNTED, max(1, (1 << bits) // CHUNK), min(CHUNK, 1 << bits) // 8), np.uint8)
+    for row in added.collect():  # at most 2^bits / 8 bytes of each kind
         tables[row["kind"], row["chunk"]] = np.frombuffer(row["counters"], np.uint8)
-    return tables[0].tobytes(), tables[1].tobytes()
+    return [x.tobytes() for x in tables]
+
+
+def _row(kind: int, chunk: int, packed: bytes) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([kind], pa.int32()), pa.array([chunk], pa.int32()), pa.array([packed], pa.binary())], schema=_COUNTERS)
 
 
 def _windows(texts: DataFrame, least: int, bits: int) -> DataFrame:
-    """lang, phrase (a window without its empty columns; empty if its first word is rare) and n; a row for each step at least."""
+    """lang, phrase (a window without its empty columns; empty if its first word is rare) and n, counted by step."""
     sent = texts.sparkSession.sparkContext.broadcast(_marks(texts, least, bits))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_ok, pairs_ok = (np.frombuffer(x, np.uint8) for x in sent.value)
-
-        def marked(table: np.ndarray, at: np.ndarray) -> np.ndarray:
-            return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
+        tables = [np.frombuffer(x, np.uint8) for x in sent.value]
         for step in _steps(batches):
-            at_word, at_pair, word, pair = _places(step, bits)
-            goes_on = pair & marked(pairs_ok, at_pair)
-            at = np.flatnonzero(word[: step.starts])
+            often = [whole & (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) for table, (at, whole) in zip(tables, _places(step, bits), strict=True)]
+            at = np.flatnonzero(step.ids[: step.starts])
             if not len(at):
                 continue
-            inside = marked(words_ok, at_word[at])
-            length = inside.astype(np.int64)
+            inside = often[0][at]
+            length = np.zeros(len(at), np.int64)
             many = len(step.words)
             key, first = step.lang[at], None
             for j in range(LONGEST):
-                if j:
-                    inside = inside & goes_on[np.minimum(at + j - 1, len(goes_on) - 1)]
-                    length += inside
-                column = np.where(inside, step.ids[np.minimum(at + j, len(step.ids) - 1)], 0)
+                to = np.minimum(at + j, len(step.ids) - 1)
+                for m in range(1, min(j + 1, COUNTED)):
+                    inside = inside & often[m][to - m]
+                length += inside
+                column = np.where(inside, step.ids[to], 0)
                 _, first, key, n = np.unique(key * many + column, return_index=True, return_inverse=True, return_counts=True)
             phrases = [b" ".join([step.words[x] for x in step.ids[i : i + m]]) for i, m in zip(at[first].tolist(), length[first].tolist(), strict=True)]
             langs = [step.langs[x] for x in step.lang[at[first]].tolist()]
