@@ -37,6 +37,8 @@ LONGEST = 5
 COUNTED = 3
 BITS = 24
 STEP = 500_000
+#: Distinct windows that a task holds.
+HELD = 400_000
 PART = 1 << 20
 #: Counters that travel as one row.
 CHUNK = 1 << 16
@@ -156,11 +158,19 @@ def _row(kind: int, chunk: int, packed: bytes) -> pa.RecordBatch:
 
 
 def _windows(texts: DataFrame, least: int, bits: int) -> DataFrame:
-    """lang, phrase (a window without its empty columns; empty if its first word is rare) and n, counted by step."""
+    """lang, phrase (a window without its empty columns; empty if its first word is rare) and n, counted by task."""
     sent = texts.sparkSession.sparkContext.broadcast(_marks(texts, least, bits))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.frombuffer(x, np.uint8) for x in sent.value]
+        held: dict[str, dict[bytes, int]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, own in held.items():
+                phrases = pa.array(list(own), pa.binary()).cast(pa.string())
+                yield pa.record_batch([pa.array([lang] * len(own), pa.string()), phrases, pa.array(list(own.values()), pa.int64())], schema=_WINDOWS)
+            held.clear()
+
         for step in _steps(batches):
             often = [whole & (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) for table, (at, whole) in zip(tables, _places(step, bits), strict=True)]
             at = np.flatnonzero(step.ids[: step.starts])
@@ -177,9 +187,14 @@ def _windows(texts: DataFrame, least: int, bits: int) -> DataFrame:
                 length += inside
                 column = np.where(inside, step.ids[to], 0)
                 _, first, key, n = np.unique(key * many + column, return_index=True, return_inverse=True, return_counts=True)
-            phrases = [b" ".join([step.words[x] for x in step.ids[i : i + m]]) for i, m in zip(at[first].tolist(), length[first].tolist(), strict=True)]
-            langs = [step.langs[x] for x in step.lang[at[first]].tolist()]
-            yield pa.record_batch([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], schema=_WINDOWS)
+            starts = zip(at[first].tolist(), length[first].tolist(), step.lang[at[first]].tolist(), n.tolist(), strict=True)
+            for i, m, lang, times in starts:
+                phrase = b" ".join([step.words[x] for x in step.ids[i : i + m].tolist()])
+                own = held.setdefault(step.langs[lang], {})
+                own[phrase] = own.get(phrase, 0) + times
+            if sum(map(len, held.values())) > HELD:
+                yield from out()
+        yield from out()
 
     return texts.mapInArrow(count, "lang string, phrase string, n bigint")
 

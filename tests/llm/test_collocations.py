@@ -97,6 +97,13 @@ def test_steps_and_parts_cut_no_window(spark, monkeypatch):
     assert windows() == whole
 
 
+def test_held_windows_are_given_out_early(spark, monkeypatch):
+    monkeypatch.setattr(C, "STEP", 200)
+    monkeypatch.setattr(C, "HELD", 20)
+    rows = some_texts(7, 100)
+    assert found(C.collocations(documents(spark, rows).coalesce(1), 3, 50, bits=16)) == by_loop(rows, 3, 50)
+
+
 def test_a_long_text_and_a_long_word(spark):
     rows = [("New York. " * 200_000, "en"), ("x" * 3_000_000 + " y", "en"), ("no spaces," * 100_000, "fr")]
     got = found(C.collocations(documents(spark, rows)))
