@@ -87,6 +87,26 @@ def poisson_limits(count: Column) -> Column:
     return _limits(count)
 
 
+@F.pandas_udf(_LIMITS)
+def _weighted_limits(rates: pd.Series, variances: pd.Series, widest: pd.Series) -> pd.DataFrame:
+    known = rates.notna() & (rates > 0)
+    r, v, w = (x[known].to_numpy(dtype=float) for x in (rates, variances, widest))
+    result = pd.DataFrame({"lower": np.nan, "upper": np.nan}, index=rates.index, dtype=object)
+    result.loc[known, "lower"] = v / r * gamma_quantile(0.025, r * r / v)
+    r, v = r + w, v + w * w
+    result.loc[known, "upper"] = v / r * gamma_quantile(0.975, r * r / v)
+    return result.where(result.notna(), None).astype(object)
+
+
+def weighted_limits(rate: Column, variance: Column, widest: Column) -> Column:
+    """struct(lower, upper) of the 95 % limits of a weighted sum of Poisson counts; null for a sum of 0 or null.
+
+    The gamma method (Fay and Feuer, 1997) on the sum, its variance (counts by squared weights) and the largest weight. As counts are whole,
+    no shape is below 1; with one weight these are the exact limits of the count.
+    """
+    return _weighted_limits(rate, variance, widest)
+
+
 def rate(count: Column, person_days: Column) -> Column:
     """Events per 100 000 person-years; null without person-time."""
     return F.when(person_days > 0, count / (person_days / F.lit(365.25)) * PER)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from epiloom.functions.cells import hide_small, suppress_small
 from epiloom.functions.dates import clip_to_month, days_inclusive, month_from_number, month_grid, month_number
-from epiloom.functions.poisson import poisson_limits, rate
+from epiloom.functions.poisson import poisson_limits, rate, weighted_limits
 
 
 def first_event(outcomes: DataFrame) -> DataFrame:
@@ -281,13 +281,15 @@ def label_outcomes(rates: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def age_adjusted_rate(stratum_rates: DataFrame, reference: DataFrame, by: list[str], strata: list[str]) -> DataFrame:
+def age_adjusted_rate(
+    stratum_rates: DataFrame, reference: DataFrame, by: list[str], strata: list[str], limits: bool = False
+) -> DataFrame:
     """Direct standardization: rates weighted by a reference population.
 
     `stratum_rates` holds events and population per (by, strata); `reference`
     holds `weight` per strata. Every group is completed to all strata of the
     reference: those absent from its data count no events and keep their weight.
-    Strata that the reference does not have count nowhere.
+    Strata that the reference does not have count nowhere. With `limits`, 95 % limits of the adjusted rate follow.
     """
     weights = reference.select(*strata, "weight")
     # Groups of an aggregate against the strata of a reference: few rows on both sides.
@@ -298,9 +300,19 @@ def age_adjusted_rate(stratum_rates: DataFrame, reference: DataFrame, by: list[s
     joined = full.join(known, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys], "left")
     joined = joined.select(*keys, "weight", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("events", "population")])
     weighted = F.when(F.col("population") > 0, F.col("events") / F.col("population") * F.col("weight")).otherwise(0.0)
-    return joined.groupBy(*by).agg(
+    per_event = F.when(F.col("population") > 0, F.col("weight") / F.col("population"))
+    sums = joined.groupBy(*by).agg(
         F.sum("events").alias("events"),
         F.sum("population").alias("population"),
         (F.try_divide(F.sum("events"), F.sum("population")) * 100_000).alias("crude_rate"),
         (F.sum(weighted) / F.sum("weight") * 100_000).alias("adjusted_rate"),
+        (F.sum(F.col("events") * per_event * per_event) / F.sum("weight") / F.sum("weight")).alias("_variance"),
+        (F.max(per_event) / F.sum("weight")).alias("_widest"),
     )
+    if not limits:
+        return sums.drop("_variance", "_widest")
+    found = weighted_limits(F.col("adjusted_rate") / 100_000, F.col("_variance"), F.col("_widest"))
+    sums = sums.withColumn("_limits", found)
+    return sums.withColumns(
+        {f"adjusted_rate_95CI_{side}": F.col(f"_limits.{side}") * 100_000 for side in ("lower", "upper")}
+    ).drop("_variance", "_widest", "_limits")

@@ -244,3 +244,17 @@ def test_long_result_shape(spark):
     months = found.filter(F.col("additional_level") == "2000-01-01 &&& 2000-01-31 &&& months")
     values = {r.estimate_name: r.estimate_value for r in months.collect()}
     assert values["outcome_count"] == "6" and values["person_days"] == "310.000000"
+
+
+def test_limits_of_adjusted_rates(spark):
+    """With one stratum they are the exact limits of its count; without events there are none."""
+    from epiloom.functions.poisson import gamma_quantile
+    from epiloom.operators.incidence import age_adjusted_rate
+
+    known = spark.createDataFrame([("a", 1, 7, 1000), ("b", 1, 0, 500), ("c", 1, 3, 0)], "g string, s int, events long, population long")
+    reference = spark.createDataFrame([(1, 10)], "s int, weight long")
+    found = {r["g"]: r for r in age_adjusted_rate(known, reference, ["g"], ["s"], limits=True).collect()}
+    low, high = gamma_quantile(0.025, [7.0])[0], gamma_quantile(0.975, [8.0])[0]
+    assert found["a"]["adjusted_rate_95CI_lower"] == pytest.approx(low * 100)
+    assert found["a"]["adjusted_rate_95CI_upper"] == pytest.approx(high * 100)
+    assert found["b"]["adjusted_rate_95CI_lower"] is None and found["c"]["adjusted_rate_95CI_upper"] is None

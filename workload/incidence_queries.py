@@ -543,6 +543,26 @@ def long_result(spark, sf):
     return to_summarised_result(rows, START, LATEST, 5, limit_digits=3)
 
 
+STANDARD = {
+    "observed_years": """
+        SELECT p.person_id, y AS cal_year, CAST(floor((y - year_of_birth) / 10) AS INT) AS age_group, gender_concept_id AS sex
+        FROM op JOIN person p ON p.person_id = op.person_id,
+             LATERAL (SELECT unnest(range(year(op_start_date), year(op_end_date) + 1)) AS y)""",
+    "size": "SELECT cal_year, age_group, sex, count(*) AS population FROM observed_years GROUP BY 1, 2, 3",
+    "hits": """SELECT CAST(year(first_event_date) AS INT) AS cal_year,
+                      CAST(floor((year(first_event_date) - year_of_birth) / 10) AS INT) AS age_group,
+                      gender_concept_id AS sex, count(*) AS events
+               FROM first_event JOIN person p ON p.person_id = subject_id WHERE outcome_id = 1 GROUP BY 1, 2, 3""",
+    "rated": "SELECT s.*, coalesce(events, 0) AS events FROM size s LEFT JOIN hits USING (cal_year, age_group, sex)",
+    # A reference with strata that the data lack: an age group nobody is in.
+    "weights": """SELECT age_group, sex, sum(population) AS weight FROM size GROUP BY 1, 2
+                  UNION ALL SELECT 99, sex, count(*) FROM size GROUP BY sex""",
+    "full_strata": """SELECT cal_year, age_group, sex, weight, coalesce(events, 0) AS events, coalesce(population, 0) AS population
+                      FROM (SELECT DISTINCT cal_year FROM rated) CROSS JOIN weights
+                      LEFT JOIN rated USING (cal_year, age_group, sex)""",
+}
+
+
 @query(
     "a24_age_adjusted_rate",
     with_tables(
@@ -550,27 +570,15 @@ def long_result(spark, sf):
                   round(sum(events) / sum(population) * 100000, 6) AS crude_rate,
                   round(sum(CASE WHEN population > 0 THEN events / population * weight ELSE 0 END) / sum(weight) * 100000, 6) AS adjusted_rate
            FROM full_strata GROUP BY 1""",
-        {
-            "observed_years": """
-                SELECT p.person_id, y AS cal_year, CAST(floor((y - year_of_birth) / 10) AS INT) AS age_group, gender_concept_id AS sex
-                FROM op JOIN person p ON p.person_id = op.person_id,
-                     LATERAL (SELECT unnest(range(year(op_start_date), year(op_end_date) + 1)) AS y)""",
-            "size": "SELECT cal_year, age_group, sex, count(*) AS population FROM observed_years GROUP BY 1, 2, 3",
-            "hits": """SELECT CAST(year(first_event_date) AS INT) AS cal_year,
-                              CAST(floor((year(first_event_date) - year_of_birth) / 10) AS INT) AS age_group,
-                              gender_concept_id AS sex, count(*) AS events
-                       FROM first_event JOIN person p ON p.person_id = subject_id WHERE outcome_id = 1 GROUP BY 1, 2, 3""",
-            "rated": "SELECT s.*, coalesce(events, 0) AS events FROM size s LEFT JOIN hits USING (cal_year, age_group, sex)",
-            # A reference with strata that the data lack: an age group nobody is in.
-            "weights": """SELECT age_group, sex, sum(population) AS weight FROM size GROUP BY 1, 2
-                          UNION ALL SELECT 99, sex, count(*) FROM size GROUP BY sex""",
-            "full_strata": """SELECT cal_year, age_group, sex, weight, coalesce(events, 0) AS events, coalesce(population, 0) AS population
-                              FROM (SELECT DISTINCT cal_year FROM rated) CROSS JOIN weights
-                              LEFT JOIN rated USING (cal_year, age_group, sex)""",
-        },
+        STANDARD,
     ),
 )
 def adjusted(spark, sf):
+    rows = standardized(spark, sf)
+    return rows.withColumns({c: F.round(c, 6) for c in ("crude_rate", "adjusted_rate")})
+
+
+def standardized(spark, sf, limits=False):
     cdm = clinical(spark, sf)
     person = cdm.person.select("person_id", "year_of_birth", F.col("gender_concept_id").alias("sex"))
     group = lambda year: F.floor((year - F.col("year_of_birth")) / 10).cast("int").alias("age_group")
@@ -589,5 +597,36 @@ def adjusted(spark, sf):
     rated = size.join(hits, keys, "left").fillna(0, ["events"])
     weights = size.groupBy("age_group", "sex").agg(F.sum("population").alias("weight"))
     weights = weights.union(size.groupBy("sex").agg(F.count(F.lit(1)).alias("n")).select(F.lit(99), "sex", "n"))
-    rows = inc.age_adjusted_rate(rated, weights, ["cal_year"], ["age_group", "sex"])
-    return rows.withColumns({c: F.round(c, 6) for c in ("crude_rate", "adjusted_rate")})
+    return inc.age_adjusted_rate(rated, weights, ["cal_year"], ["age_group", "sex"], limits)
+
+
+# The gamma distribution function as a series, in logarithms; bisection on it.
+GAMMA_BELOW = "list_sum([exp((shape + j) * ln((lo + hi) / 2) - (lo + hi) / 2 - lgamma(shape + j + 1)) FOR j IN range(CAST((lo + hi) / 2 + 12 * sqrt((lo + hi) / 2) + 80 AS BIGINT))])"
+
+
+@query(
+    "a24_adjusted_rate_limits",
+    with_tables(
+        """SELECT m.cal_year, round(r * 100000, 6) AS adjusted_rate, round(max(scale * lo) FILTER (side = 'lower') * 100000, 4) AS adjusted_rate_95CI_lower,
+                  round(max(scale * lo) FILTER (side = 'upper') * 100000, 4) AS adjusted_rate_95CI_upper
+           FROM moments m LEFT JOIN bisect b ON b.cal_year = m.cal_year AND i = 70 GROUP BY m.cal_year, r""",
+        {
+            **STANDARD,
+            "moments": """SELECT cal_year, sum(CASE WHEN population > 0 THEN events / population * weight ELSE 0 END) / sum(weight) AS r,
+                                 sum(CASE WHEN population > 0 THEN events * (weight / population) * (weight / population) END) / sum(weight) / sum(weight) AS v,
+                                 max(CASE WHEN population > 0 THEN weight / population END) / sum(weight) AS w
+                          FROM full_strata GROUP BY 1""",
+            "goal": """SELECT cal_year, 'lower' AS side, 0.025 AS p, r * r / v AS shape, v / r AS scale FROM moments WHERE r > 0
+                       UNION ALL SELECT cal_year, 'upper', 0.975, (r + w) * (r + w) / (v + w * w), (v + w * w) / (r + w) FROM moments WHERE r > 0""",
+            "bisect": f"""SELECT cal_year, side, p, shape, scale, CAST(0 AS DOUBLE) AS lo, CAST(2 * shape + 40 AS DOUBLE) AS hi, 0 AS i FROM goal
+                          UNION ALL
+                          SELECT cal_year, side, p, shape, scale, CASE WHEN below THEN (lo + hi) / 2 ELSE lo END, CASE WHEN below THEN hi ELSE (lo + hi) / 2 END, i + 1
+                          FROM (SELECT *, {GAMMA_BELOW} < p AS below FROM bisect WHERE i < 70)""",
+        },
+        recursive=True,
+    ),
+)
+def adjusted_limits(spark, sf):
+    rows = standardized(spark, sf, limits=True)
+    limits = {f"adjusted_rate_95CI_{side}": F.round(f"adjusted_rate_95CI_{side}", 4) for side in ("lower", "upper")}
+    return rows.withColumns({"adjusted_rate": F.round("adjusted_rate", 6), **limits}).drop("events", "population", "crude_rate")
