@@ -6,7 +6,7 @@ leading zeros and the bits behind them (HyperMinHash: Yu and Weber, 2017). Empty
 buckets copy from a full one by a fixed order (Shrivastava, 2017), so that small sets
 fill all registers too.
 
-1. Documents with equal sets are one class, shown by its smallest id.
+1. Documents with equal sets are one class. Classes have numbers of their own, as an id may stand on several texts.
 2. Bands of registers of all classes are hashed; classes with an equal band are a bucket.
    Bands are as long as they can be for two sets just at the limit to share none
    with a probability of at most one in 100,000 (`banding`).
@@ -27,8 +27,10 @@ class and the pairs of step 4.
 Nulls and odd rows: a null text, or one without words, has an empty set and is linked
 with nothing; a text with fewer words than a shingle has its whole sequence as
 one; rows that repeat an id and a text are one class, and all are kept or none; rows that
-repeat an id with other texts are looked at one by one; rows with a null id are kept,
-with a null component.
+repeat an id with other texts are classes of their own: what is linked with one text says nothing
+about the others. A component is named by the smallest id on any of its texts, so two
+components may have one name. Rows with a null id are kept, with a null component.
+`without_copies` leaves one row of each component, and equal rows without words once.
 """
 
 from __future__ import annotations
@@ -130,27 +132,49 @@ def least_estimate(limit: float, n: int, m: int) -> float:
 
 
 _SKETCH = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary()), ("parity", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary())]
+    + [("parity", pa.list_(pa.int64()))]
 )
-_SKETCH_DDL = "doc_id long, n long, digest binary, registers binary, parity array<long>"
+_SKETCH_DDL = "doc_id long, text_hash long, n long, digest binary, registers binary, parity array<long>"
+
+
+def digest_of(found: np.ndarray) -> bytes:
+    """What equal sets have in common."""
+    return blake2b(found.tobytes(), digest_size=16).digest()
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, digest of the set, registers and parities of each document; the last two null for empty sets."""
+    """doc_id, hash of the text, n, digest of the set, registers and parities of each document; the last two null for empty sets."""
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for doc_id, text in rows_of(batches, "doc_id", "body"):
+            for doc_id, text_hash, text in rows_of(batches, "doc_id", "text_hash", "body"):
                 found = shingles(text, size)
                 if len(found):
-                    digest = blake2b(found.tobytes(), digest_size=16).digest()
-                    yield doc_id, len(found), digest, registers(found).tobytes(), parities(found).tolist()
+                    yield doc_id, text_hash, len(found), digest_of(found), registers(found).tobytes(), parities(found).tolist()
                 else:
-                    yield doc_id, 0, b"", None, None
+                    yield doc_id, text_hash, 0, b"", None, None
 
         return in_batches(rows(), _SKETCH, 1000)
 
-    return docs.select("doc_id", utf8(F.col("text")).alias("body")).mapInArrow(compute, _SKETCH_DDL)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8(F.col("text")).alias("body")).mapInArrow(compute, _SKETCH_DDL)
+
+
+def numbered_classes(documents: DataFrame, columns: list[str]) -> DataFrame:
+    """digest, node (a number of its own), first_id and the given columns, as on that id, of each distinct set of (doc_id, digest, columns).
+
+    The numbers hold once they are stored, which this does.
+    """
+    classes = documents.groupBy("digest").agg(F.min("doc_id").alias("first_id"), *(F.min_by(c, "doc_id").alias(c) for c in columns))
+    return stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+
+
+def named_components(classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """digest, component (a node) and component_id (its smallest id) of every class, from (node, component) of those that are linked."""
+    of_node = stored(classes.select("digest", "node", "first_id").join(linked, "node", "left"), "class-components")
+    least = stored(of_node.where("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least_id")), "component-names")
+    named = of_node.join(least, "component", "left")
+    return named.select("digest", F.coalesce("component", "node").alias("component"), F.coalesce("least_id", "first_id").alias("component_id"))
 
 
 def _bands(classes: DataFrame, limit: float) -> DataFrame:
@@ -160,15 +184,28 @@ def _bands(classes: DataFrame, limit: float) -> DataFrame:
     return classes.select(F.explode(F.expr(part.format(bands - 1, 2 * rows, 2 * rows))).alias("key"), "node")
 
 
-def _full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """node and its hashed shingles, for the given nodes."""
+def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """node and its hashed shingles, once for each of the given nodes.
+
+    Read is the text that the class has on its smallest id.
+    """
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((node, shingles(text, size).tobytes()) for node, text in rows_of(batches, "node", "body"))
-        return in_batches(rows, pa.schema([("node", pa.int64()), ("hashes", pa.binary())]), 500)
+        def rows() -> Iterator[tuple]:
+            for node, digest, text in rows_of(batches, "node", "digest", "body"):
+                found = shingles(text, size)
+                if digest_of(found) == digest:  # else another text with the same hash
+                    yield node, found.tobytes()
 
-    chosen = docs.select(F.col("doc_id").alias("node"), utf8(F.col("text")).alias("body")).join(nodes, "node", "left_semi")
-    return chosen.mapInArrow(compute, "node long, hashes binary")
+        return in_batches(rows(), pa.schema([("node", pa.int64()), ("hashes", pa.binary())]), 500)
+
+    wanted = classes.join(nodes, "node", "left_semi").select(F.col("first_id").alias("doc_id"), "text_hash", "node", "digest")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8(F.col("text")).alias("body"))
+    chosen = texts.join(wanted, ["doc_id", "text_hash"])
+    sets = stored(chosen.mapInArrow(compute, "node long, hashes binary"), "sets")
+    if sets.groupBy("node").count().where("count > 1").isEmpty():
+        return sets
+    return stored(sets.dropDuplicates(["node"]), "sets")  # rows that repeat id and set
 
 
 def _may_link(percent: int, n: Column, m: Column) -> Column:
@@ -223,7 +260,7 @@ def in_buckets(keys: DataFrame) -> DataFrame:
 def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """node and component of the classes that are linked with any other."""
     members = in_buckets(_bands(classes, percent / 100))
-    sets = stored(_full_sets(docs, members.select("node").distinct(), size), "sets")
+    sets = _full_sets(docs, classes, members.select("node").distinct(), size)
     return link_members(members, classes, sets, percent)
 
 
@@ -261,17 +298,35 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
     return components(first.union(more))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id that links lead to) and kept, of each document (doc_id, text)."""
+def with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n, component (a number; null without words or id) and component_id of each document (doc_id, text)."""
     all_docs = stored(sketches(docs, size), "sketches")
-    solid = all_docs.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(
-        solid.groupBy("digest").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n", "registers", "parity"))), "classes"
-    )
+    classes = numbered_classes(all_docs.where("n > 0 AND doc_id IS NOT NULL"), ["text_hash", "n", "registers", "parity"])
     found = stored(link_classes(docs, classes, size, percent), "node-components")
-    of_digest = stored(classes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("c")), "class-components")
-    out = all_docs.join(of_digest, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+    of_digest = stored(named_components(classes, found), "digest-components")
+    known = F.col("doc_id").isNotNull()
+    return all_docs.join(of_digest, "digest", "left").select(
+        "doc_id", "text_hash", "n", F.when(known, F.col("component")).alias("component"), F.when(known, F.coalesce("component_id", "doc_id")).alias("component_id")
     )
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id that links lead to) and kept, of each document (doc_id, text)."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return with_components(docs, size, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+
+
+def without_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, one of each component: that with the smallest id, and of its texts that with the smallest hash.
+
+    Rows without words stay, equal ones once; rows without an id stay all.
+    """
+    found = stored(with_components(docs, size, percent).where("doc_id IS NOT NULL"), "components-of-rows")
+    own = found.where("doc_id = component_id")
+    single = own.groupBy("doc_id", "component", F.when(F.col("n") == 0, F.col("text_hash")).alias("blank"))
+    chosen = single.agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
+    kept = hashed.join(stored(chosen, "chosen-rows"), ["doc_id", "text_hash"], "left_semi")
+    if not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "text_hash"])
+    return kept.select("row.*").union(docs.where("doc_id IS NULL"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epiloom.llm.common import in_batches, rows_of, stored
-from epiloom.llm.hyperminhash import in_buckets, link_members, parities, registers
+from epiloom.llm.hyperminhash import in_buckets, link_members, named_components, numbered_classes, parities, registers
 
 CHAIN = 3
 LEAST = 4
@@ -130,9 +130,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     prints = stored(texts.mapInArrow(read, _PRINT_DDL), "spot-prints")
-    firsts = [F.first(c).alias(c) for c in ("n", "registers", "parity", "hashes")]
-    classes = prints.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"), *firsts)
-    classes = stored(classes, "spot-classes")
+    classes = numbered_classes(prints.where("doc_id IS NOT NULL"), ["n", "registers", "parity", "hashes"])
     single = classes.select("node", "n", F.explode("hashes").alias("signature"))
     counts = single.groupBy("signature").count()
     shown = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
@@ -145,8 +143,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     # hex() writes the high byte first; numpy reads the sets as they are, so order is all that must hold.
     full = classes.select("node", F.unhex(sets).alias("hashes"))
     linked = link_members(in_buckets(keys), classes.drop("hashes"), stored(full, "spot-sets"), percent)
-    of_digest = classes.select("digest", "node").join(stored(linked, "spot-components"), "node", "left")
-    of_digest = stored(of_digest.select("digest", F.coalesce("component", "node").alias("c")), "spot-of-digest")
+    of_digest = named_components(classes, stored(linked, "spot-components"))
+    of_digest = stored(of_digest.select("digest", F.col("component_id").alias("c")), "spot-of-digest")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
     return prints.join(of_digest, "digest", "left").select(
         "doc_id", F.col("n").alias("n_signatures"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")

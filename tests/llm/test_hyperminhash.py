@@ -69,6 +69,24 @@ def test_nulls_repeats_and_empty(spark):
     assert H.near_duplicates(df.limit(0), 3, 85).count() == 0
 
 
+def test_ids_on_several_texts(spark):
+    """A component is found by text: an id that stands on a near-copy and on another text is told apart, however many texts it has."""
+    rng = random.Random(3)
+    a, b, c, d, e, f, g = (" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(99)) for _ in range(80)) for _ in range(7))
+    rows = [(3, a), (5, a + " tail"), (5, b), (13, c), (15, c), (15, d), (25, e), (25, e + " tail"), (25, f), (25, f), (27, f + " tail"), (27, g)]
+    blank = [(4, None), (4, ""), (4, ""), (None, a), (None, a)]
+    many = [(1000, " ".join(f"v{rng.randrange(9000)}" for _ in range(30))) for _ in range(3000)]
+    copies = [(1000, t + " tail") for _, t in many[:50]] + [(1001, t + " other tail") for _, t in many[:50]]
+    df = spark.createDataFrame([(*r, "clash", "c") for r in rows + blank + many + copies], "doc_id bigint, text string, component string, text_hash string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in H.near_duplicates(df).where("doc_id < 100").collect())
+    assert got == brute(rows + [r for r in blank if r[0]], 5, 80)
+    left = [(r.doc_id, r.text) for r in H.without_copies(df).collect()]
+    small = {r for r in left if r[0] is not None and r[0] < 100 and r[1]}
+    assert {(3, a), (5, b), (13, c), (15, d), (25, f), (27, g)} == small - {(25, e), (25, e + " tail")} and len(small) == 7
+    assert sorted(map(str, (r for r in left if r in blank))) == sorted(map(str, [*blank[:2], *blank[3:]]))
+    assert sum(r[0] == 1000 for r in left) == 3000 and not any(r[0] == 1001 for r in left)
+
+
 def test_banding():
     assert H.banding(0.85) == (36, 7) and H.banding(0.8) == (42, 6)
     for limit in (0.5, 0.8, 0.95):

@@ -42,6 +42,17 @@ def test_stages(spark, tmp_path):
     assert C.run(spark, str(tmp_path)).select("doc_id").distinct().count() == len(ids[4])
 
 
+def test_near_copies_by_text(spark, tmp_path):
+    """Rows that repeat an id go or stay by their text, null ids stay, and clashing extra columns stay as they are."""
+    docs, _, _ = planted()
+    a, b = docs[1][1], docs[2][1]
+    rows = [(3, a, 1, "x"), (5, a + " tail", 2, "x"), (5, b, 3, "x"), (6, b, 4, "x"), (6, None, 5, None), (None, a, 6, "x"), (7, a * 400, 7, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, text_hash bigint, component string")
+    out = C.drop_near_copies(spark, df, "")
+    assert out.columns == df.columns
+    assert sorted(r.text_hash for r in out.collect()) == [1, 3, 5, 6]  # 7 repeats the first text
+
+
 def test_empty_tables(spark, tmp_path):
     for name, ddl in (
         ("documents", "doc_id bigint, text string, lang string, source string, n_chars bigint"),
