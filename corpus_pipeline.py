@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from epiloom.llm import secrets, toxicity
 from epiloom.llm.common import stored, table
 from epiloom.llm.decontaminate import without_windows
-from epiloom.llm.hyperminhash import near_duplicates
+from epiloom.llm.hyperminhash import without_copies
 from epiloom.llm.packing import ADDED, pack
 from epiloom.llm.toxicity_queries import LIMIT
 
@@ -18,7 +18,7 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a calibrated toxicity below the limit. All labels teach."""
+    """Documents with a calibrated toxicity below the limit. All labels teach. Null texts score as empty; null and repeated ids stay."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return model.score(docs).where(F.col("toxicity_score") < LIMIT).select(*docs.columns)
 
@@ -26,17 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-copies: five words, Jaccard 0.8.
 
-    Rows that repeat an id are told apart by their text, and equal ones stay once.
+    Rows that repeat an id are told apart by their text. Texts without words stay; rows that repeat
+    an id and a text stay once; rows without an id stay all.
     """
-    found = stored(near_duplicates(docs), "near-copies")
-    kept = docs.join(found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi")
-    if not found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").isEmpty():
-        kept = kept.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]).drop("text_hash")
-    return kept.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    return without_copies(docs)
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten successive words of a benchmark item."""
+    """Documents without any ten successive words of a benchmark item; a null text has no words, and a null id is its own."""
     return without_windows(docs, table(spark, sf_dir, "benchmark"))
 
 
