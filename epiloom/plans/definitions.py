@@ -165,7 +165,7 @@ def generate_cohorts(spark: SparkSession, cdm: Cdm, documents: dict[int, str], p
     """Build each definition and write it under its cohort id, replacing older rows.
 
     All definitions go through one pass over the data (`cohort_sets`). With a folder for `statistics`, the
-    tables of STATISTICS are written there in the same way; then definitions are built one after the other, with the concept sets of all expanded together.
+    tables of STATISTICS are written there in the same way (to be read by `versions.read_ids`); then definitions are built one after the other, with the concept sets of all expanded together.
     """
     specs = [read_definition(document, cohort_id) for cohort_id, document in documents.items()]
     if statistics is None:

@@ -6,12 +6,12 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epiloom import schema
 from epiloom.functions.names import lower_names
 from epiloom.session import scratch_path
+from epiloom.sources.versions import exists, read_ids, replace_ids
 
 
 @dataclass
@@ -33,7 +33,7 @@ def load_table(spark: SparkSession, location: str, name: str) -> DataFrame:
     """One table: a parquet folder or file below a path, or a table of a schema."""
     if "/" in location:
         path = f"{location.rstrip('/')}/{name}"
-        df = spark.read.parquet(path if _exists(spark, path) else f"{path}.parquet")
+        df = spark.read.parquet(path if exists(spark, path) else f"{path}.parquet")
     else:
         df = spark.table(f"{location}.{name}")
     return lower_names(df)
@@ -50,38 +50,21 @@ def read_settings(spark: SparkSession, path: str, layout: T.StructType) -> DataF
 
 def cohort_exists(spark: SparkSession, name: str) -> bool:
     """Is there a cohort table of this name (or at this path)?"""
-    return _exists(spark, name) if "/" in name else spark.catalog.tableExists(name)
+    return exists(spark, name) if "/" in name else spark.catalog.tableExists(name)
 
 
 def replace_cohort(cohort: DataFrame, ids: Iterable[int], path: str) -> None:
-    """Write rows so that they replace whatever the cohorts `ids` held before.
+    """Write rows so that they replace whatever the cohorts `ids` held before, all at once (`versions`).
 
-    One folder per cohort id. Folders of ids that have rows are overwritten, those of
-    ids that have none any more are removed; rows of other ids are refused, so a run that
+    Ids that have no rows any more are gone; rows of other ids are refused, so a run that
     is repeated leaves the same table.
     """
-    ids = sorted(set(ids))
-    spark = cohort.sparkSession
-    named = cohort.withColumn(
-        "cohort_definition_id",
-        F.when(F.col("cohort_definition_id").isin(ids), F.col("cohort_definition_id")).otherwise(
-            F.raise_error(F.lit("a row of a cohort that is not replaced"))
-        ),
-    )
-    staged = scratch_path(spark, "replaced")
-    named.write.partitionBy("cohort_definition_id").parquet(staged)
-    rows = spark.read.schema(cohort.schema).parquet(staged)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cohort_definition_id").parquet(path)
-    for i in ids:
-        if not _exists(spark, f"{staged}/cohort_definition_id={i}"):
-            _remove(spark, f"{path}/cohort_definition_id={i}")
-    _remove(spark, staged)
+    replace_ids(cohort, ids, path)
 
 
 def read_cohorts(spark: SparkSession, path: str) -> DataFrame:
     """All cohorts below a path; it may hold none."""
-    rows = spark.read.schema(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.COHORT)).parquet(path)
-    return rows.select([F.col(f.name).cast(f.dataType) for f in schema.COHORT])
+    return read_ids(spark, path, schema.COHORT)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -92,19 +75,3 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _at(spark: SparkSession, path: str):
-    """The file system that holds a path, and the path for it."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, target = _at(spark, path)
-    return files.exists(target)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    files, target = _at(spark, path)
-    files.delete(target, True)

@@ -8,6 +8,7 @@ from epiloom.operators.criteria import Comparison, Correlated, Demographic, Even
 from epiloom.plans.cohorts import CohortSpec, DateOffset, build_cohort
 from epiloom.plans.definitions import generate_cohorts, read_definition
 from epiloom.sources.tables import read_cohorts
+from epiloom.sources.versions import read_ids
 from helpers import cdm, day, rows
 
 
@@ -149,7 +150,7 @@ def test_generation_with_statistics(spark, tmp_path):
     assert rows(read_cohorts(spark, path), "cohort_definition_id", "subject_id") == [(1, 1), (2, 3)]
 
     def table(name, *columns):
-        return rows(spark.read.parquet(f"{stats}/{name}"), *columns)
+        return rows(read_ids(spark, f"{stats}/{name}"), *columns)
 
     assert table("cohort_inclusion", "cohort_definition_id", "rule_sequence", "name", "description") == [
         (i, k, n, d) for i in (1, 2) for k, n, d in ((0, "drug", "any later"), (1, "alone", None))

@@ -29,7 +29,7 @@ from epiloom.operators.population import population_features, sample_n
 from epiloom.operators.snapshot import snapshot, source_information
 from epiloom.plans import post_infection as post
 from epiloom.session import scratch_dir
-from epiloom.sources import export, tables
+from epiloom.sources import export, tables, versions
 from helpers import cdm, cohort, day, rows
 
 
@@ -243,6 +243,57 @@ def test_replacing_one_cohort_keeps_the_others(spark, tmp_path):
     assert tables.cohort_exists(spark, path) and not tables.cohort_exists(spark, path + "x")
 
 
+def _stop(*_):
+    raise RuntimeError("the driver is lost")
+
+
+def test_readers_see_all_of_a_replacement_or_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "cohorts")
+    first = [(1, 1, 0, 1), (2, 1, 0, 1), (3, 1, 0, 1)]
+    tables.replace_cohort(cohort(spark, first), [1, 2, 3], path)
+    reader = tables.read_cohorts(spark, path)
+    files, new = versions.file_system, cohort(spark, [(2, 9, 5, 6), (2, 8, 5, 6)])
+
+    def no_rename(spark, path):
+        system, target = files(spark, path)
+        return type("Lost", (), {"rename": _stop, "__getattr__": lambda _, name: getattr(system, name)})(), target
+
+    with monkeypatch.context() as m:  # rows written, no manifest
+        m.setattr(versions, "commit", _stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.replace_cohort(new, [2, 3], path)
+    assert rows(tables.read_cohorts(spark, path)) == first and versions.versions(spark, path) == [1]
+    with monkeypatch.context() as m:  # manifest written, not renamed
+        m.setattr(versions, "file_system", no_rename)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.replace_cohort(new, [2, 3], path)
+    assert rows(tables.read_cohorts(spark, path)) == first and versions.versions(spark, path) == [1]
+    tables.replace_cohort(new, [2, 3], path)
+    after = [(1, 1, 0, 1), (2, 8, 5, 6), (2, 9, 5, 6)]
+    assert rows(tables.read_cohorts(spark, path)) == after and rows(reader) == first
+    with pytest.raises(versions.ConcurrentReplacement):
+        versions.commit(spark, path, 2, {})
+    assert rows(versions.read_ids(spark, path, schema.COHORT, 1)) == first
+    versions.clear_versions(spark, path)
+    left = sorted(p.name for p in tmp_path.glob("cohorts/run=*/cohort_definition_id=*"))
+    assert left == ["cohort_definition_id=1", "cohort_definition_id=2"] and versions.versions(spark, path) == [2]
+    assert rows(tables.read_cohorts(spark, path)) == after
+    with pytest.raises(ValueError, match="latest"):
+        versions.clear_versions(spark, path, 0)
+
+
+def test_folders_without_versions_are_taken_over(spark, tmp_path):
+    path = str(tmp_path / "cohorts")
+    cohort(spark, [(1, 1, 0, 1), (2, 1, 0, 1)]).write.partitionBy("cohort_definition_id").parquet(path)
+    assert rows(tables.read_cohorts(spark, path)) == [(1, 1, 0, 1), (2, 1, 0, 1)]
+    tables.replace_cohort(cohort(spark, [(2, 9, 5, 6)]), [2], path)
+    assert rows(tables.read_cohorts(spark, path)) == [(1, 1, 0, 1), (2, 9, 5, 6)]
+    versions.clear_versions(spark, path)
+    assert rows(tables.read_cohorts(spark, path)) == [(1, 1, 0, 1), (2, 9, 5, 6)]
+    only = tables.read_cohorts(spark, path).where("cohort_definition_id = 2")
+    assert "PartitionFilters: [isnotnull(cohort_definition_id" in only._jdf.queryExecution().toString()
+
+
 def test_stored_tables_lie_in_the_shared_folder(spark):
     df = tables.materialize(cohort(spark, [(1, 1, 0, 1)]), "t")
     assert all(scratch_dir(spark).split(":")[-1] in f for f in df.inputFiles())
