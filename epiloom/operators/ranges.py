@@ -10,11 +10,9 @@ day and distinct anchor, however many rows the person has.
 Events that meet a range of days are those begun by its last day less those
 over before its first: two running sums again. For that an event must not end before
 it starts; those that do have no day in any range. Only a range of end days that is
-independent of the start days needs more. It is answered inside the nodes of a
-tree over days (a node of level l spans 4^l days): an end day lies in one node
-per level, and a range of end days is a union of a few nodes. That multiplies
-the rows about tenfold, so `overlap` is to be preferred where it says the same, and
-a range of end days alone is answered by running sums as well.
+independent of the start days needs more: its count is a sum over the four corners of
+a rectangle of start and end days, each answered by one sweep over a person's distinct
+days (`dominance`). A range of end days alone is answered by running sums.
 
 A comparison with a missing date holds for nothing: events without the dates a
 question is about are left out, and an anchor without the date of a bound counts 0.
@@ -23,17 +21,17 @@ question is about are left out, and an anchor without the date of a bound counts
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BASE_BITS = 2
-_LEVELS = 8
+from epiloom.operators.dominance import count_dominated
+
 _EPOCH_SHIFT = 719_162  # makes day numbers of years 1 to 9999 non-negative
-# Above every day number: 9999-12-31 is 3,652,058. Small enough for the tree's top level.
+# Above every day number: 9999-12-31 is 3,652,058.
 _PAST_ALL = 1 << 22
-_NODES = "array<struct<level:int,node:int,other:int>>"
-_MARKS = "array<struct<question:int,at:struct<level:int,node:int,other:int>,day:int>>"
+_MARKS = "array<struct<question:int,at:struct<level:int,node:int,other:int>,day:int,_end:int>>"
 
 
 @dataclass(frozen=True)
@@ -82,54 +80,44 @@ def _day(value: Column | None, missing: int) -> Column:
     return F.lit(missing) if value is None else F.unix_date(value) + _EPOCH_SHIFT
 
 
-def _node(level: int, node: Column, other: Column | None = None) -> Column:
-    """A part of the time line: a tree node, all of it (-1) or a cell (-2)."""
-    other = F.lit(0) if other is None else other
-    return F.struct(F.lit(level).alias("level"), node.cast("int").alias("node"), other.alias("other"))
-
-
-def _nodes_of(day: Column) -> Column:
-    """The tree nodes that hold a day, one per level."""
-    return F.array(*[_node(l, F.shiftright(day, _BASE_BITS * l)) for l in range(_LEVELS + 1)])
-
-
-def _up(value: Column, bits: int) -> Column:
-    return F.shiftright(value + ((1 << bits) - 1), bits)
+def _part(r: DayRange) -> Column:
+    """The part of the time line that a question is about: all of it (-1) or a cell (-2)."""
+    cell = (F.lit(0), F.lit(0)) if r.cell is None else [F.unix_date(c) for c in r.cell]
+    level = F.lit(-1 if r.cell is None else -2)
+    return F.struct(level.alias("level"), cell[0].cast("int").alias("node"), cell[1].alias("other"))
 
 
-def _nodes_covering(lower: Column, upper: Column) -> Column:
-    """Disjoint nodes whose union is [lower, upper].
-
-    On each level the nodes that fill up to the next level's edges on the left
-    and right; on the top level all that are left.
-    """
-    base = 1 << _BASE_BITS
-    parts = []
-    for l in range(_LEVELS):
-        left, right = _up(lower, _BASE_BITS * l), F.shiftright(upper + 1, _BASE_BITS * l)
-        inner_left, inner_right = _up(left, _BASE_BITS) * base, F.shiftright(right, _BASE_BITS) * base
-        for k in range(base - 1):
-            parts.append(F.when(left + k < F.least(inner_left, right), _node(l, left + k)))
-            take = (inner_right >= inner_left) & (inner_right + k < right)
-            parts.append(F.when(take, _node(l, inner_right + k)))
-    left, right = _up(lower, _BASE_BITS * _LEVELS), F.shiftright(upper + 1, _BASE_BITS * _LEVELS)
-    top = F.when(left < right, F.transform(F.sequence(left, F.greatest(left, right - 1)), lambda n: _node(_LEVELS, n)))
-    return F.concat(F.array_compact(F.array(*parts)), F.coalesce(top, F.lit([]).cast(_NODES)))
-
-
-def _mark(question: int, day: Column):
+def _mark(question: int, at: Column, day: Column, end: Column | None = None) -> Column:
     """An event of a question in a part of the time line."""
-    return lambda at: F.struct(F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"))
+    end = F.lit(None) if end is None else end
+    return F.struct(F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"), end.cast("int").alias("_end"))
 
 
-def _probe(answer: int, question: int, day: Column, sign: Column):
-    """One end of a range, asked in one tree node."""
-    return lambda at: F.struct(
-        F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"),
+def _probe(answer: int, question: int, at: Column, day: Column, sign: Column, end: Column | None = None) -> Column:
+    """One end of a range, or one corner of a range of start days and one of end days."""
+    end = F.lit(None) if end is None else end
+    return F.struct(
+        F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"), end.cast("int").alias("_end"),
         sign.alias("sign"), F.lit(answer).alias("answer"),
     )
 
 
+def _corners(answer: int, r: DayRange, part: Column, asks: Column) -> list[Column]:
+    """The corners whose signed counts are the events with both days in their ranges; an empty range has none."""
+    for first, last in ((r.lower, r.upper), (r.end_lower, r.end_upper)):
+        if first is not None and last is not None:
+            asks = asks & (first <= last)
+    sides = [
+        [(_day(last, _PAST_ALL), 1)] + ([] if first is None else [(_day(first, 0) - 1, -1)])
+        for first, last in ((r.lower, r.upper), (r.end_lower, r.end_upper))
+    ]
+    return [
+        _probe(answer, answer, part, F.when(asks, start).otherwise(0), F.when(asks, one * other).otherwise(0), F.when(asks, end).otherwise(0))
+        for start, one in sides[0]
+        for end, other in sides[1]
+    ]
+
+
 def count_in_ranges(index: DataFrame, keys: list[str], anchor: list[str], ranges: list[DayRange]) -> DataFrame:
     """`index` plus one count column per range.
 
@@ -157,6 +145,7 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
     asked: list[Column] = []
     parts: dict[int, list[Column]] = {}  # by frame: what a row of it adds to the time line
     frames: dict[int, DataFrame] = {}
+    swept = False
     for i, r in enumerate(ranges):
         known = _given(r.start, r.end if r.by_end or r.overlap else None)
         if r.overlap:
@@ -166,60 +155,70 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
         # An open range of start days leaves the end days, which take the same way.
         by_end_only = r.by_end and r.lower is None and r.upper is None
         day = _day(F.col(r.end if by_end_only else r.start), 0)
-        by_tree = r.by_end and not by_end_only
         first, last = (r.end_lower, r.end_upper) if by_end_only else (r.lower, r.upper)
-        part = _node(-1, F.lit(0)) if r.cell is None else _node(-2, *[F.unix_date(c) for c in r.cell])
-        nodes = _nodes_of(_day(F.col(r.end), 0)) if by_tree else F.array(part)
-        adds = [F.transform(nodes, _mark(i, day))]
+        part = _part(r)
+        both = r.by_end and not by_end_only
+        adds = [_mark(i, part, day, _day(F.col(r.end), 0) if both else None)]
         lower = None if first is None else _day(first, 0) - 1
-        upper = _day(last, _PAST_ALL)
         asks = _given(r.lower, r.upper, r.end_lower, r.end_upper)
         lower_question = i
         if r.overlap:
             # started by `upper`, less those over before `lower`
             lower_question = len(ranges) + i
-            adds.append(F.array(_mark(lower_question, _day(F.col(r.end), 0))(part)))
+            adds.append(_mark(lower_question, part, _day(F.col(r.end), 0)))
         frames[id(r.events)] = r.events
-        parts.setdefault(id(r.events), []).append(F.when(known, F.concat(*adds)).otherwise(F.array().cast(_MARKS)))
-        ends = [_probe(i, i, upper, F.when(asks, 1).otherwise(0))]
-        if lower is not None:
-            ends.append(_probe(i, lower_question, lower, F.when(asks, -1).otherwise(0)))
-        before = len(asked)
-        if by_tree:
-            where = _nodes_covering(_day(r.end_lower, 0), _day(r.end_upper, _PAST_ALL))
-            where = F.when(_given(r.end_lower, r.end_upper), where).otherwise(F.lit([]).cast(_NODES))
-            asked += [F.transform(where, e) for e in ends]
+        parts.setdefault(id(r.events), []).append(F.when(known, F.array(*adds)).otherwise(F.array().cast(_MARKS)))
+        if both:
+            ends = _corners(i, r, part, asks)
+            swept = True
         else:
-            asked.append(F.array(*[e(part) for e in ends]))
+            ends = [_probe(i, i, part, _day(last, _PAST_ALL), F.when(asks, 1).otherwise(0))]
+            if lower is not None:
+                ends.append(_probe(i, lower_question, part, lower, F.when(asks, -1).otherwise(0)))
+        before = len(asked)
+        asked.append(F.array(*ends))
         if r.only is not None:
             asked[before:] = [F.when(r.only, a).otherwise(F.slice(a, 1, 0)) for a in asked[before:]]
+    at = [F.col(f"m.{c}") for c in ("question", "at", "day", "_end")]
     counted = [
-        frames[k].select(*keys, F.explode(F.concat(*adds)).alias("m"))
-        .groupBy(*keys, F.col("m.question").alias("question"), F.col("m.at").alias("at"), F.col("m.day").alias("day"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        frames[k].select(*keys, F.explode(F.concat(*adds)).alias("m")).groupBy(*keys, *at).agg(F.count(F.lit(1)).alias("n"))
         for k, adds in parts.items()
-    ]
+    ]
 
-    probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p"))
-    line = probes.select(
-        *keys, *anchor, "p.question", "p.at", "p.day", F.lit(0).cast("long").alias("n"), "p.sign", "p.answer"
-    )
+    probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p")).select(*keys, *anchor, "p.*")
+    line = probes.filter("_end is null").withColumn("n", F.lit(0).cast("long"))
     for rows in counted:
-        line = line.unionByName(rows, allowMissingColumns=True)
+        line = line.unionByName(rows.filter("_end is null"), allowMissingColumns=True)
     running = F.sum("n").over(Window.partitionBy(*keys, "question", "at.level", "at.node", "at.other").orderBy("day"))
-    return (
-        line.withColumn("upto", running)
-        .filter("answer is not null")
-        .groupBy(*keys, *anchor)
-        .agg(
-            *[
-                F.greatest(
-                    F.coalesce(F.sum(F.when(F.col("answer") == i, F.col("sign") * F.col("upto"))), F.lit(0)), F.lit(0)
-                ).alias(r.name)
-                for i, r in enumerate(ranges)
-            ]
-        )
+    upto = line.withColumn("upto", running).filter("answer is not null").select(*keys, *anchor, "answer", "sign", "upto")
+    if swept:
+        upto = upto.unionByName(_swept(probes, counted, keys, anchor))
+    return upto.groupBy(*keys, *anchor).agg(
+        *[
+            F.greatest(
+                F.coalesce(F.sum(F.when(F.col("answer") == i, F.col("sign") * F.col("upto"))), F.lit(0)), F.lit(0)
+            ).alias(r.name)
+            for i, r in enumerate(ranges)
+        ]
+    )
+
+
+def _swept(probes: DataFrame, counted: list[DataFrame], keys: list[str], anchor: list[str]) -> DataFrame:
+    """The counts of the corners; names of keys and anchors are set aside, as they may be any."""
+    group = [f"_k{i}" for i in range(len(keys))]
+    held = [f"_a{i}" for i in range(len(anchor))]
+    named = [F.col(k).alias(g) for k, g in zip(keys, group)]
+    where = ["question", "at.level", "at.node", "at.other"]
+    days = [F.col("day").alias("x"), F.col("_end").alias("y")]
+    points = reduce(
+        DataFrame.unionByName, [rows.filter("_end is not null").select(*named, *where, *days, "n") for rows in counted]
+    )
+    corners = probes.filter("_end is not null").select(
+        *named, *where, *days, *[F.col(a).alias(h) for a, h in zip(anchor, held)], "answer", "sign"
     )
+    below = count_dominated(points, corners, [*group, "question", "level", "node", "other"], [*held, "answer", "sign"])
+    back = [F.col(c).alias(n) for c, n in zip((*group, *held), (*keys, *anchor))]
+    return below.select(*back, "answer", "sign", F.col("below").alias("upto"))
 
 
 @dataclass(frozen=True)

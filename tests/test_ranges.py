@@ -6,6 +6,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from epiloom.operators.criteria import Correlated, EventQuery, Group, Window, filter_group
+from epiloom.operators.dominance import count_dominated
 from epiloom.operators.events import domain_events
 from epiloom.operators.observation import attach_observation
 from epiloom.operators.ranges import DayRange, Nearest, count_in_ranges, nearest_in_ranges
@@ -75,6 +76,54 @@ def test_end_range_without_bound_days(spark):
         assert r.ends_on == sum(y == r.start_date for y in mine)
 
 
+def test_start_and_end_ranges(spark):
+    """Small Arrow batches, so that persons are swept over many of them; reversed ranges count nothing; cells keep apart."""
+    index, events, left, right = frames(spark, 4)
+    right = right.withColumns({"from": F.lit(day(0)), "to": F.when(F.dayofmonth("start_date") % 2 == 0, F.lit(day(9)))})
+    left = left.withColumns({"from": F.lit(day(0)), "to": F.lit(day(9)), "x": F.col("start_date")})
+    start, a, b = F.col("start_date"), F.col("op_start_date"), F.col("op_end_date")
+    none = F.lit(None).cast("date")
+    ranges = [
+        DayRange("four", right, F.date_add(start, -40), F.date_add(start, 20), F.date_add(start, -5), F.date_add(start, 30)),
+        DayRange("open", right, None, start, F.date_add(start, 20), None),
+        DayRange("reversed", right, start, F.date_add(start, -20), F.date_add(start, 60), start),
+        DayRange("celled", right, F.date_add(start, -90), None, None, F.date_add(start, 7), cell=("from", "to")),
+        DayRange("unknown", right, start, none, start, None),
+        DayRange("some", right, None, start, start, None, only=F.dayofmonth("start_date") > 15),
+    ]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        found = count_in_ranges(left, ["person_id"], ["start_date", "x", "from", "to"], ranges).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(found) == len(index)
+    for r in found:
+        s = (r.start_date - day(0)).days
+        mine = [(x, y) for q, x, y in events if q == r.person_id]
+        assert r.four == sum(s - 40 <= x <= s + 20 and s - 5 <= y <= s + 30 for x, y in mine)
+        assert r.open == sum(x <= s and y >= s + 20 for x, y in mine)
+        assert (r.reversed, r.unknown) == (0, 0)
+        assert r.celled == sum(x >= s - 90 and y <= s + 7 and day(x).day % 2 == 0 for x, y in mine)
+        assert r.some == (sum(x <= s <= y for x, y in mine) if r.start_date.day > 15 else 0)
+
+
+def test_dominance(spark):
+    """Against all pairs, with text groups, nulls in them and weights."""
+    rnd = random.Random(5)
+    groups = ["a", "b", None]
+    points = [(g, x, y, rnd.randint(0, 3)) for g in groups for x in range(12) for y in range(12) if rnd.random() < 0.6]
+    corners = [(rnd.choice(["a", "b", "c", None]), rnd.randint(-2, 13), rnd.randint(-2, 13), i) for i in range(300)]
+    found = count_dominated(
+        spark.createDataFrame(points, "g string, x int, y int, n long"),
+        spark.createDataFrame(corners, "g string, x int, y int, id int"), ["g"], ["id"],
+    )
+    expected = {(g, i, sum(n for h, p, q, n in points if h == g and g is not None and p <= x and q <= y)) for g, x, y, i in corners}
+    got = {tuple(r) for r in found.collect()}
+    assert {t for t in got if t[0] is not None} == {t for t in expected if t[0] is not None}
+    assert len(got) == 300 and all(t[2] == 0 for t in got if t[0] is None)
+
+
 def test_nearest(spark):
     index, events, left, right = frames(spark, 3)
     windows = [("last", None, -1), ("last", -90, -1), ("first", 1, 365), ("first", -3, 5), ("first", 0, None)]
