@@ -12,8 +12,11 @@ fill all registers too.
    with a probability of at most one in 100,000 (`banding`).
 3. Each class is compared with the smallest class of the bucket it shares most bands
    with. Links that hold give first components.
-4. Where a bucket still has several components, all members outside its largest one
-   are compared with all members of other components. So no pair of a bucket is left
+4. Where a bucket still has several components, and at most `DIRECT` members outside its largest one,
+   these are compared with all members of other components. Members of other open buckets, such as many
+   pages of one template, meet by their rarest shingles instead: of two sets at the limit each has one of
+   the other's among its n - ceil(limit * n) + 1 rarest, in any order that is the same for both
+   (prefix filter: Chaudhuri, Ganti and Kaushik, 2006). So no pair of a bucket is left
    out, except pairs already connected. The comparison is part of the join: by sizes, and
    by a lower bound of how many shingles differ, from parities of 1024 hash cells
    (odd sketches: Mitzenmacher, Pagh and Pham, 2014), which never rejects a link.
@@ -22,7 +25,8 @@ fill all registers too.
    rest are checked on the full sets.
 
 Nothing in this is per group of copies: a group of any size costs a pair for each
-class and the pairs of step 4.
+class and the pairs of step 4. What is rare is told by counters by hash, of fixed size; where they mislead,
+pairs are compared in vain, and none is lost.
 
 Nulls and odd rows: a null text, or one without words, has an empty set and is linked
 with nothing; a text with fewer words than a shingle has its whole sequence as
@@ -36,6 +40,7 @@ components may have one name. Rows with a null id are kept, with a null componen
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
 from hashlib import blake2b
@@ -54,6 +59,11 @@ MANTISSA = 10
 MOST_MISSED = 1e-5
 PARITY_WORDS = 16
 ERRORS = 4.5
+#: A bucket with more members outside its largest component is searched by rarest shingles.
+DIRECT = 64
+#: Counters of shingles by hash, and how many travel as one row.
+CELLS = 1 << 20
+CHUNK = 1 << 16
 _BOUNDS = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(56)
 _LOW = np.uint64((1 << 56) - 1)
 
@@ -279,12 +289,27 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
     own = members.drop("pivot").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     own = stored(own, "labelled-members")
     sizes = own.groupBy("key", "component").count()
-    most = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), F.count("*").alias("k"))
-    most = stored(most.where("k > 1").drop("k"), "open-buckets")
+    outside = F.sum("count") - F.max("count")
+    most = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), outside.alias("outside"))
+    most = stored(most.where("outside > 0").select("key", "largest", (F.col("outside") > DIRECT).alias("wide")), "open-buckets")
     words = [f"w{i}" for i in range(PARITY_WORDS)]
     parity = classes.select("node", "n", *(F.col("parity")[i].alias(w) for i, w in enumerate(words)))
-    still = stored(own.join(most, "key").join(parity, "node"), "open-members")
-    a, b = still.where("component <> largest").alias("a"), still.alias("b")
+    narrow = stored(own.join(most.where("NOT wide"), "key").join(parity, "node"), "open-members")
+    pairs = _alike(narrow.where("component <> largest"), narrow, words, percent)
+
+    wide = stored(own.join(most.where("wide"), "key").select("node", "component").distinct(), "wide-members")
+    if not wide.isEmpty():
+        shown = stored(_rarest(sets.join(wide.select("node"), "node", "left_semi"), percent), "rarest-shingles").join(wide, "node")
+        several = shown.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        met = stored(shown.join(several.select("key"), "key").join(parity, "node"), "shown-members")
+        pairs = pairs.union(_alike(met, met, words, percent)).distinct()
+    more = stored(_links(stored(pairs, "open-pairs"), classes, sets, percent), "links")
+    return components(first.union(more))
+
+
+def _alike(some: DataFrame, all_: DataFrame, words: list[str], percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of one key and of different components that may be linked, by sizes and parities."""
+    a, b = some.alias("a"), all_.alias("b")
     differ = _differ_at_least([(F.col(f"a.{w}"), F.col(f"b.{w}")) for w in words])
     pairs = a.join(
         b,
@@ -293,9 +318,58 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
         # 1 - J is at least twice the difference over (sizes + difference).
         & (differ * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent)),
     )
-    pairs = pairs.select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b")).distinct()
-    more = stored(_links(stored(pairs, "open-pairs"), classes, sets, percent), "links")
-    return components(first.union(more))
+    return pairs.select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b")).distinct()
+
+
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - (CELLS - 1).bit_length())).astype(np.int64)
+
+
+def _counters(sets: DataFrame) -> np.ndarray:
+    """For each cell of hashes how many of the sets' shingles fall into it, on a scale of 6 log2(1 + n), as a byte."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for (hashes,) in rows_of(batches, "hashes"):
+            np.add.at(total, _cells(np.frombuffer(hashes, np.uint64)), 1)
+        if total.any():
+            yield from packed((i, zlib.compress(total[i * CHUNK : (i + 1) * CHUNK].tobytes(), 1)) for i in range(CELLS // CHUNK))
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for chunk, counters in rows_of(batches, "chunk", "counters"):
+            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(counters), np.int64)
+        yield from packed((i, np.minimum(255, 6 * np.log2(1 + n)).astype(np.uint8).tobytes()) for i, n in sums.items())
+
+    def packed(rows: Iterable[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        return in_batches(iter(rows), pa.schema([("chunk", pa.int32()), ("counters", pa.binary())]), 4)
+
+    layout = "chunk int, counters binary"
+    out = np.zeros(CELLS, np.uint8)
+    for row in sets.mapInArrow(count, layout).repartition("chunk").mapInArrow(add, layout).collect():  # CELLS bytes
+        out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counters"], np.uint8)
+    return out
+
+
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """key and node: of each set (node, hashes) the rarest shingles, so many that two sets at the limit have one in common."""
+    held = stored(sets, "wide-sets")
+    sent = held.sparkSession.sparkContext.broadcast(_counters(held))
+
+    def show(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = sent.value
+
+        def rows() -> Iterator[tuple]:
+            for node, hashes in rows_of(batches, "node", "hashes"):
+                found = np.frombuffer(hashes, np.uint64)
+                shown = len(found) + 1 - -(-len(found) * percent // 100)
+                first = np.lexsort((found, counters[_cells(found)]))[:shown]
+                for key in found[first].view(np.int64).tolist():
+                    yield key, node
+
+        return in_batches(rows(), pa.schema([("key", pa.int64()), ("node", pa.int64())]), 10_000)
+
+    return held.mapInArrow(show, "key long, node long")
 
 
 def with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:

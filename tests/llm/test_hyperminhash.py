@@ -62,6 +62,36 @@ def test_against_all_pairs(spark, seed, size, percent):
     assert got == brute(docs, size, percent)
 
 
+@pytest.mark.parametrize("direct", [0, 3])
+def test_wide_buckets_against_all_pairs(spark, monkeypatch, direct):
+    """Open buckets searched by rarest shingles: chains, passages and pages of one template, some of them alike."""
+    monkeypatch.setattr(H, "DIRECT", direct)
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(90)]
+    docs = corpus(6)
+    for i in range(20_000, 20_070):
+        page = common + [f"p{i}x{j}" for j in range(rng.randrange(2, 40))]
+        docs += [(i, " ".join(page)), (i + 1000, " ".join(page[:-1] + ["other"]))]
+    got = sorted(tuple(r) for r in H.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 3, 85).collect())
+    assert got == brute(docs, 3, 85)
+
+
+def test_rarest_shingles_meet(spark):
+    """Every pair of sets at the limit or above shares a key; template shingles are no keys of long sets."""
+    rng = random.Random(9)
+    common = list(range(1, 31))
+    sets = [set(common) | {rng.randrange(100, 10**6) for _ in range(rng.randrange(1, 25))} for _ in range(60)]
+    sets += [set(list(s)[: len(s) - rng.randrange(1, 4)]) for s in sets]
+    spread = lambda x: (x * 0x9E3779B97F4A7C15) % (1 << 64)
+    rows = [(i, H.np.array(sorted(map(spread, s)), H.np.uint64).tobytes()) for i, s in enumerate(sets)]
+    keys = {}
+    for r in H._rarest(spark.createDataFrame(rows, "node long, hashes binary"), 80).collect():
+        keys.setdefault(r.node, set()).add(r.key)
+    for i, x in enumerate(sets):
+        assert len(keys[i]) == len(x) + 1 - -(-len(x) * 80 // 100)
+        assert all(keys[i] & keys[j] for j in range(i) if 100 * len(x & sets[j]) >= 80 * len(x | sets[j]))
+
+
 def test_nulls_repeats_and_empty(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, "a b c d"), (1, "x y z")], "doc_id bigint, text string")
     got = sorted((r.doc_id is None, r.doc_id, r.n_shingles, r.component_id, r.kept) for r in H.near_duplicates(df, 3, 85).collect())
