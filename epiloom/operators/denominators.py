@@ -79,3 +79,14 @@ def denominator(
     sexes: list[tuple[int, ...]] = SEXES,
 ) -> DataFrame:
     return strata(risk_intervals(person, observation_period, start, end, prior_days), bands, sexes)
+
+
+def sex_totals(bands: list[tuple[int, int]] = AGE_BANDS, sexes: list[tuple[int, ...]] = SEXES) -> dict[int, tuple[int, ...]]:
+    """The strata of several sexes, each with the strata of one sex that make it up: a person is in one of these only."""
+    single = {concepts[0]: s for s, concepts in enumerate(sexes) if len(concepts) == 1}
+    return {
+        b * len(sexes) + s + 1: tuple(b * len(sexes) + single[c] + 1 for c in concepts)
+        for b in range(len(bands))
+        for s, concepts in enumerate(sexes)
+        if len(set(concepts)) == len(concepts) > 1 and all(c in single for c in concepts)
+    }

@@ -133,8 +133,43 @@ def subjects_by_month(intervals: DataFrame, keys: list[str], start: str, end: st
     return running.select(*keys, "month", (F.col("s_n") - F.col("e_n")).alias("denom_count"))
 
 
-def incidence_denominator(denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int]) -> DataFrame:
-    """(denom_id, outcome_id, cal_year, cal_month, denom_count, person_days)."""
+def _parts(denominator: DataFrame, totals: dict[int, tuple[int, ...]]) -> DataFrame:
+    """The rows of a denominator without the strata that are sums of others."""
+    return denominator.filter(~F.col("cohort_definition_id").isin(list(totals))) if totals else denominator
+
+
+def _with_totals(counts: DataFrame, totals: dict[int, tuple[int, ...]], columns: list[str]) -> DataFrame:
+    """Counts per stratum, and those of each total as the sum of its parts."""
+    if not totals:
+        return counts
+    into: dict[int, list[int]] = {}
+    for total, parts in totals.items():
+        for part in parts:
+            into.setdefault(part, []).append(total)
+    known = F.create_map(*[F.lit(v) for part, all_ in into.items() for v in (part, all_)]).cast("map<bigint,array<bigint>>")
+    own = F.array(F.col("denom_id").cast("bigint"))
+    ids = F.concat(own, F.coalesce(F.element_at(known, F.col("denom_id").cast("bigint")), F.array().cast("array<bigint>")))
+    keys = [c for c in counts.columns if c not in columns]
+    return (
+        counts.withColumn("denom_id", F.explode(ids))
+        .groupBy(*keys)
+        .agg(*[F.sum(c).alias(c) for c in columns])
+        .select(*counts.columns)
+    )
+
+
+def incidence_denominator(
+    denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int], totals: dict[int, tuple[int, ...]] | None = None
+) -> DataFrame:
+    """(denom_id, outcome_id, cal_year, cal_month, denom_count, person_days).
+
+    `totals` names strata that are sums of others which share no person (`denominators.sex_totals`):
+    their rows are not read, and their counts are added up from the monthly ones.
+    """
+    return _with_totals(_denominator(_parts(denominator, totals or {}), outcomes, outcome_ids), totals or {}, ["denom_count", "person_days"])
+
+
+def _denominator(denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int]) -> DataFrame:
     rows = denominator.filter("cohort_start_date <= cohort_end_date").select(
         F.col("cohort_definition_id").alias("denom_id"), "subject_id", "cohort_start_date", "cohort_end_date"
     )
@@ -185,8 +220,14 @@ def incidence_denominator(denominator: DataFrame, outcomes: DataFrame, outcome_i
     )
 
 
-def incidence_numerator(denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int]) -> DataFrame:
-    """First events inside a denominator interval, per stratum, outcome and month."""
+def incidence_numerator(
+    denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int], totals: dict[int, tuple[int, ...]] | None = None
+) -> DataFrame:
+    """First events inside a denominator interval, per stratum, outcome and month; `totals` as in `incidence_denominator`."""
+    return _with_totals(_numerator(_parts(denominator, totals or {}), outcomes, outcome_ids), totals or {}, ["outcome_count"])
+
+
+def _numerator(denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int]) -> DataFrame:
     firsts = first_event(outcomes.filter(F.col("cohort_definition_id").isin(outcome_ids)))
     rows = denominator.select(
         F.col("cohort_definition_id").alias("denom_id"), "subject_id", "cohort_start_date", "cohort_end_date"
@@ -218,11 +259,13 @@ def with_rates(at_risk_summary: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def monthly_incidence(denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int]) -> DataFrame:
-    """All outcomes and strata in one job, unsuppressed."""
+def monthly_incidence(
+    denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[int], totals: dict[int, tuple[int, ...]] | None = None
+) -> DataFrame:
+    """All outcomes and strata in one job, unsuppressed; `totals` as in `incidence_denominator`."""
     return with_rates(
-        incidence_denominator(denominator, outcomes, outcome_ids),
-        incidence_numerator(denominator, outcomes, outcome_ids),
+        incidence_denominator(denominator, outcomes, outcome_ids, totals),
+        incidence_numerator(denominator, outcomes, outcome_ids, totals),
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epiloom.operators.characterize import cohort_characteristics
-from epiloom.operators.denominators import denominator
+from epiloom.operators.denominators import denominator, sex_totals
 from epiloom.operators.incidence import label_outcomes, monthly_incidence, suppress_incidence
 from epiloom.operators.results import bind_rows, to_summarised_result
 from epiloom.sources.export import export_results
@@ -57,8 +57,10 @@ def read_analyses(settings: DataFrame, population: str = "all_population") -> li
     return [Analysis(r.outcome_table_name, r.outcome_id) for r in rows.collect()]
 
 
-def study_incidence(denominators: DataFrame, tables: dict[str, DataFrame], analyses: list[Analysis]) -> DataFrame:
-    """Monthly incidence of all outcomes of all tables in one job.
+def study_incidence(
+    denominators: DataFrame, tables: dict[str, DataFrame], analyses: list[Analysis], totals: dict[int, tuple[int, ...]] | None = None
+) -> DataFrame:
+    """Monthly incidence of all outcomes of all tables in one job; strata in `totals` are sums of others.
 
     Outcomes of different tables may share an id; a code per (table, id) keeps
     them apart until the counts are made.
@@ -71,7 +73,7 @@ def study_incidence(denominators: DataFrame, tables: dict[str, DataFrame], analy
         rows = tables[name].filter(F.col("cohort_definition_id").isin(list(mine)))
         parts.append(rows.withColumn("cohort_definition_id", F.element_at(code, F.col("cohort_definition_id"))))
     outcomes = reduce(DataFrame.unionByName, parts)
-    monthly = monthly_incidence(denominators, outcomes, list(codes.values()))
+    monthly = monthly_incidence(denominators, outcomes, list(codes.values()), totals)
     back = F.create_map(
         *[
             v
@@ -151,7 +153,7 @@ def incidence_study(
         for name, table in [*tables.items(), ("denominator", strata)]
     ]
     monthly, failed = run_or_log(
-        spark, analyses, lambda group: study_incidence(strata, tables, group), continue_on_error
+        spark, analyses, lambda group: study_incidence(strata, tables, group, sex_totals()), continue_on_error
     )
     results = {"characteristics": bind_rows(described), "failed_incidence_log": failed}
     if monthly is not None:

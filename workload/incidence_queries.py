@@ -10,12 +10,13 @@ from epiloom.operators.characterize import (
     mean_sd,
     quantiles,
 )
-from epiloom.operators.denominators import denominator, risk_intervals
+from epiloom.operators.denominators import denominator, risk_intervals, sex_totals
 from epiloom.operators.events import sex_label
 from epiloom.operators import incidence as inc
 from epiloom.operators.observation import periods
 from epiloom.operators.results import INCIDENCE_ADDITIONAL, INCIDENCE_GROUP, interval_rates, intervals, to_summarised_result
 from epiloom.operators.snapshot import snapshot, source_information
+from epiloom.operators.suppression import protect_totals
 from epiloom.plans.study import Analysis, export_study, incidence_study, run_or_log, study_incidence
 from epiloom.session import scratch_path
 from epiloom.sources.tables import load_table, materialize
@@ -49,7 +50,7 @@ def outcomes(spark, sf):
 
 
 def monthly(spark, sf):
-    return inc.monthly_incidence(stored_strata(spark, sf), outcomes(spark, sf), IDS)
+    return inc.monthly_incidence(stored_strata(spark, sf), outcomes(spark, sf), IDS, sex_totals())
 
 
 def stored_monthly(spark, sf):
@@ -114,7 +115,7 @@ def slices(spark, sf):
 
 @query("a9_incidence_denominator", with_tables("SELECT * FROM at_risk_sum"))
 def people(spark, sf):
-    return inc.incidence_denominator(stored_strata(spark, sf), outcomes(spark, sf), IDS)
+    return inc.incidence_denominator(stored_strata(spark, sf), outcomes(spark, sf), IDS, sex_totals())
 
 
 @query("a10_incidence_numerator", with_tables("SELECT * FROM event_sum"))
@@ -161,6 +162,57 @@ def suppressed(spark, sf):
     return rows.select(*shown, F.round("incidence_100000_pys", 6).alias("rate"))
 
 
+LATTICE = {
+    "cells": """
+        SELECT outcome_id, denom_id, cal_year, cal_month, sum(outcome_count) AS n FROM monthly
+        GROUP BY GROUPING SETS ((outcome_id, denom_id, cal_year, cal_month), (outcome_id, denom_id, cal_year), (outcome_id, denom_id))""",
+}
+
+
+@query(
+    "a19_protected_totals",
+    with_tables(
+        """SELECT outcome_id, count(*) AS cells, count(*) FILTER (n BETWEEN 1 AND 4) AS small, 0 AS small_shown, 0 AS shown_wrongly, 0 AS alone
+           FROM cells GROUP BY 1""",
+        LATTICE,
+    ),
+)
+def protected(spark, sf):
+    """Months, years and the whole time with further cells hidden: how many are small, and what could still be read (nothing, by the SQL).
+
+    `alone` counts sums over months, sexes or ages of which a single member is hidden.
+    """
+    months = stored_monthly(spark, sf)
+    keys = ["outcome_id", "denom_id", "cal_year", "cal_month"]
+    found = materialize(protect_totals(months, ["outcome_id"], 5), "protected")
+    full = months.groupingSets(
+        [[F.col(c) for c in keys], [F.col(c) for c in keys[:3]], [F.col(c) for c in keys[:2]]], *[F.col(c) for c in keys]
+    ).agg(F.sum("outcome_count").alias("n"))
+    same = [full[k].eqNullSafe(found[k]) for k in keys]
+    cells = full.join(found, same).select(*[full[k] for k in keys], "n", "outcome_count", F.col("outcome_count").isNull().alias("hidden"))
+    stratum = F.col("denom_id") - 1
+    sums = F.array(
+        F.struct(F.lit("sex").alias("over"), F.floor(stratum / 3).alias("a"), "cal_year", "cal_month"),
+        F.struct(F.lit("age").alias("over"), (stratum % 3).alias("a"), "cal_year", "cal_month"),
+        F.when(F.col("cal_year").isNotNull(), F.struct(F.lit("year").alias("over"), stratum.alias("a"), "cal_year", F.lit(None).cast("int").alias("cal_month"))),
+        F.when(F.col("cal_month").isNull(), F.struct(F.lit("all").alias("over"), stratum.alias("a"), F.lit(None).cast("int").alias("cal_year"), F.lit(None).cast("int").alias("cal_month"))),
+    )
+    alone = (
+        cells.select("outcome_id", "hidden", F.explode(F.array_compact(sums)).alias("of"))
+        .groupBy("outcome_id", "of").agg(F.count_if("hidden").alias("hidden"))
+        .groupBy("outcome_id").agg(F.count_if(F.col("hidden") == 1).cast("int").alias("alone"))
+    )
+    small = F.col("n").between(1, 4)
+    return (
+        cells.groupBy("outcome_id")
+        .agg(
+            F.count(F.lit(1)).alias("cells"), F.count_if(small).alias("small"), F.count_if(small & ~F.col("hidden")).cast("int").alias("small_shown"),
+            F.count_if(F.col("outcome_count") != F.col("n")).cast("int").alias("shown_wrongly"),
+        )
+        .join(alone, "outcome_id")
+    )
+
+
 # Exact limits in SQL: bisection on the Poisson distribution function. The lower
 # limit m of k events solves P(X >= k) = 0.025, the upper P(X <= k) = 0.025.
 LIMITS = {
