@@ -63,6 +63,7 @@ ERRORS = 4.5
 DIRECT = 64
 #: Counters of shingles by hash, and how many travel as one row.
 CELLS = 1 << 20
+BEFORE = 8
 CHUNK = 1 << 16
 _BOUNDS = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(56)
 _LOW = np.uint64((1 << 56) - 1)
@@ -302,12 +303,14 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
         shown = stored(_rarest(sets.join(wide.select("node"), "node", "left_semi"), percent), "rarest-shingles").join(wide, "node")
         several = shown.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         met = stored(shown.join(several.select("key"), "key").join(parity, "node"), "shown-members")
-        pairs = pairs.union(_alike(met, met, words, percent)).distinct()
+        # A pair that surely met at an earlier shingle is not made again.
+        met_before = F.arrays_overlap("a.before", "b.before")
+        pairs = pairs.union(_alike(met, met, words, percent, (F.col("a.component") < F.col("b.component")) & ~met_before)).distinct()
     more = stored(_links(stored(pairs, "open-pairs"), classes, sets, percent), "links")
     return components(first.union(more))
 
 
-def _alike(some: DataFrame, all_: DataFrame, words: list[str], percent: int) -> DataFrame:
+def _alike(some: DataFrame, all_: DataFrame, words: list[str], percent: int, further: Column | None = None) -> DataFrame:
     """Pairs (a, b) of nodes of one key and of different components that may be linked, by sizes and parities."""
     a, b = some.alias("a"), all_.alias("b")
     differ = _differ_at_least([(F.col(f"a.{w}"), F.col(f"b.{w}")) for w in words])
@@ -316,7 +319,8 @@ def _alike(some: DataFrame, all_: DataFrame, words: list[str], percent: int) ->
         (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
         & _may_link(percent, F.col("a.n"), F.col("b.n"))
         # 1 - J is at least twice the difference over (sizes + difference).
-        & (differ * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent)),
+        & (differ * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent))
+        & (F.lit(True) if further is None else further),
     )
     return pairs.select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b")).distinct()
 
@@ -352,7 +356,11 @@ def _counters(sets: DataFrame) -> np.ndarray:
 
 
 def _rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """key and node: of each set (node, hashes) the rarest shingles, so many that two sets at the limit have one in common."""
+    """key and node: of each set (node, hashes) the rarest shingles, so many that two sets at the limit have one in common.
+
+    `before` are the last `BEFORE` rarer ones. Where two sets meet at a key and have one of these in common too,
+    they meet at that one as well; at the rarest that they have in common they have none before.
+    """
     held = stored(sets, "wide-sets")
     sent = held.sparkSession.sparkContext.broadcast(_counters(held))
 
@@ -364,12 +372,13 @@ def _rarest(sets: DataFrame, percent: int) -> DataFrame:
                 found = np.frombuffer(hashes, np.uint64)
                 shown = len(found) + 1 - -(-len(found) * percent // 100)
                 first = np.lexsort((found, counters[_cells(found)]))[:shown]
-                for key in found[first].view(np.int64).tolist():
-                    yield key, node
+                keys = found[first].view(np.int64).tolist()
+                for i, key in enumerate(keys):
+                    yield key, node, keys[max(0, i - BEFORE) : i]
 
-        return in_batches(rows(), pa.schema([("key", pa.int64()), ("node", pa.int64())]), 10_000)
+        return in_batches(rows(), pa.schema([("key", pa.int64()), ("node", pa.int64()), ("before", pa.list_(pa.int64()))]), 10_000)
 
-    return held.mapInArrow(show, "key long, node long")
+    return held.mapInArrow(show, "key long, node long, before array<long>")
 
 
 def with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
