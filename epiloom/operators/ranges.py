@@ -31,7 +31,6 @@ from epiloom.operators.dominance import count_dominated
 _EPOCH_SHIFT = 719_162  # makes day numbers of years 1 to 9999 non-negative
 # Above every day number: 9999-12-31 is 3,652,058.
 _PAST_ALL = 1 << 22
-_MARKS = "array<struct<question:int,at:struct<level:int,node:int,other:int>,day:int,_end:int>>"
 
 
 @dataclass(frozen=True)
@@ -80,30 +79,17 @@ def _day(value: Column | None, missing: int) -> Column:
     return F.lit(missing) if value is None else F.unix_date(value) + _EPOCH_SHIFT
 
 
-def _part(r: DayRange) -> Column:
-    """The part of the time line that a question is about: all of it (-1) or a cell (-2)."""
-    cell = (F.lit(0), F.lit(0)) if r.cell is None else [F.unix_date(c) for c in r.cell]
-    level = F.lit(-1 if r.cell is None else -2)
-    return F.struct(level.alias("level"), cell[0].cast("int").alias("node"), cell[1].alias("other"))
-
-
-def _mark(question: int, at: Column, day: Column, end: Column | None = None) -> Column:
-    """An event of a question in a part of the time line."""
-    end = F.lit(None) if end is None else end
-    return F.struct(F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"), end.cast("int").alias("_end"))
-
-
-def _probe(answer: int, question: int, at: Column, day: Column, sign: Column, end: Column | None = None) -> Column:
-    """One end of a range, or one corner of a range of start days and one of end days."""
+def _row(question: int, r: DayRange, day: Column, end: Column | None, celled: bool, **more: Column) -> Column:
+    """A row of the time line without its keys; `node` and `other` are the cell, where any question has one."""
+    cell = [] if not celled else [F.lit(0), F.lit(0)] if r.cell is None else [F.unix_date(c) for c in r.cell]
+    cell = [c.cast("int").alias(name) for c, name in zip(cell, ("node", "other"))]
     end = F.lit(None) if end is None else end
-    return F.struct(
-        F.lit(question).alias("question"), at.alias("at"), day.cast("int").alias("day"), end.cast("int").alias("_end"),
-        sign.alias("sign"), F.lit(answer).alias("answer"),
-    )
+    more_ = [c.alias(name) for name, c in more.items()]
+    return F.struct(F.lit(question).alias("question"), *cell, day.cast("int").alias("day"), end.cast("int").alias("_end"), *more_)
 
 
-def _corners(answer: int, r: DayRange, part: Column, asks: Column) -> list[Column]:
-    """The corners whose signed counts are the events with both days in their ranges; an empty range has none."""
+def _corners(r: DayRange, asks: Column) -> list[tuple[Column, Column, Column]]:
+    """The corners (start day, end day, sign) whose signed counts are the events with both days in their ranges; an empty range has none."""
     for first, last in ((r.lower, r.upper), (r.end_lower, r.end_upper)):
         if first is not None and last is not None:
             asks = asks & (first <= last)
@@ -112,7 +98,7 @@ def _corners(answer: int, r: DayRange, part: Column, asks: Column) -> list[Colum
         for first, last in ((r.lower, r.upper), (r.end_lower, r.end_upper))
     ]
     return [
-        _probe(answer, answer, part, F.when(asks, start).otherwise(0), F.when(asks, one * other).otherwise(0), F.when(asks, end).otherwise(0))
+        (F.when(asks, start).otherwise(0), F.when(asks, end).otherwise(0), F.when(asks, one * other).otherwise(0))
         for start, one in sides[0]
         for end, other in sides[1]
     ]
@@ -141,58 +127,68 @@ def _with_answers(index: DataFrame, answered: DataFrame, keys: list[str], anchor
 
 
 def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ranges: list[DayRange]) -> DataFrame:
-    """The counts for distinct anchors: (keys, anchor, one column per range)."""
+    """The counts for distinct anchors: (keys, anchor, one column per range).
+
+    What events add to the time line depends on their frame, part, cell and dates only, not
+    on the bounds: ranges that agree in these ask the same question, whose rows are there once.
+    """
+    celled = any(r.cell is not None for r in ranges)
     asked: list[Column] = []
+    questions: dict[tuple, int] = {}
     parts: dict[int, list[Column]] = {}  # by frame: what a row of it adds to the time line
     frames: dict[int, DataFrame] = {}
     swept = False
+
+    def question(r: DayRange, known: Column, condition: tuple, day: str, end: str | None = None) -> int:
+        key = id(r.events), r.tag, r.cell, condition, day, end
+        if key not in questions:
+            questions[key] = len(questions)
+            frames[id(r.events)] = r.events
+            row = _row(questions[key], r, _day(F.col(day), 0), None if end is None else _day(F.col(end), 0), celled)
+            parts.setdefault(id(r.events), []).append(F.when(known, F.array(row)).otherwise(F.slice(F.array(row), 1, 0)))
+        return questions[key]
+
     for i, r in enumerate(ranges):
-        known = _given(r.start, r.end if r.by_end or r.overlap else None)
+        dated = (r.start, r.end) if r.by_end or r.overlap else (r.start,)
+        known = _given(*dated)
         if r.overlap:
             known = known & (F.col(r.end) >= F.col(r.start))
         if r.tag is not None:
             known = known & (F.col(r.tag[0]) == r.tag[1])
+        condition = (*dated, r.overlap)
         # An open range of start days leaves the end days, which take the same way.
         by_end_only = r.by_end and r.lower is None and r.upper is None
-        day = _day(F.col(r.end if by_end_only else r.start), 0)
+        day = r.end if by_end_only else r.start
         first, last = (r.end_lower, r.end_upper) if by_end_only else (r.lower, r.upper)
-        part = _part(r)
         both = r.by_end and not by_end_only
-        adds = [_mark(i, part, day, _day(F.col(r.end), 0) if both else None)]
-        lower = None if first is None else _day(first, 0) - 1
+        mine = question(r, known, condition, day, r.end if both else None)
         asks = _given(r.lower, r.upper, r.end_lower, r.end_upper)
-        lower_question = i
-        if r.overlap:
-            # started by `upper`, less those over before `lower`
-            lower_question = len(ranges) + i
-            adds.append(_mark(lower_question, part, _day(F.col(r.end), 0)))
-        frames[id(r.events)] = r.events
-        parts.setdefault(id(r.events), []).append(F.when(known, F.array(*adds)).otherwise(F.array().cast(_MARKS)))
         if both:
-            ends = _corners(i, r, part, asks)
+            probes = [(mine, *corner) for corner in _corners(r, asks)]
             swept = True
         else:
-            ends = [_probe(i, i, part, _day(last, _PAST_ALL), F.when(asks, 1).otherwise(0))]
-            if lower is not None:
-                ends.append(_probe(i, lower_question, part, lower, F.when(asks, -1).otherwise(0)))
-        before = len(asked)
-        asked.append(F.array(*ends))
-        if r.only is not None:
-            asked[before:] = [F.when(r.only, a).otherwise(F.slice(a, 1, 0)) for a in asked[before:]]
-    at = [F.col(f"m.{c}") for c in ("question", "at", "day", "_end")]
+            probes = [(mine, _day(last, _PAST_ALL), None, F.when(asks, 1).otherwise(0))]
+            if first is not None:
+                # of an overlap: started by `upper`, less those over before `lower`
+                under = question(r, known, condition, r.end) if r.overlap else mine
+                probes.append((under, _day(first, 0) - 1, None, F.when(asks, -1).otherwise(0)))
+        ends = F.array(*[_row(q, r, at, end, celled, sign=sign, answer=F.lit(i)) for q, at, end, sign in probes])
+        asked.append(ends if r.only is None else F.when(r.only, ends).otherwise(F.slice(ends, 1, 0)))
+    where = ["question", *(["node", "other"] if celled else [])]
+    at = [F.col(f"m.{c}") for c in (*where, "day", "_end")]
     counted = [
         frames[k].select(*keys, F.explode(F.concat(*adds)).alias("m")).groupBy(*keys, *at).agg(F.count(F.lit(1)).alias("n"))
         for k, adds in parts.items()
     ]
 
     probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p")).select(*keys, *anchor, "p.*")
-    line = probes.filter("_end is null").withColumn("n", F.lit(0).cast("long"))
+    line = probes.filter("_end is null").drop("_end").withColumn("n", F.lit(0).cast("long"))
     for rows in counted:
-        line = line.unionByName(rows.filter("_end is null"), allowMissingColumns=True)
-    running = F.sum("n").over(Window.partitionBy(*keys, "question", "at.level", "at.node", "at.other").orderBy("day"))
+        line = line.unionByName(rows.filter("_end is null").drop("_end"), allowMissingColumns=True)
+    running = F.sum("n").over(Window.partitionBy(*keys, *where).orderBy("day"))
     upto = line.withColumn("upto", running).filter("answer is not null").select(*keys, *anchor, "answer", "sign", "upto")
     if swept:
-        upto = upto.unionByName(_swept(probes, counted, keys, anchor))
+        upto = upto.unionByName(_swept(probes, counted, keys, anchor, where))
     return upto.groupBy(*keys, *anchor).agg(
         *[
             F.greatest(
@@ -203,12 +199,11 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
     )
 
 
-def _swept(probes: DataFrame, counted: list[DataFrame], keys: list[str], anchor: list[str]) -> DataFrame:
+def _swept(probes: DataFrame, counted: list[DataFrame], keys: list[str], anchor: list[str], where: list[str]) -> DataFrame:
     """The counts of the corners; names of keys and anchors are set aside, as they may be any."""
     group = [f"_k{i}" for i in range(len(keys))]
     held = [f"_a{i}" for i in range(len(anchor))]
     named = [F.col(k).alias(g) for k, g in zip(keys, group)]
-    where = ["question", "at.level", "at.node", "at.other"]
     days = [F.col("day").alias("x"), F.col("_end").alias("y")]
     points = reduce(
         DataFrame.unionByName, [rows.filter("_end is not null").select(*named, *where, *days, "n") for rows in counted]
@@ -216,7 +211,7 @@ def _swept(probes: DataFrame, counted: list[DataFrame], keys: list[str], anchor:
     corners = probes.filter("_end is not null").select(
         *named, *where, *days, *[F.col(a).alias(h) for a, h in zip(anchor, held)], "answer", "sign"
     )
-    below = count_dominated(points, corners, [*group, "question", "level", "node", "other"], [*held, "answer", "sign"])
+    below = count_dominated(points, corners, [*group, *where], [*held, "answer", "sign"])
     back = [F.col(c).alias(n) for c, n in zip((*group, *held), (*keys, *anchor))]
     return below.select(*back, "answer", "sign", F.col("below").alias("upto"))
 

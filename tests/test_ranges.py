@@ -6,6 +6,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from epiloom.operators.criteria import Correlated, EventQuery, Group, Window, filter_group
+from epiloom.operators import ranges as R
 from epiloom.operators.dominance import count_dominated
 from epiloom.operators.events import domain_events
 from epiloom.operators.observation import attach_observation
@@ -213,3 +214,23 @@ def test_criteria_of_a_domain_read_it_once(spark, tmp_path):
     assert plan.count("condition_concept_id") and sum("Relation" in x and "condition_concept_id" in x for x in plan.split("\n")) == 1
     assert met.count() == index.count()
     assert filter_group(c, codesets, index, Group("ALL", (*members[:3], Correlated(members[3].query, "at_least", 12, Window(0, 20))))).count() == 0
+
+
+def test_ranges_that_ask_the_same_events_share_their_rows(spark, monkeypatch):
+    added = []
+    row = R._row
+    monkeypatch.setattr(R, "_row", lambda *a, **more: (more or added.append(a[0]), row(*a, **more))[1])
+    index = spark.sql("SELECT 1L AS person_id, DATE '2000-01-10' AS start_date, DATE '2000-02-01' AS op_end_date")
+    events = spark.sql("SELECT 1L AS person_id, date_add(DATE '2000-01-01', 3 * CAST(id AS INT)) AS start_date, date_add(DATE '2000-01-04', 3 * CAST(id AS INT)) AS end_date FROM range(9)")
+    start = F.col("start_date")
+    ranges = [
+        R.DayRange("before", events, None, start),
+        R.DayRange("around", events, F.date_add(start, -3), F.date_add(start, 3)),
+        R.DayRange("to_end", events, start, F.col("op_end_date")),
+        R.DayRange("met", events, start, start, overlap=True),
+        R.DayRange("ended", events, None, None, None, start),
+    ]
+    rows = R.count_in_ranges(index, ["person_id"], ["start_date", "op_end_date"], ranges).collect()
+    assert [rows[0][r.name] for r in ranges] == [4, 3, 6, 2, 3]
+    # Starts; starts and ends of those in order; ends.
+    assert sorted(added) == [0, 1, 2, 3]
