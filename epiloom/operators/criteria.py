@@ -151,7 +151,12 @@ def query_events(cdm: Cdm, codesets: DataFrame | None, query: EventQuery) -> Dat
 
 
 def nested(cdm: Cdm, codesets: DataFrame | None, events: DataFrame, group: Group) -> DataFrame:
-    """Events that, taken as index events of their own, meet a group."""
+    """Events that, taken as index events of their own, meet a group.
+
+    The events are stored: they are read twice, and a filter on the few that meet the group
+    would otherwise be pushed below the match of their codeset, to all events of the domain.
+    """
+    events = materialize(events, "nested")
     own = events.join(periods(cdm.observation_period), "person_id").filter(
         F.col("start_date").between(F.col("op_start_date"), F.col("op_end_date"))
     )

@@ -7,7 +7,7 @@ from epiloom.operators.codesets import ConceptSet
 from epiloom.operators.criteria import Comparison, Correlated, Demographic, EventQuery, Group, Window
 from epiloom.plans.cohorts import CohortSpec, DateOffset, build_cohort
 from epiloom.plans.definitions import generate_cohorts, read_definition
-from epiloom.sources.tables import read_cohorts
+from epiloom.sources.tables import Cdm, materialize, read_cohorts
 from epiloom.sources.versions import read_ids
 from helpers import cdm, day, rows
 
@@ -164,3 +164,18 @@ def test_generation_with_statistics(spark, tmp_path):
     generate_cohorts(spark, c, {1: json.dumps(plain)}, path, stats)
     assert rows(read_cohorts(spark, path), "cohort_definition_id", "subject_id") == [(2, 3)]
     assert table("cohort_summary_stats", "cohort_definition_id", "mode_id", "base_count", "final_count") == [(1, 0, 0, 0), (1, 1, 0, 0), (2, 0, 1, 1), (2, 1, 1, 1)]
+
+
+def test_nested_events_are_read_once(spark, monkeypatch):
+    from epiloom.operators import criteria
+
+    stored = []
+    monkeypatch.setattr(criteria, "materialize", lambda df, name="table": (stored.append(name), materialize(df, name))[1])
+    period = "SELECT 1L AS person_id, DATE '2000-01-01' AS observation_period_start_date, DATE '2001-01-01' AS observation_period_end_date"
+    data = Cdm({"observation_period": spark.sql(period)})
+    events = spark.sql(
+        "SELECT 1L AS person_id, id AS event_id, date_add(DATE '2000-01-01', CAST(id AS INT)) AS start_date, DATE '2002-01-01' AS end_date, "
+        "NULL AS target_concept_id, NULL AS visit_occurrence_id FROM range(4)"
+    )
+    rows = criteria.nested(data, None, events.select("*"), Group("ALL", ()))
+    assert sorted(r.event_id for r in rows.collect()) == [0, 1, 2, 3] and stored == ["nested"]
