@@ -12,6 +12,9 @@ fill all registers too.
    with a probability of at most one in 100,000 (`banding`).
 3. Each class is compared with the smallest class of the bucket it shares most bands
    with. Links that hold give first components.
+   Then, in turns, classes outside the largest component of their buckets are compared with another member
+   of it, as long as many of these links hold: a group of near-copies becomes one component
+   by a few pairs of each class.
 4. Where a bucket still has several components, and at most `DIRECT` members outside its largest one,
    these are compared with all members of other components. Members of other open buckets, such as many
    pages of one template, meet by their rarest shingles instead: of two sets at the limit each has one of
@@ -61,6 +64,9 @@ PARITY_WORDS = 16
 ERRORS = 4.5
 #: A bucket with more members outside its largest component is searched by rarest shingles.
 DIRECT = 64
+#: At most so many turns of comparing with the largest component, each as long as one in `HOLDING` pairs is a link.
+TURNS = 5
+HOLDING = 4
 #: Counters of shingles by hash, and how many travel as one row.
 CELLS = 1 << 20
 BEFORE = 8
@@ -284,17 +290,15 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
     common = members.where("node <> pivot").groupBy("node", "pivot").count()
     best = common.groupBy("node").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("pivot"))
     first = stored(_links(best.toDF("a", "b"), classes, sets, percent), "links")
-    labels = stored(components(first), "components")
+    words = [f"w{i}" for i in range(PARITY_WORDS)]
+    parity = classes.select("node", "n", *(F.col("parity")[i].alias(w) for i, w in enumerate(words)))
 
     # Buckets that still have several components.
-    own = members.drop("pivot").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    own = stored(own, "labelled-members")
+    first, own = _by_turns(members.drop("pivot"), first, classes, sets, parity, percent)
     sizes = own.groupBy("key", "component").count()
     outside = F.sum("count") - F.max("count")
     most = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), outside.alias("outside"))
     most = stored(most.where("outside > 0").select("key", "largest", (F.col("outside") > DIRECT).alias("wide")), "open-buckets")
-    words = [f"w{i}" for i in range(PARITY_WORDS)]
-    parity = classes.select("node", "n", *(F.col("parity")[i].alias(w) for i, w in enumerate(words)))
     narrow = stored(own.join(most.where("NOT wide"), "key").join(parity, "node"), "open-members")
     pairs = _alike(narrow.where("component <> largest"), narrow, words, percent)
 
@@ -310,6 +314,45 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
     return components(first.union(more))
 
 
+def _by_turns(members: DataFrame, links: DataFrame, classes: DataFrame, sets: DataFrame, parity: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """More links (a, b) within the buckets of `members` (key, node and others), and the members with their component."""
+
+    def labelled() -> DataFrame:
+        labels = stored(components(links), "components")
+        return stored(members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-members")
+
+    own = labelled()
+    for turn in range(TURNS):
+        pairs = stored(_with_largest(own, parity, percent, turn), "turn-pairs")
+        found = stored(_links(pairs, classes, sets, percent), "links")
+        many = found.count()
+        if not many:
+            break
+        links = stored(links.union(found), "links")
+        own = labelled()
+        if many * HOLDING < pairs.count():
+            break
+    return links, own
+
+
+def _with_largest(own: DataFrame, parity: DataFrame, percent: int, turn: int) -> DataFrame:
+    """A pair (a, b) for each node outside the largest component of a bucket: with a member of that component, another
+    one in each turn; of several buckets that member whose parities differ least from its own, if they may be linked.
+    """
+    some = F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("some")
+    parts = own.groupBy("key", "component").agg(F.count("*").alias("count"), some)
+    largest = F.max_by(F.struct("component", "some"), F.struct("count", "component")).alias("largest")
+    several = parts.groupBy("key").agg(largest, F.count("*").alias("parts")).where("parts > 1")
+    asking = own.join(several.select("key", F.col("largest.component").alias("other"), "largest.some"), "key").where("component <> other")
+    words = [c for c in parity.columns if c not in ("node", "n")]
+    there = parity.select(F.col("node").alias("some"), F.col("n").alias("m"), *(F.col(w).alias(f"o{w}") for w in words))
+    pairs = asking.select("node", "some").distinct().join(parity, "node").join(there, "some")
+    pairs = pairs.withColumn("differ", _differ_at_least([(F.col(w), F.col(f"o{w}")) for w in words]))
+    likely = pairs.where(_may_link(percent, F.col("n"), F.col("m")) & (F.col("differ") * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)))
+    best = likely.groupBy("node").agg(F.min_by("some", F.struct("differ", "some")).alias("some"))
+    return best.select(F.greatest("node", "some").alias("a"), F.least("node", "some").alias("b")).distinct()
+
+
 def _alike(some: DataFrame, all_: DataFrame, words: list[str], percent: int, further: Column | None = None) -> DataFrame:
     """Pairs (a, b) of nodes of one key and of different components that may be linked, by sizes and parities."""
     a, b = some.alias("a"), all_.alias("b")
