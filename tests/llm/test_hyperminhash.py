@@ -139,3 +139,20 @@ def test_components(spark):
         root[max(x, y)] = min(x, y)
     want = sorted((i, find(i)) for i in {x for a, b in edges if a != b for x in (a, b)})
     assert sorted(tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()) == want
+
+
+def test_a_group_of_near_copies_takes_few_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"b{rng.randrange(4000)}" for _ in range(400)]
+    docs = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(400), 9):  # about 0.87 from the base, and 0.77 from each other
+            words[at] = f"x{i}-{at}"
+        docs.append((i + 1 if i else 1000, " ".join(words if i % 3 else words[:200] + base[200:])))
+    made = []
+    store = H.stored
+    monkeypatch.setattr(H, "stored", lambda df, name, *a: (lambda out: (made.append(out.count()) if name == "open-pairs" else None, out)[1])(store(df, name, *a)))
+    found = H.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 3, 85).collect()
+    assert sorted(map(tuple, found)) == brute(docs, 3, 85)
+    assert sum(made) < 2000, made
