@@ -64,11 +64,15 @@ PARITY_WORDS = 16
 ERRORS = 4.5
 #: A bucket with more members outside its largest component is searched by rarest shingles.
 DIRECT = 64
-#: At most so many turns of comparing with the largest component, each as long as one in `HOLDING` pairs is a link.
+#: At most so many turns of comparing with the largest component, each as long as one in `HOLDING` pairs is a link,
+#: and as more than one in `LEFT` is none: what is left is few pairs otherwise.
 TURNS = 5
-HOLDING = 4
+HOLDING = 2
+LEFT = 5
 #: Counters of shingles by hash, and how many travel as one row.
 CELLS = 1 << 20
+#: What a counter of one shingle shows, on its scale.
+ONCE = 6
 BEFORE = 8
 CHUNK = 1 << 16
 _BOUNDS = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(56)
@@ -304,7 +308,7 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
 
     wide = stored(own.join(most.where("wide"), "key").select("node", "component").distinct(), "wide-members")
     if not wide.isEmpty():
-        shown = stored(_rarest(sets.join(wide.select("node"), "node", "left_semi"), percent), "rarest-shingles").join(wide, "node")
+        shown = stored(_rarest(sets.join(wide, "node"), percent, shared=True), "rarest-shingles")
         several = shown.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         met = stored(shown.join(several.select("key"), "key").join(parity, "node"), "shown-members")
         # A pair that surely met at an earlier shingle is not made again.
@@ -315,22 +319,24 @@ def link_members(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
 
 
 def _by_turns(members: DataFrame, links: DataFrame, classes: DataFrame, sets: DataFrame, parity: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """More links (a, b) within the buckets of `members` (key, node and others), and the members with their component."""
+    """The first components with more links within the buckets of `members` (key, node and others), as edges (a, b), and the members with their component."""
 
-    def labelled() -> DataFrame:
-        labels = stored(components(links), "components")
-        return stored(members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-members")
+    def labelled() -> tuple[DataFrame, DataFrame]:
+        labels = components(links)
+        own = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        return labels.where("node <> component").toDF("a", "b"), stored(own, "labelled-members")
 
-    own = labelled()
+    links, own = labelled()
     for turn in range(TURNS):
         pairs = stored(_with_largest(own, parity, percent, turn), "turn-pairs")
         found = stored(_links(pairs, classes, sets, percent), "links")
         many = found.count()
         if not many:
             break
-        links = stored(links.union(found), "links")
-        own = labelled()
-        if many * HOLDING < pairs.count():
+        links = links.union(found)
+        links, own = labelled()
+        asked = pairs.count()
+        if many * HOLDING < asked or (asked - many) * LEFT < asked:
             break
     return links, own
 
@@ -398,30 +404,35 @@ def _counters(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def _rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """key and node: of each set (node, hashes) the rarest shingles, so many that two sets at the limit have one in common.
+def _rarest(sets: DataFrame, percent: int, shared: bool = False) -> DataFrame:
+    """key, node and component, if given: of each set (node, hashes, component) the rarest shingles, so many that two sets at the limit have one in common.
 
+    If `shared`, those that no other set has, by their counter, are left out: nothing is met there.
     `before` are the last `BEFORE` rarer ones. Where two sets meet at a key and have one of these in common too,
     they meet at that one as well; at the rarest that they have in common they have none before.
     """
     held = stored(sets, "wide-sets")
     sent = held.sparkSession.sparkContext.broadcast(_counters(held))
+    names = ["node", *(c for c in held.columns if c == "component")]
+    layout = pa.schema([("key", pa.int64()), *((c, pa.int64()) for c in names), ("before", pa.list_(pa.int64()))])
 
     def show(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = sent.value
 
         def rows() -> Iterator[tuple]:
-            for node, hashes in rows_of(batches, "node", "hashes"):
+            for hashes, *own in rows_of(batches, "hashes", *names):
                 found = np.frombuffer(hashes, np.uint64)
                 shown = len(found) + 1 - -(-len(found) * percent // 100)
                 first = np.lexsort((found, counters[_cells(found)]))[:shown]
+                if shared:
+                    first = first[counters[_cells(found[first])] > ONCE]
                 keys = found[first].view(np.int64).tolist()
                 for i, key in enumerate(keys):
-                    yield key, node, keys[max(0, i - BEFORE) : i]
+                    yield key, *own, keys[max(0, i - BEFORE) : i]
 
-        return in_batches(rows(), pa.schema([("key", pa.int64()), ("node", pa.int64()), ("before", pa.list_(pa.int64()))]), 10_000)
+        return in_batches(rows(), layout, 10_000)
 
-    return held.mapInArrow(show, "key long, node long, before array<long>")
+    return held.mapInArrow(show, ", ".join(["key long", *(f"{c} long" for c in names), "before array<long>"]))
 
 
 def with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:

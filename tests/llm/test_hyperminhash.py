@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from epiloom.llm import components as C
 from epiloom.llm import hyperminhash as H
 from epiloom.llm.components import components
 
@@ -156,3 +157,27 @@ def test_a_group_of_near_copies_takes_few_pairs(spark, monkeypatch):
     found = H.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 3, 85).collect()
     assert sorted(map(tuple, found)) == brute(docs, 3, 85)
     assert sum(made) < 2000, made
+
+
+def test_stars_take_no_rounds_and_few_edges_few_files(spark, monkeypatch):
+    made = []
+    store = C.stored
+    monkeypatch.setattr(C, "stored", lambda df, name, *a: (lambda out: (made.append((name, len(out.inputFiles()))), out)[1])(store(df, name, *a)))
+    stars = [(i % 3, i) for i in range(3, 300)]
+    found = components(spark.createDataFrame(stars, "a bigint, b bigint")).collect()
+    assert sorted(map(tuple, found)) == sorted([(i % 3, i % 3) for i in range(3)] + [(i, i % 3) for i in range(3, 300)])
+    assert [n for n, _ in made] == ["edges"]
+    made.clear()
+    found = components(spark.createDataFrame([(i, i + 1) for i in range(200)], "a bigint, b bigint")).collect()
+    assert {r.component for r in found} == {0} and len(found) == 201
+    assert all(files == 1 for _, files in made[1:])
+
+
+def test_shingles_of_one_set_are_not_shown(spark):
+    """Two sets of ten with one shingle in common, and a third one by itself."""
+    sets = [set(range(10)), {9, *range(100, 109)}, set(range(200, 210))]
+    spread = lambda x: ((x + 1) * 0x9E3779B97F4A7C15) % (1 << 64)
+    rows = [(i, 7 + i, H.np.array(sorted(map(spread, s)), H.np.uint64).tobytes()) for i, s in enumerate(sets)]
+    shown = H._rarest(spark.createDataFrame(rows, "node long, component long, hashes binary"), 5, shared=True).collect()
+    assert {(r.node, r.component, H.np.int64(r.key).view(H.np.uint64)) for r in shown} == {(0, 7, spread(9)), (1, 8, spread(9))}
+    assert all(r.before == [] for r in shown)
