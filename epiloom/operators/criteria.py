@@ -98,7 +98,7 @@ def _plain(query: EventQuery) -> bool:
 
 
 class _Frames:
-    """The events of a set of criteria. Plain queries of one domain share a frame, which is read once."""
+    """The events of a set of criteria. Plain queries of one domain share a frame, and so do equal queries; each is read once."""
 
     def __init__(self, cdm: Cdm, codesets: DataFrame | None, criteria: list[Correlated]) -> None:
         self.cdm, self.codesets = cdm, codesets
@@ -106,12 +106,15 @@ class _Frames:
         for c in criteria:
             if _plain(c.query):
                 self.wanted.setdefault((c.query.domain, _by_period(c)), set()).add(c.query.codeset_id)
-        self.made: dict[tuple[str, bool], DataFrame] = {}
+        self.made: dict[tuple[str | EventQuery, bool], DataFrame] = {}
 
     def of(self, c: Correlated) -> tuple[DataFrame, tuple[str, int] | None]:
         """The events of a criterion, and the tag of its part of them."""
         if not _plain(c.query):
-            return self._settled(query_events(self.cdm, self.codesets, c.query), _by_period(c)), None
+            one = c.query, _by_period(c)
+            if one not in self.made:
+                self.made[one] = self._settled(query_events(self.cdm, self.codesets, c.query), one[1])
+            return self.made[one], None
         key = c.query.domain, _by_period(c)
         if key not in self.made:
             events = self.cdm.matched.get(c.query.domain)

@@ -31,6 +31,8 @@ from epiloom.operators.dominance import count_dominated
 _EPOCH_SHIFT = 719_162  # makes day numbers of years 1 to 9999 non-negative
 # Above every day number: 9999-12-31 is 3,652,058.
 _PAST_ALL = 1 << 22
+# Ranges whose probes one step makes: Java compiles no generated method above 8,000 bytes, and interprets it many times slower.
+_TOGETHER = 4
 
 
 @dataclass(frozen=True)
@@ -133,7 +135,7 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
     on the bounds: ranges that agree in these ask the same question, whose rows are there once.
     """
     celled = any(r.cell is not None for r in ranges)
-    asked: list[Column] = []
+    asked: list[list[Column]] = []
     questions: dict[tuple, int] = {}
     parts: dict[int, list[Column]] = {}  # by frame: what a row of it adds to the time line
     frames: dict[int, DataFrame] = {}
@@ -145,7 +147,7 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
             questions[key] = len(questions)
             frames[id(r.events)] = r.events
             row = _row(questions[key], r, _day(F.col(day), 0), None if end is None else _day(F.col(end), 0), celled)
-            parts.setdefault(id(r.events), []).append(F.when(known, F.array(row)).otherwise(F.slice(F.array(row), 1, 0)))
+            parts.setdefault(id(r.events), []).append(F.when(known, row))
         return questions[key]
 
     for i, r in enumerate(ranges):
@@ -172,16 +174,22 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
                 # of an overlap: started by `upper`, less those over before `lower`
                 under = question(r, known, condition, r.end) if r.overlap else mine
                 probes.append((under, _day(first, 0) - 1, None, F.when(asks, -1).otherwise(0)))
-        ends = F.array(*[_row(q, r, at, end, celled, sign=sign, answer=F.lit(i)) for q, at, end, sign in probes])
-        asked.append(ends if r.only is None else F.when(r.only, ends).otherwise(F.slice(ends, 1, 0)))
+        ends = [_row(q, r, at, end, celled, sign=sign, answer=F.lit(i)) for q, at, end, sign in probes]
+        asked.append(ends if r.only is None else [F.when(r.only, row) for row in ends])
     where = ["question", *(["node", "other"] if celled else [])]
     at = [F.col(f"m.{c}") for c in (*where, "day", "_end")]
     counted = [
-        frames[k].select(*keys, F.explode(F.concat(*adds)).alias("m")).groupBy(*keys, *at).agg(F.count(F.lit(1)).alias("n"))
+        _exploded(frames[k], keys, adds, "m").groupBy(*keys, *at).agg(F.count(F.lit(1)).alias("n"))
         for k, adds in parts.items()
     ]
 
-    probes = anchors.select(*keys, *anchor, F.explode(F.concat(*asked)).alias("p")).select(*keys, *anchor, "p.*")
+    def probing(first: int) -> DataFrame:
+        only = [r.only for r in ranges[first : first + _TOGETHER]]
+        asking = anchors if any(o is None for o in only) else anchors.filter(reduce(lambda a, b: a | b, only))
+        ends = [row for rows in asked[first : first + _TOGETHER] for row in rows]
+        return _exploded(asking, [*keys, *anchor], ends, "p").select(*keys, *anchor, "p.*")
+
+    probes = reduce(DataFrame.unionByName, map(probing, range(0, len(ranges), _TOGETHER)))
     line = probes.filter("_end is null").drop("_end").withColumn("n", F.lit(0).cast("long"))
     for rows in counted:
         line = line.unionByName(rows.filter("_end is null").drop("_end"), allowMissingColumns=True)
@@ -199,6 +207,11 @@ def counts_of_anchors(anchors: DataFrame, keys: list[str], anchor: list[str], ra
     )
 
 
+def _exploded(df: DataFrame, keys: list[str], rows: list[Column], name: str) -> DataFrame:
+    """`keys` and each of `rows` that is not null, as rows of their own."""
+    return df.select(*keys, F.explode(F.array(*rows)).alias(name)).filter(F.col(name).isNotNull())
+
+
 def _swept(probes: DataFrame, counted: list[DataFrame], keys: list[str], anchor: list[str], where: list[str]) -> DataFrame:
     """The counts of the corners; names of keys and anchors are set aside, as they may be any."""
     group = [f"_k{i}" for i in range(len(keys))]

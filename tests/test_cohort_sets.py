@@ -71,3 +71,22 @@ def test_each_domain_is_read_once(spark):
 def test_no_rows(spark):
     empty = cdm(spark, concepts=[(10, None)])
     assert build_cohorts(empty, SPECS[:5]).collect() == []
+
+
+def test_definitions_without_criteria_are_not_asked_about(spark, monkeypatch):
+    """Their events are no anchors, and a whole domain that one query asks for is not copied."""
+    from epiloom.operators import criteria
+    from epiloom.plans import cohort_sets
+    from epiloom.sources.tables import materialize
+
+    stored = {}
+
+    def noted(df, name="table"):
+        stored[name] = materialize(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(criteria, "materialize", noted)
+    monkeypatch.setattr(cohort_sets, "materialize", noted)
+    build_cohorts(database(spark), [s for s in SPECS if s.cohort_id in (1, 2, 3, 4, 7)])
+    assert {r[0] for r in stored["index"].select("cohort_definition_id").distinct().collect()} == {3, 4}
+    assert "matched-death" not in stored and "matched-condition" in stored
