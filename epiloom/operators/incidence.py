@@ -120,16 +120,26 @@ def subjects_by_month(intervals: DataFrame, keys: list[str], start: str, end: st
     Intervals of a subject are merged into runs of months first, so that a
     subject counts once; a subject has at most one row per starting month.
     """
+    return _subjects(_month_runs(intervals, keys, start, end), keys)
+
+
+def _month_runs(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """(keys, subject_id, _a, _b, _first): runs of months `_a` to `_b` that share none, and the earliest start of an interval behind each."""
     runs = intervals.groupBy(*keys, "subject_id", month_number(F.col(start)).alias("_a")).agg(
-        F.max(month_number(F.col(end))).alias("_b")
+        F.max(month_number(F.col(end))).alias("_b"), F.min(start).alias("_first")
     )
     w = Window.partitionBy(*keys, "subject_id").orderBy("_a")
     seen = F.max("_b").over(w.rowsBetween(Window.unboundedPreceding, -1))
     # Only the months past those already counted open a new run.
     fresh = runs.withColumn("_seen", seen).withColumn("_a", F.greatest(F.col("_a"), F.col("_seen") + 1)).filter("_a <= _b")
+    return fresh.drop("_seen")
+
+
+def _subjects(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Subjects per key and month of runs that share no month of a subject."""
     opened = {"month": F.col("_a"), "s_n": F.lit(1)}
     closed = {"month": F.col("_b") + 1, "e_n": F.lit(1)}
-    running = _running(_changes(fresh, keys, opened, closed), keys, ["s_n", "e_n"])
+    running = _running(_changes(runs, keys, opened, closed), keys, ["s_n", "e_n"])
     return running.select(*keys, "month", (F.col("s_n") - F.col("e_n")).alias("denom_count"))
 
 
@@ -176,26 +186,28 @@ def _denominator(denominator: DataFrame, outcomes: DataFrame, outcome_ids: list[
     wanted = outcomes.filter(F.col("cohort_definition_id").isin(outcome_ids))
     start, end, event = F.col("cohort_start_date"), F.col("cohort_end_date"), F.col("first_event_date")
 
-    def part(sign: int, last: Column) -> Column:
-        return F.struct(F.lit(sign).alias("sign"), start.alias("start"), last.alias("end"))
+    firsts = first_event(wanted)
+
+    def signed(df: DataFrame, sign: int, *columns: Column | str) -> DataFrame:
+        of = F.lit(None).cast("long").alias("outcome_id") if sign > 0 else "outcome_id"
+        return df.select("denom_id", of, F.lit(sign).alias("sign"), *columns)
+
+    # Everyone, for no outcome in particular. Then, for people with an outcome, what lies after their event is taken away:
+    # days, and months without a day up to it. Events after the end change nothing.
+    after = rows.join(firsts, "subject_id").filter(~F.coalesce(event >= end, F.lit(False)))
+    after = after.withColumn("cohort_start_date", F.greatest(start, F.date_add(event, 1)))
+    dates = [start.alias("start"), end.alias("end")]
+    days = signed(rows, 1, *dates).unionByName(signed(after, -1, *dates))
+
+    # A run has a day up to the event in the event's month if one of its intervals has begun by then.
+    runs = _month_runs(rows, ["denom_id"], "cohort_start_date", "cohort_end_date")
+    month = month_number(event)
+    lost = F.greatest("_a", F.when(F.col("_first") <= event, month + 1).otherwise(month))
+    gone = runs.join(firsts, "subject_id").withColumn("_a", lost).filter("_a <= _b")
+    seen = signed(runs, 1, "_a", "_b").unionByName(signed(gone, -1, "_a", "_b"))
 
-    # Everyone, for no outcome in particular. Then, for people with an outcome, their
-    # intervals out and the parts up to the event back in.
-    everyone = rows.select(
-        "denom_id", F.lit(None).cast("long").alias("outcome_id"), "subject_id", F.lit(1).alias("sign"),
-        start.alias("start"), end.alias("end"),
-    )
-    parts = F.array_compact(F.array(part(-1, end), F.when(event >= start, part(1, F.least(end, event)))))
-    changed = (
-        rows.join(first_event(wanted), "subject_id")
-        .select("denom_id", "outcome_id", "subject_id", F.explode(parts).alias("p"))
-        .select("denom_id", "outcome_id", "subject_id", "p.*")
-    )
-    both = everyone.unionByName(changed)
     keys = ["denom_id", "outcome_id", "sign"]
-    counts = person_days_by_month(both, keys, "start", "end").unionByName(
-        subjects_by_month(both, keys, "start", "end"), allowMissingColumns=True
-    )
+    counts = person_days_by_month(days, keys, "start", "end").unionByName(_subjects(seen, keys), allowMissingColumns=True)
     counts = counts.groupBy("denom_id", "outcome_id", "month").agg(
         F.sum(F.col("person_days") * F.col("sign")).alias("person_days"),
         F.sum(F.col("denom_count") * F.col("sign")).alias("denom_count"),

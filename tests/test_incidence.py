@@ -258,3 +258,29 @@ def test_limits_of_adjusted_rates(spark):
     assert found["a"]["adjusted_rate_95CI_lower"] == pytest.approx(low * 100)
     assert found["a"]["adjusted_rate_95CI_upper"] == pytest.approx(high * 100)
     assert found["b"]["adjusted_rate_95CI_lower"] is None and found["c"]["adjusted_rate_95CI_upper"] is None
+
+
+def test_people_with_events_do_not_repeat_the_denominator(spark, monkeypatch):
+    """Runs of months are merged for each stratum, not for each outcome; counts are those of the row-level form."""
+    import random
+    from datetime import date, timedelta
+
+    from epiloom.operators import incidence as inc
+
+    rng = random.Random(4)
+    days = [date(2000, 1, 1) + timedelta(d) for d in range(150)]
+    spans = [sorted((rng.choice(days), rng.choice(days[:60]))) for _ in range(400)]
+    strata = [(rng.randrange(1, 3), rng.randrange(60), a, min(b, a + timedelta(rng.randrange(70)))) for a, b in spans]
+    events = [(rng.randrange(1, 4), rng.randrange(60), rng.choice([*days, None])) for _ in range(100)]
+    layout = "cohort_definition_id bigint, subject_id bigint, cohort_start_date date"
+    denominator = spark.createDataFrame(strata, layout + ", cohort_end_date date")
+    outcomes = spark.createDataFrame([e for e in events if e[2]], layout)
+    merged = []
+    before = inc._month_runs
+    monkeypatch.setattr(inc, "_month_runs", lambda df, keys, *rest: merged.append(keys) or before(df, keys, *rest))
+    shown = ["denom_id", "outcome_id", "cal_year", "cal_month", "denom_count", "person_days"]
+    got = sorted(map(tuple, inc.incidence_denominator(denominator, outcomes, [1, 2, 3]).select(*shown).collect()))
+    assert merged == [["denom_id"]]
+    paired = inc.at_risk(inc.pair_with_outcomes(denominator, outcomes, [1, 2, 3]))
+    slices = inc.month_slices(paired, "cohort_start_date", "at_risk_end_date")
+    assert got and got == sorted(map(tuple, inc.slice_summary(slices, ["denom_id", "outcome_id"]).select(*shown).collect()))
