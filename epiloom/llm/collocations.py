@@ -10,7 +10,12 @@ therefore end before a pair or triple that doesn't: a first pass counts words, p
 by hash, one for each task, which are added up; where a counter stays below `least`, all that
 share it are rare. Those that share a counter with others may pass without being frequent: that costs time,
 but nothing is lost, and the counts of phrases are exact either way. The tables' size is fixed, whatever the input: a bit for
-each counter goes to the tasks, 6 MB in all. Beyond some 2^`bits` x `least` words most counters are full and little is cut off.
+each counter goes to the tasks, 6 MB in all.
+
+What a task gives out is its tables and each window that it meets, so both passes run in few long tasks, one for each core: with one
+for each split of the input, tasks and frequent windows would both grow with the input, and the rows with their product. A task
+gets about `JOINED` splits at most, so that none grows without end. It holds about `HELD` windows; when there are more, it gives out the
+rarer half and goes on counting the others. Beyond some 2^`bits` x `least` words most counters are full and little is cut off.
 
 Defined results: null and empty texts have no words, a null language is `und`, repeated rows and
 null ids count like others, empty tables give no rows. Only `text` and `lang` are read, whatever
@@ -39,6 +44,8 @@ BITS = 24
 STEP = 500_000
 #: Distinct windows that a task holds.
 HELD = 400_000
+#: Splits of the input that one task reads at most.
+JOINED = 16
 PART = 1 << 20
 #: Counters that travel as one row.
 CHUNK = 1 << 16
@@ -165,11 +172,13 @@ def _windows(texts: DataFrame, least: int, bits: int) -> DataFrame:
         tables = [np.frombuffer(x, np.uint8) for x in sent.value]
         held: dict[str, dict[bytes, int]] = {}
 
-        def out() -> Iterator[pa.RecordBatch]:
+        def out(most: float) -> Iterator[pa.RecordBatch]:
+            """Windows met up to `most` times; the others stay."""
             for lang, own in held.items():
-                phrases = pa.array(list(own), pa.binary()).cast(pa.string())
-                yield pa.record_batch([pa.array([lang] * len(own), pa.string()), phrases, pa.array(list(own.values()), pa.int64())], schema=_WINDOWS)
-            held.clear()
+                done = [x for x in own.items() if x[1] <= most]
+                held[lang] = {k: n for k, n in own.items() if n > most}
+                phrases = pa.array([k for k, _ in done], pa.binary()).cast(pa.string())
+                yield pa.record_batch([pa.array([lang] * len(done), pa.string()), phrases, pa.array([n for _, n in done], pa.int64())], schema=_WINDOWS)
 
         for step in _steps(batches):
             often = [whole & (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) for table, (at, whole) in zip(tables, _places(step, bits), strict=True)]
@@ -193,15 +202,21 @@ def _windows(texts: DataFrame, least: int, bits: int) -> DataFrame:
                 own = held.setdefault(step.langs[lang], {})
                 own[phrase] = own.get(phrase, 0) + times
             if sum(map(len, held.values())) > HELD:
-                yield from out()
-        yield from out()
+                yield from out(np.median([n for own in held.values() for n in own.values()]))
+        yield from out(np.inf)
 
     return texts.mapInArrow(count, "lang string, phrase string, n bigint")
 
 
+def _in_few_tasks(texts: DataFrame) -> DataFrame:
+    """Splits joined to one task for each core; more tasks where one would get above `JOINED` splits."""
+    splits = texts.rdd.getNumPartitions()
+    return texts.coalesce(max(texts.sparkSession.sparkContext.defaultParallelism, -(-splits // JOINED)))
+
+
 def phrase_counts(docs: DataFrame, least: int = 100, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """lang, words, length, f of all phrases of up to five words with f of `least` or more; lang and n, its number of words."""
-    texts = docs.select(utf8(F.col("text")).alias("text"), F.coalesce(F.col("lang"), F.lit("und")).alias("lang"))
+    texts = _in_few_tasks(docs.select(utf8(F.col("text")).alias("text"), F.coalesce(F.col("lang"), F.lit("und")).alias("lang")))
     windows = stored(_windows(texts, least, bits).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "windows")
     parts = F.split("phrase", " ", -1)
     columns = [f"w{i}" for i in range(1, LONGEST + 1)]

@@ -104,6 +104,41 @@ def test_held_windows_are_given_out_early(spark, monkeypatch):
     assert found(C.collocations(documents(spark, rows).coalesce(1), 3, 50, bits=16)) == by_loop(rows, 3, 50)
 
 
+def test_often_met_windows_stay_held(spark, monkeypatch):
+    """Two steps and more; what is given out early are the rare windows."""
+    monkeypatch.setattr(C, "HELD", 1000)
+    rows = [("the cat. " * 200_000 + ". ".join(f"r{i}x{j}" for j in range(150_000)), "en") for i in range(3)]
+    texts = documents(spark, rows).coalesce(1).selectExpr("CAST(text AS binary) AS text", "lang")
+    given = C._windows(texts, 1, 16)
+    assert [tuple(r) for r in given.where("phrase IN ('the cat', 'cat')").orderBy("phrase").collect()] == [("en", "cat", 600_000), ("en", "the cat", 600_000)]
+    assert given.selectExpr("sum(n)").first()[0] == 3 * 550_000
+
+
+def test_rows_do_not_multiply_with_the_splits(spark, monkeypatch):
+    given, windows = [], C._windows
+
+    def kept(*args):
+        given.append(windows(*args))
+        return given[0]
+
+    monkeypatch.setattr(C, "_windows", kept)
+    cores = spark.sparkContext.defaultParallelism
+    rows = [("once upon a time", "en")] * (8 * cores)
+    df = documents(spark, rows).repartition(8 * cores)
+    assert found(C.collocations(df, 3, 50, bits=16)) == by_loop(rows, 3, 50)
+    assert given[0].count() <= 4 * cores
+
+
+def test_tasks_stay_bounded(spark):
+    cores = spark.sparkContext.defaultParallelism
+
+    def tasks(splits):
+        return C._in_few_tasks(spark.range(0, 10, 1, splits)).rdd.getNumPartitions()
+
+    assert [tasks(1), tasks(cores), tasks(C.JOINED * cores)] == [1, cores, cores]
+    assert tasks(C.JOINED * cores + 1) == cores + 1
+
+
 def test_a_long_text_and_a_long_word(spark):
     rows = [("New York. " * 200_000, "en"), ("x" * 3_000_000 + " y", "en"), ("no spaces," * 100_000, "fr")]
     got = found(C.collocations(documents(spark, rows)))
