@@ -153,3 +153,91 @@ def test_articles_lose_template_lines(spark):
         4: "a\nb\nshare this page", 5: "a\nb\nshare this page\nc", 6: "x",
     }
     assert found == {k: (t, len(t)) for k, t in want.items()}
+
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in M.main_text(df).collect()}
+
+
+def test_lines_beside_articles_are_differenced(spark):
+    """What no element marks as content or as none is decided by the nearest page, on pages with an article too."""
+    def page(*lines, article):
+        return "".join(f"<div>{x}</div>" for x in lines) + f"<article><p>{article}</article><div>we are h.com</div><footer>foot"
+
+    found = texts_of(spark, [
+        (1, "http://h.com/a/1", page("top", "intro one", article="body one")),
+        (2, "http://h.com/a/2", page("top", "intro two", article="body two")),
+        (3, "http://h.com/a/3", plain("top", "no article", "we are h.com")),
+        (4, "http://one.com/1", page("intro", article="body")),
+        (5, "http://main.com/1", "<div>logo</div><main><h1>head</h1><article>body</article><p>end</main>tail"),
+        (6, "http://main.com/2", plain("logo", "text", "tail")),
+        (7, "http://empty.com/1", "<article> </article><main></main><p>text"),
+    ])
+    assert found == {
+        1: "intro one\nbody one", 2: "intro two\nbody two", 3: "no article", 4: "intro\nbody\nwe are h.com",
+        5: "head\nbody\nend", 6: "text", 7: "text",
+    }
+
+
+def test_frames_around_articles():
+    frame = '<form id="aspnet"><nav>menu</nav><label>no</label><article>text</article><footer>foot</footer></form>'
+    assert text_of(frame) == "text"
+    assert text_of("<form><label>no</label>name</form><article>text<form>no</form></article>") == "text"
+    assert text_of('<div class="page no-sidebar"><div class="sidebar">no</div><main>text</main></div>') == "text"
+    assert text_of('<div class="comments"><article>no</article></div><p>text') == "text"
+    assert text_of('<div hidden><main>no</main></div><p>text') == "text"
+
+
+def test_articles_lose_notices_without_a_mark(spark):
+    """A line of the articles of 16 pages in a row, or of all pages of a smaller host, is template; what fewer share stays."""
+    def page(i, *lines):
+        return "<article>" + "".join(f"<p>{x}</p>" for x in (f"one {i}", f"two {i}", f"three {i}", f"four {i}", *lines)) + "</article>"
+
+    def text(i, *lines):
+        return "\n".join((f"one {i}", f"two {i}", f"three {i}", f"four {i}", *lines))
+
+    pages = [(i, f"http://large.com/{i:02}", page(i, *["notice"] * (i >= 2), *["quoted"] * (i < 15))) for i in range(18)]
+    pages += [(100 + i, f"http://small.com/{i}", page(i, *["notice"], *["quoted"] * (i < 3))) for i in range(4)]
+    pages += [(200 + i, f"http://three.com/{i}", page(i, "quoted")) for i in range(3)]
+    pages += [(300 + i, f"http://copies.com/{i}", f"<article><p>one<p>two<p>three {i}</article>") for i in range(20)]
+    want = {i: text(i, *["quoted"] * (i < 15)) for i in range(18)} | {100 + i: text(i, *["quoted"] * (i < 3)) for i in range(4)}
+    want |= {200 + i: text(i, "quoted") for i in range(3)} | {300 + i: f"one\ntwo\nthree {i}" for i in range(20)}
+    assert texts_of(spark, pages) == want
+
+
+def test_main_text_against_a_loop(spark):
+    """Random pages with and without articles, main elements, menus and copies."""
+    rng = random.Random(4)
+
+    def some(n):
+        return [f"line {rng.randrange(25)}" for _ in range(rng.randrange(n))]
+
+    def html_of():
+        inner = "".join(f"<p>{x}</p>" for x in some(8))
+        if kind := rng.randrange(3):
+            inner = f"<article>{inner}</article>" if kind == 1 else f"<main>{inner}<p>in main</main>"
+        return f"<nav>{'<br><p>'.join(some(4))}</nav>{''.join(f'<div>{x}</div>' for x in some(3))}{inner}<div>end</div>"
+
+    kinds = [html_of() for _ in range(70)]
+    pages = [(i, f"http://h{i % 3}.com/{rng.randrange(5)}/{i:03}", rng.choice(kinds)) for i in range(150)]
+    sites = {}
+    for i, url, page in pages:
+        every, marked = M.all_lines_of(page)
+        lines = [x for x in every if not x.dropped]
+        held = tuple((x.text, x.content or not marked, x.beyond) for x in lines)
+        alike = sites.setdefault(url[:12], {}).setdefault((held, marked), [])
+        alike.append((url[13:], sorted({M._hash(x.text) for x in every if x.dropped or marked and not x.content}), i))
+    want = {}
+    for site in sites.values():
+        ordered = sorted((min(x[0] for x in alike), held, marked, min(x[1] for x in alike), [x[2] for x in alike]) for (held, marked), alike in site.items())
+        for k, (path, held, marked, rest, ids) in enumerate(ordered):
+            sides = [ordered[j] for j in (k - 1, k + 1) if 0 <= j < len(ordered)]
+            nearest = max(sides, key=lambda x: M._prefix(path, x[0]))
+            shared = M.common_lines([M._hash(x[0]) for x in held], [M._hash(x[0]) for x in nearest[1]])
+            in_article = [j for j, x in enumerate(held) if marked and x[1]]
+            gone = shared.difference(in_article)
+            if len(sides) == 2 and 2 * len(shared.intersection(in_article)) < len(in_article):
+                gone |= {j for j in shared.intersection(in_article) if M._hash(held[j][0]) in set(sides[0][3]) & set(sides[1][3]) - set(rest)}
+            want.update(dict.fromkeys(ids, "\n".join(x[0] for j, x in enumerate(held) if j not in gone and not x[2])))
+    assert texts_of(spark, pages) == want
